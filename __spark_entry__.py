@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tripflow import functions as tf
 from tripflow import schemas
-from tripflow.operators import enrich, manifest, metrics, quality, stations, tables
+from tripflow.operators import clean, enrich, feeds, manifest, metrics, quality, stations, tables
 from tripflow.plans import oracle as O
 from tripflow.plans import standins as S
 from tripflow.session import ensure_job_conf
@@ -180,6 +180,172 @@ def q_new_files(spark, sf_dir):
     return manifest.unprocessed(files, loaded, failed)
 
 
+# ---------------------------------------------------------------------------
+# keyed writes
+
+# Fixed values of the upsert scenario: two feed snapshots, then the run time.
+UPSERT_T1, UPSERT_T2, UPSERT_AS_OF = "2024-02-01 00:00:00", "2024-03-01 00:00:00", "2024-03-02 00:00:00"
+_INFO_VALUES = ["name", "short_name", "lat", "lon", "region_id", "capacity",
+                "eightd_has_key_dispenser", "has_kiosk", "installed", "last_reported"]
+
+
+@_register("station_upsert",
+           O.with_(info=O.INFO)
+           + " SELECT station_id, name, short_name, lat, lon, region_id,"
+             " CASE region_id WHEN 'HOUSEHOLD' THEN capacity + 1 WHEN 'MACHINERY' THEN capacity + 2"
+             " ELSE capacity END AS capacity, eightd_has_key_dispenser, has_kiosk, installed,"
+             f" CASE region_id WHEN 'HOUSEHOLD' THEN TIMESTAMP '{UPSERT_T1}'"
+             f" WHEN 'MACHINERY' THEN TIMESTAMP '{UPSERT_T2}' ELSE last_reported END AS last_reported,"
+             f" CASE WHEN region_id = 'HOUSEHOLD' THEN TIMESTAMP '{UPSERT_AS_OF}' ELSE created_at END AS created_at,"
+             f" CASE WHEN region_id IN ('HOUSEHOLD', 'MACHINERY') THEN TIMESTAMP '{UPSERT_AS_OF}'"
+             " ELSE updated_at END AS updated_at FROM info")
+def q_station_upsert(spark, sf_dir):
+    """Metadata table upserted with two feed snapshots (K8): HOUSEHOLD
+    stations are new, MACHINERY ones change twice (the later wins), the rest
+    are untouched."""
+    info = S.info(spark, sf_dir)
+    existing = info.filter(F.col("region_id") != "HOUSEHOLD")
+    feed = info.filter(F.col("region_id").isin("HOUSEHOLD", "MACHINERY"))
+    snap1 = feed.withColumn("capacity", F.col("capacity") + 1) \
+        .withColumn("last_reported", tf.now(UPSERT_T1))
+    snap2 = feed.filter(F.col("region_id") == "MACHINERY") \
+        .withColumn("capacity", F.col("capacity") + 2) \
+        .withColumn("last_reported", tf.now(UPSERT_T2))
+    updates = snap1.unionByName(snap2).withColumn("version", F.col("last_reported"))
+    out = tables.upsert(existing, updates, "station_id", _INFO_VALUES, version="version",
+                        as_of=UPSERT_AS_OF)
+    return out.select(*schemas.STATION_INFORMATION.fieldNames())
+
+
+_LOADED_BEFORE = "1998-01-01 00:00:00"
+_TRIP_ORDER = [c for c in schemas.TRIP_COLUMNS if c not in ("ride_id", "started_at")]
+
+
+@_register("insert_if_absent",
+           O.with_(trips=O.TRIPS,
+                   ranked="SELECT *, row_number() OVER (PARTITION BY ride_id ORDER BY started_at NULLS FIRST, "
+                          + ", ".join(f"{c} NULLS FIRST" for c in _TRIP_ORDER) + ") AS rn FROM trips")
+           + f" SELECT {', '.join(schemas.TRIP_COLUMNS)} FROM ranked WHERE rn = 1 AND ride_id NOT IN"
+             f" (SELECT ride_id FROM trips WHERE started_at < TIMESTAMP '{_LOADED_BEFORE}')")
+def q_insert_if_absent(spark, sf_dir):
+    """A full reload of the trips into a table that already holds the trips
+    started before 1998: one row per new ride_id, earliest start wins (K9)."""
+    trips = S.trips(spark, sf_dir)
+    target = tables.first_per_key(trips.filter(F.col("started_at") < tf.now(_LOADED_BEFORE)),
+                                  ["ride_id"], ["started_at"])
+    return tables.insert_if_absent(trips, target, ["ride_id"], ["started_at"])
+
+
+# ---------------------------------------------------------------------------
+# feeds and messages
+
+@_register("status_parse",
+           O.with_(status=O.STATUS)
+           + " SELECT station_id, num_bikes_available, num_docks_available,"
+             " date_trunc('second', last_reported) AS last_reported FROM status")
+def q_status_parse(spark, sf_dir):
+    """Status rows published as JSON messages (K3) and parsed back."""
+    msgs = feeds.to_status_messages(S.status(spark, sf_dir))
+    return feeds.parse_status_messages(msgs)
+
+
+@_register("feed_explode",
+           " SELECT CAST(floor(event_id / 100) AS BIGINT) AS snapshot_id,"
+           " CAST(user_id AS VARCHAR) AS station_id,"
+           " CAST(floor(value) AS INTEGER) AS num_bikes_available,"
+           " CAST(json_extract_string(props, '$.k') AS INTEGER) AS num_docks_available,"
+           " TRUE AS is_installed, event_type <> 'error' AS is_renting,"
+           " event_type NOT IN ('view', 'purchase') AS is_returning,"
+           " date_trunc('second', ts) AS last_reported FROM events")
+def q_feed_explode(spark, sf_dir):
+    """Status feed documents exploded to one row per station."""
+    docs = S.status_feed_docs(S.table(spark, sf_dir, "events"))
+    rows = feeds.status_rows(feeds.station_objects(docs, keep=("snapshot_id",)), keep=("snapshot_id",))
+    return rows.drop("inserted_at")
+
+
+@_register("absent_vs_null",
+           " SELECT CAST(c_custkey AS VARCHAR) AS station_id, c_name AS name,"
+           " CASE c_mktsegment WHEN 'AUTOMOBILE' THEN FALSE WHEN 'BUILDING' THEN NULL"
+           " ELSE c_acctbal >= 0 END AS has_kiosk,"
+           " FALSE AS eightd_has_key_dispenser, TRUE AS installed,"
+           " CAST(c_nationkey AS INTEGER) AS capacity FROM customer")
+def q_absent_vs_null(spark, sf_dir):
+    """Metadata feed: a flag absent from an element defaults to false, an
+    explicit null stays null (F12)."""
+    docs = S.info_feed_docs(S.table(spark, sf_dir, "customer"))
+    rows = feeds.info_rows(feeds.station_objects(docs), as_of=UPSERT_T1)
+    return rows.select("station_id", "name", "has_kiosk", "eightd_has_key_dispenser",
+                       "installed", "capacity")
+
+
+# ---------------------------------------------------------------------------
+# trip cleaning
+
+_RAW = """
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS ride_id,
+         CASE WHEN year(l_shipdate) = 2001 THEN 'unknown'
+              WHEN l_returnflag = 'A' THEN 'classic_bike' WHEN l_returnflag = 'N' THEN 'electric_bike'
+              ELSE 'docked_bike' END AS rideable_type,
+         CASE WHEN l_discount = 0.1 THEN NULL ELSE l_shipdate END AS started_at,
+         l_shipdate + to_minutes(CAST(l_quantity AS BIGINT)) AS ended_at,
+         'Station ' || CAST(l_suppkey AS VARCHAR) || ', Pier' AS start_station_name,
+         CAST(l_suppkey AS VARCHAR) || '.10' AS start_station_id,
+         'Station ' || CAST(l_partkey AS VARCHAR) AS end_station_name,
+         CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN NULL
+              ELSE CAST(l_partkey AS VARCHAR) || '.10' END AS end_station_id,
+         TRY_CAST(l_extendedprice / 100 AS DECIMAL(9,6)) AS start_lat,
+         TRY_CAST(-l_discount AS DECIMAL(9,6)) AS start_lng,
+         TRY_CAST(l_tax AS DECIMAL(9,6)) AS end_lat,
+         TRY_CAST(l_quantity AS DECIMAL(9,6)) AS end_lng,
+         CASE WHEN l_linestatus = 'O' THEN 'member' ELSE 'casual' END AS member_casual,
+         CASE WHEN l_discount = 0.1 THEN NULL ELSE CAST(date_trunc('month', l_shipdate) AS DATE) END AS month
+  FROM lineitem"""
+_REASON = "concat_ws(',', " + ", ".join(
+    f"CASE WHEN {c} IS NULL THEN 'null_{c}' END" for c in schemas.TRIP_COLUMNS) + ")"
+
+
+def _typed_raw(spark, sf_dir):
+    records = S.raw_trip_records(S.table(spark, sf_dir, "lineitem"))
+    return clean.type_trips(clean.bind_by_header(records))
+
+
+@_register("trip_clean",
+           O.with_(raw=_RAW) + f" SELECT * FROM raw WHERE {_REASON} = ''")
+def q_trip_clean(spark, sf_dir):
+    """Trip CSV records bound by header name, typed, rows with nulls removed
+    (S5 D6 P9-P13 F8-F10 F14)."""
+    kept, _ = clean.split_clean(_typed_raw(spark, sf_dir))
+    return kept
+
+
+@_register("trip_quarantine",
+           O.with_(raw=_RAW) + f" SELECT ride_id, {_REASON} AS reason FROM raw WHERE {_REASON} <> ''")
+def q_trip_quarantine(spark, sf_dir):
+    """Rows removed by cleaning, with the names of their null columns (V6)."""
+    _, bad = clean.split_clean(_typed_raw(spark, sf_dir))
+    return bad.select("ride_id", "reason")
+
+
+@_register("null_profile",
+           O.with_(raw=_RAW) + " SELECT COUNT(*) AS rows, "
+           + ", ".join(f"COUNT(*) - COUNT({c}) AS null_{c}" for c in schemas.TRIP_COLUMNS) + " FROM raw")
+def q_null_profile(spark, sf_dir):
+    """Null count of every trip column before rows are dropped (A5)."""
+    return metrics.null_profile(_typed_raw(spark, sf_dir))
+
+
+@_register("month_defects",
+           O.with_(raw=_RAW) + " SELECT month, COUNT(*) AS rows,"
+           " COUNT(*) FILTER (WHERE ride_id IS NULL) AS no_ride_id,"
+           " COUNT(*) FILTER (WHERE started_at IS NULL OR ended_at IS NULL) AS no_start_or_end"
+           " FROM raw GROUP BY month")
+def q_month_defects(spark, sf_dir):
+    """Rows, rows without ride_id, rows without start or end time, per month,
+    before rows are dropped (A4)."""
+    return metrics.defects_per_month(_typed_raw(spark, sf_dir))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query (station aggregate) on /root/testdata/sf0.001."""
     return queries()["station_aggregate"](spark, SMOKE_DIR)

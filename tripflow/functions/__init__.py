@@ -65,15 +65,20 @@ def default_if_absent(json_text: Column | str, key: str, value: Column,
 # -- truthiness and nulls -----------------------------------------------------
 
 def truthy(c: Column | str) -> Column:
-    """Feed flag to boolean: 0/1/true/false; null or absent count as false."""
+    """Feed flag to boolean like Python's ``bool``: true/false words, any
+    non-zero number is true; null, absent or unreadable count as false (F11)."""
     col = _c(c)
-    return F.coalesce(col.try_cast("boolean"), F.lit(False))
+    return F.coalesce(col.try_cast("boolean"), col.try_cast("double") != 0, F.lit(False))
 
 
 def null_if_token(c: Column | str, tokens: Iterable[str] = schemas.NULL_TOKENS) -> Column:
-    """Text cell to null when it is one of the missing-value tokens."""
-    col = _c(c)
-    return F.when(col.isin(list(tokens)), F.lit(None).cast("string")).otherwise(col)
+    """Text cell to null when it is one of the missing-value tokens.
+
+    Written so the cell is referenced once: removing the tokens from a
+    one-element array leaves either the cell or nothing.
+    """
+    kept = F.array_except(F.array(_c(c)), F.array(*[F.lit(t) for t in tokens]))
+    return F.try_element_at(kept, F.lit(1))
 
 
 def any_null(cols: Iterable[str]) -> Column:
@@ -116,22 +121,23 @@ def month_start(c: Column | str) -> Column:
     return F.to_date(F.date_trunc("month", _c(c)))
 
 
-# Accepted text layouts of trip times, with and without fraction.
-TIME_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-]
+# Text layout of older trip files (month/day/year), tried after
+# the ISO forms ``yyyy-MM-dd[ HH:mm[:ss[.ffffff]]]`` and ``...T...``.
+US_TIME_FORMAT = "M/d/yyyy H:mm[:ss]"
 
 
-def parse_time(c: Column | str, formats: Iterable[str] = TIME_FORMATS) -> Column:
-    """Lenient text to zone-less timestamp: first layout that parses, else null."""
+def parse_time(c: Column | str) -> Column:
+    """Lenient text to zone-less timestamp; unreadable text is null.
+
+    ISO date-times with or without fraction parse by cast; month/day/year
+    text is tried next. The input is referenced twice at most, so optimizer
+    rewrites that copy the expression stay small.
+    """
     col = F.trim(_c(c))
-    tries = [F.try_to_timestamp(col, F.lit(f)) for f in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    return F.coalesce(
+        col.try_cast("timestamp_ntz"),
+        F.try_to_timestamp(col, F.lit(US_TIME_FORMAT)).cast("timestamp_ntz"),
+    )
 
 
 def now(as_of: object | None = None) -> Column:

@@ -66,9 +66,10 @@ def info_from_customers(customer: DataFrame) -> DataFrame:
     )
 
 
-def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
+def trips_from_lineitem(lineitem: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     return lineitem.select(
+        *extra,
         F.concat(_txt("l_orderkey"), F.lit("-"), _txt("l_linenumber")).alias("ride_id"),
         F.when(flag == "A", "classic_bike").when(flag == "N", "electric_bike")
         .otherwise("docked_bike").alias("rideable_type"),
@@ -101,3 +102,107 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 assert [f.name for f in schemas.TRIP.fields] == schemas.TRIP_COLUMNS
+
+
+# ---------------------------------------------------------------------------
+# Raw trip CSV records (for the cleaning step), rendered from lineitem.
+#
+# One "file" per start month. Files of 1996 and 1999 put member_casual first;
+# files of 2001 lack rideable_type. Start times carry a fraction on classic
+# bikes; rows with a 10% discount have an unreadable start time; trips ending
+# outside the system have NA as end id; the start latitude is price/100, out
+# of the decimal(9,6) range for the dearest trips. Station names contain a
+# comma, so they are quoted.
+
+_LAYOUT_A = list(schemas.TRIP_CSV_COLUMNS)
+_LAYOUT_B = ["member_casual"] + [c for c in schemas.TRIP_CSV_COLUMNS if c != "member_casual"]
+_LAYOUT_C = [c for c in schemas.TRIP_CSV_COLUMNS if c != "rideable_type"]
+
+
+def raw_trip_records(lineitem: DataFrame) -> DataFrame:
+    """``source, header, line`` text records, one per lineitem row."""
+    t = trips_from_lineitem(lineitem, extra=("l_discount", "l_returnflag", "l_extendedprice"))
+    year = F.year("started_at")
+    bad_start = F.col("l_discount") == 0.1
+    fraction = F.col("l_returnflag") == "A"
+    cells = {
+        "ride_id": F.col("ride_id"),
+        "rideable_type": F.col("rideable_type"),
+        "started_at": F.when(bad_start, F.lit("not a time"))
+        .when(fraction, F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSS"))
+        .otherwise(F.date_format("started_at", "yyyy-MM-dd HH:mm:ss")),
+        "ended_at": F.date_format("ended_at", "yyyy-MM-dd HH:mm:ss"),
+        "start_station_name": F.concat(F.col("start_station_name"), F.lit(", Pier")),
+        "start_station_id": F.col("start_station_id"),
+        "end_station_name": F.col("end_station_name"),
+        "end_station_id": F.col("end_station_id"),
+        "start_lat": (F.col("l_extendedprice") / 100).try_cast("decimal(12,6)").cast("string"),
+        "start_lng": F.col("start_lng").cast("string"),
+        "end_lat": F.col("end_lat").cast("string"),
+        "end_lng": F.col("end_lng").cast("string"),
+        "member_casual": F.col("member_casual"),
+    }
+
+    def render(layout):
+        return F.to_csv(F.struct(*[cells[c].alias(c) for c in layout]), {"nullValue": "NA"})
+
+    b_year, c_year = year.isin(1996, 1999), year == 2001
+    line = F.when(b_year, render(_LAYOUT_B)).when(c_year, render(_LAYOUT_C)).otherwise(render(_LAYOUT_A))
+    header = (F.when(b_year, F.lit(",".join(_LAYOUT_B)))
+              .when(c_year, F.lit(",".join(_LAYOUT_C)))
+              .otherwise(F.lit(",".join(_LAYOUT_A))))
+    source = F.concat(F.date_format("started_at", "yyyyMM"), F.lit("-tripdata.csv"))
+    return t.select(source.alias("source"), header.alias("header"), line.alias("line"))
+
+
+# ---------------------------------------------------------------------------
+# Feed documents, packed from events / customers in blocks of a fixed size so
+# no document grows with the data.
+
+FEED_BLOCK = 100
+
+
+def status_feed_docs(events: DataFrame) -> DataFrame:
+    """``snapshot_id, doc``: station-status feed documents, one per block of
+    :data:`FEED_BLOCK` consecutive events. ``is_returning`` is left out of
+    the element for view events (absent key)."""
+    et = F.col("event_type")
+    element = F.struct(
+        F.col("user_id").cast("string").alias("station_id"),
+        F.floor("value").alias("num_bikes_available"),
+        tf.parse_json("props", "k INT").getField("k").alias("num_docks_available"),
+        F.lit(1).alias("is_installed"),
+        F.when(et == "error", 0).otherwise(1).alias("is_renting"),
+        F.when(et == "view", F.lit(None)).when(et == "purchase", 0).otherwise(1).alias("is_returning"),
+        tf.timestamp_to_epoch("ts", "s").alias("last_reported"),
+    )
+    snap = F.floor(F.col("event_id") / FEED_BLOCK).alias("snapshot_id")
+    packed = events.groupBy(snap).agg(F.collect_list(element).alias("stations"))
+    doc = F.to_json(F.struct(F.struct(F.col("stations")).alias("data")))
+    return packed.select("snapshot_id", doc.alias("doc"))
+
+
+def info_feed_docs(customer: DataFrame) -> DataFrame:
+    """``snapshot_id, doc``: station-information feed documents, one per block
+    of :data:`FEED_BLOCK` customers. ``has_kiosk`` is absent for AUTOMOBILE,
+    explicitly null for BUILDING; ``eightd_has_key_dispenser`` is never sent."""
+    seg = F.col("c_mktsegment")
+    common = [
+        F.col("c_custkey").cast("string").alias("station_id"),
+        F.col("c_name").alias("name"),
+        F.concat(F.col("c_custkey").cast("string"), F.lit(SHORT_NAME_SUFFIX)).alias("short_name"),
+        (F.col("c_acctbal") / 100).alias("lat"),
+        F.col("c_nationkey").cast("double").alias("lon"),
+        seg.alias("region_id"),
+        F.col("c_nationkey").alias("capacity"),
+        F.lit(True).alias("installed"),
+    ]
+    absent = F.to_json(F.struct(*common))
+    null_kiosk = F.to_json(F.struct(*common, F.lit(None).cast("boolean").alias("has_kiosk")),
+                           {"ignoreNullFields": "false"})
+    kiosk = F.to_json(F.struct(*common, (F.col("c_acctbal") >= 0).alias("has_kiosk")))
+    element = F.when(seg == "AUTOMOBILE", absent).when(seg == "BUILDING", null_kiosk).otherwise(kiosk)
+    snap = F.floor(F.col("c_custkey") / FEED_BLOCK).alias("snapshot_id")
+    packed = customer.groupBy(snap).agg(F.collect_list(element).alias("stations"))
+    doc = F.concat(F.lit('{"data":{"stations":['), F.array_join("stations", ","), F.lit("]}}"))
+    return packed.select("snapshot_id", doc.alias("doc"))

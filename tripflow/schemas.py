@@ -181,9 +181,10 @@ STATUS_FEED_STATION = _s(
     ("station_id", StringType()),
     ("num_bikes_available", LongType()),
     ("num_docks_available", LongType()),
-    ("is_installed", LongType()),
-    ("is_renting", LongType()),
-    ("is_returning", LongType()),
+    # flags come as 0/1 or true/false: kept as text, see functions.truthy
+    ("is_installed", StringType()),
+    ("is_renting", StringType()),
+    ("is_returning", StringType()),
     ("last_reported", LongType()),
 )
 INFO_FEED_STATION = _s(
