@@ -18,7 +18,8 @@ from tripflow import schemas
 from tripflow.operators import clean, enrich, feeds, manifest, metrics, quality, stations, tables
 from tripflow.plans import oracle as O
 from tripflow.plans import standins as S
-from tripflow.session import ensure_job_conf
+from tripflow import sinks, streaming
+from tripflow.session import ensure_job_conf, fresh_dir
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -346,6 +347,52 @@ def q_month_defects(spark, sf_dir):
     return metrics.defects_per_month(_typed_raw(spark, sf_dir))
 
 
+# ---------------------------------------------------------------------------
+# streaming and written tables (each call writes below the session's shared
+# checkpoint folder, in a fresh run folder)
+
+@_register("status_parse_stream",
+           O.with_(status=O.STATUS)
+           + " SELECT station_id, num_bikes_available, num_docks_available,"
+             " date_trunc('second', last_reported) AS last_reported FROM status")
+def q_status_parse_stream(spark, sf_dir):
+    """Status messages landed as files, read by a file stream with an
+    availableNow trigger, parsed (T1) and written by the batch_id-keyed
+    foreachBatch sink (T2-T5); the written table is returned."""
+    run = fresh_dir(spark, "status_stream")
+    landing, out, ckpt = f"{run}/landing", f"{run}/history", f"{run}/checkpoint"
+    msgs = feeds.to_status_messages(S.status(spark, sf_dir))
+    msgs.select(F.col("value").cast("string").alias("value")).write.text(landing)
+    stream = spark.readStream.schema("value string").text(landing)
+    q = streaming.start_status_stream(stream, out, ckpt, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
+_MONTH = "1996-03-01"
+
+
+@_register("month_partition_read",
+           O.with_(trips=O.TRIPS) + f" SELECT * FROM trips WHERE month = DATE '{_MONTH}'")
+def q_month_partition_read(spark, sf_dir):
+    """Trips written as Parquet by month (K4), read back for one month: the
+    scan reads only that month's folder (partition pruning)."""
+    out = fresh_dir(spark, "trips_by_month")
+    sinks.write_by_month(S.trips(spark, sf_dir), out)
+    back = spark.read.schema(schemas.TRIP).parquet(out)
+    return back.filter(F.col("month") == F.lit(_MONTH).cast("date")).select(*schemas.TRIP_COLUMNS)
+
+
+@_register("station_transform_written",
+           O.with_(status=O.STATUS, info=O.INFO) + O.STATION_AGG)
+def q_station_transform_written(spark, sf_dir):
+    """The station aggregate written partitioned by aggregation_date
+    and read back whole."""
+    out = fresh_dir(spark, "station_status_transformed")
+    sinks.write_partitioned(_station_agg(spark, sf_dir), out, ["aggregation_date"])
+    return spark.read.schema(schemas.STATION_STATUS_TRANSFORMED).parquet(out)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query (station aggregate) on /root/testdata/sf0.001."""
     return queries()["station_aggregate"](spark, SMOKE_DIR)

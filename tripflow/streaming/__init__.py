@@ -1,0 +1,118 @@
+"""Structured Streaming jobs.
+
+The transformations are the batch functions of :mod:`tripflow.operators`;
+only the source, trigger and sink differ. Every query has a checkpoint, and
+each micro-batch is written under its own ``batch_id`` partition with
+dynamic overwrite, so a batch replayed after a failure replaces its own
+output instead of duplicating it (D10).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tripflow import schemas
+from tripflow.operators import feeds, tables
+
+
+def batch_partition_writer(path: str, partition_by: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: append the micro-batch as Parquet under
+    ``batch_id=<id>/``, replacing only that partition."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by, "batch_id")
+            .parquet(path)
+        )
+
+    return write
+
+
+def _start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
+           processing_time: str | None, available_now: bool, name: str | None) -> StreamingQuery:
+    w = df.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
+    if name:
+        w = w.queryName(name)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def start_status_stream(messages: DataFrame, out_path: str, checkpoint: str, unit: str = "s",
+                        processing_time: str | None = "60 seconds", available_now: bool = False,
+                        name: str | None = None) -> StreamingQuery:
+    """Status messages (topic or files with a ``value`` column) parsed and
+    appended to the status history (P-G: T1-T3, T6 via ``awaitTermination``)."""
+    parsed = feeds.parse_status_messages(messages, unit=unit)
+    return _start(parsed, batch_partition_writer(out_path), checkpoint, processing_time, available_now, name)
+
+
+def start_feed_history(snapshots: DataFrame, out_path: str, checkpoint: str,
+                       processing_time: str | None = "60 seconds", available_now: bool = False,
+                       name: str | None = None) -> StreamingQuery:
+    """Landed status-feed snapshots exploded to one row per station and
+    appended to the history (P-C, K7, T4). Rows that cannot be stored go to
+    ``<out_path>_quarantine``."""
+    rows = feeds.status_rows(feeds.station_objects(snapshots, keep=("snapshot_time",)),
+                             keep=("snapshot_time",))
+    rows = rows.withColumn("inserted_at", F.coalesce("snapshot_time", "inserted_at")).drop("snapshot_time")
+    rows = rows.withColumn("reason", feeds.status_defects())
+    good_writer = batch_partition_writer(out_path)
+    bad_writer = batch_partition_writer(out_path.rstrip("/") + "_quarantine")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        good_writer(batch.filter(F.col("reason").isNull()).drop("reason"), batch_id)
+        bad_writer(batch.filter(F.col("reason").isNotNull()), batch_id)
+        batch.unpersist()
+
+    return _start(rows, sink, checkpoint, processing_time, available_now, name)
+
+
+def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_path: str,
+                                checkpoint: str, available_now: bool = True,
+                                name: str | None = None) -> StreamingQuery:
+    """Every new cleaned Parquet file loaded once into the trip table (P-B, T5).
+
+    Rows whose ride_id is already in the table, or repeated in the batch, are
+    not inserted (K9); they are written to ``<table_path>_rejected`` with the
+    source file so nothing is silently lost. The file source's checkpoint is
+    the record of loaded files (V7).
+    """
+    stream = spark.readStream.schema(schemas.TRIP).parquet(cleaned_dir).select(
+        "*",
+        F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.row_index").alias("source_row"),
+    )
+    writer = batch_partition_writer(table_path)
+    rejected = batch_partition_writer(table_path.rstrip("/") + "_rejected")
+    lineage = ["source_file", "source_row"]
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            # a replayed batch must not see its own earlier output
+            target = (spark.read.parquet(table_path)
+                      .filter(F.col("batch_id") != batch_id).select("ride_id"))
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            target = spark.createDataFrame([], "ride_id string")
+        new_rows = tables.insert_if_absent(batch, target, ["ride_id"], ["started_at", *lineage])
+        new_rows = new_rows.persist()
+        writer(new_rows.drop(*lineage), batch_id)
+        lost = batch.join(new_rows.select(*lineage), lineage, "left_anti")
+        rejected(lost.withColumn("reason", F.lit("duplicate_ride_id")), batch_id)
+        new_rows.unpersist()
+        batch.unpersist()
+
+    return _start(stream, sink, checkpoint, None, available_now, name)
