@@ -19,14 +19,17 @@ from pyspark.sql import functions as F
 
 from tripflow import functions as tf
 from tripflow import schemas
+from tripflow.sources import spread_small_scan
 
 # Fixed values of the stand-in mapping (shared with the SQL twin).
 INFO_EPOCH = "2024-01-01 00:00:00"
 SHORT_NAME_SUFFIX = ".10"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A test table; spread over the cores when it scans as too few tasks."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(df) if spread else df
 
 
 def _txt(c: str) -> F.Column:

@@ -24,8 +24,8 @@ def read_snapshots(spark: SparkSession, path: str, glob: str = "*.json") -> Data
     as one row; files are spread over tasks.
     """
     df = (
-        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob).text(path)
+        spark.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", glob).text(path, wholetext=True)
     )
     return _shape(df)
 
@@ -33,7 +33,7 @@ def read_snapshots(spark: SparkSession, path: str, glob: str = "*.json") -> Data
 def stream_snapshots(spark: SparkSession, path: str, glob: str = "*.json",
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming form of :func:`read_snapshots`: each new file once (T4)."""
-    r = spark.readStream.option("wholetext", "true").option("pathGlobFilter", glob)
+    r = spark.readStream.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return _shape(r.text(path))
+    return _shape(r.text(path, wholetext=True))
