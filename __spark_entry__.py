@@ -85,7 +85,7 @@ def q_renting_only(spark, sf_dir):
            + O.enrich_select("agg"))
 def q_trip_enrich(spark, sf_dir):
     """Trips ⟕ aggregate on start and end short_name; multiplicity kept."""
-    return enrich.enrich_trips(S.trips(spark, sf_dir), _station_agg(spark, sf_dir))
+    return enrich.enrich_trips(S.trips(spark, sf_dir, spread=True), _station_agg(spark, sf_dir))
 
 
 @_register("trip_enrich_latest",
@@ -94,7 +94,7 @@ def q_trip_enrich(spark, sf_dir):
 def q_trip_enrich_latest(spark, sf_dir):
     """Trips ⟕ latest row per station, both ends: one row per trip."""
     latest = stations.latest_per_station(_station_agg(spark, sf_dir))
-    return enrich.enrich_trips(S.trips(spark, sf_dir), latest)
+    return enrich.enrich_trips(S.trips(spark, sf_dir, spread=True), latest)
 
 
 # ---------------------------------------------------------------------------
@@ -231,7 +231,7 @@ _TRIP_ORDER = [c for c in schemas.TRIP_COLUMNS if c not in ("ride_id", "started_
 def q_insert_if_absent(spark, sf_dir):
     """A full reload of the trips into a table that already holds the trips
     started before 1998: one row per new ride_id, earliest start wins (K9)."""
-    trips = S.trips(spark, sf_dir)
+    trips = S.trips(spark, sf_dir, spread=True)
     target = tables.first_per_key(trips.filter(F.col("started_at") < tf.now(_LOADED_BEFORE)),
                                   ["ride_id"], ["started_at"])
     return tables.insert_if_absent(trips, target, ["ride_id"], ["started_at"])
@@ -307,7 +307,7 @@ _REASON = "concat_ws(',', " + ", ".join(
 
 
 def _typed_raw(spark, sf_dir):
-    records = S.raw_trip_records(S.table(spark, sf_dir, "lineitem"))
+    records = S.raw_trip_records(S.table(spark, sf_dir, "lineitem", spread=True))
     return clean.type_trips(clean.bind_by_header(records))
 
 
@@ -378,7 +378,7 @@ def q_month_partition_read(spark, sf_dir):
     """Trips written as Parquet by month (K4), read back for one month: the
     scan reads only that month's folder (partition pruning)."""
     out = fresh_dir(spark, "trips_by_month")
-    sinks.write_by_month(S.trips(spark, sf_dir), out)
+    sinks.write_by_month(S.trips(spark, sf_dir, spread=True), out)
     back = spark.read.schema(schemas.TRIP).parquet(out)
     return back.filter(F.col("month") == F.lit(_MONTH).cast("date")).select(*schemas.TRIP_COLUMNS)
 

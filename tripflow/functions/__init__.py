@@ -74,11 +74,10 @@ def truthy(c: Column | str) -> Column:
 def null_if_token(c: Column | str, tokens: Iterable[str] = schemas.NULL_TOKENS) -> Column:
     """Text cell to null when it is one of the missing-value tokens.
 
-    Written so the cell is referenced once: removing the tokens from a
-    one-element array leaves either the cell or nothing.
+    ``isin`` over literals is planned as a hash-set lookup built once.
     """
-    kept = F.array_except(F.array(_c(c)), F.array(*[F.lit(t) for t in tokens]))
-    return F.try_element_at(kept, F.lit(1))
+    col = _c(c)
+    return F.when(~col.isin(list(tokens)), col)
 
 
 def any_null(cols: Iterable[str]) -> Column:

@@ -6,14 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that arrives in fewer partitions than the cluster
+def spread_small_scan(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
+    """Hash-spread a scan that arrives in fewer partitions than the cluster
     has cores (one small file with one row group is read by one task).
 
-    Large inputs already scan as many partitions and pass through untouched,
-    so this never adds a shuffle at scale.
+    ``keys`` should be near-unique (a row id) so the spread is even; hash
+    partitioning needs no sort, unlike a round-robin repartition. Large
+    inputs already scan as many partitions and pass through untouched, so
+    this never adds a shuffle at scale.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want)
+    return df.repartition(want, *keys)
