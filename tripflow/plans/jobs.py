@@ -45,7 +45,7 @@ def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: st
         .mapInPandas(trip_src.expand_archives, trip_src.RECORD_SCHEMA)
     )
     if spread:
-        records = records.repartition(spread)
+        records = records.repartition(spread, "source", "entry", "line_no")
     records = records.persist(StorageLevel.MEMORY_AND_DISK)
     failed = records.filter(F.col("error").isNotNull()).groupBy(tf.base_name("source").alias("file_name")).agg(
         F.first("error").alias("error_message"))
