@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tripflow import schemas, sinks, streaming
 from tripflow import functions as tf
 from tripflow.operators import clean, enrich, feeds, metrics, stations, tables
+from tripflow.operators.joins import sized_side
 from tripflow.sources import feeds as feed_src
 from tripflow.sources import relational, trips as trip_src
 from tripflow.session import build_session
@@ -49,9 +50,11 @@ def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: st
     records = records.persist(StorageLevel.MEMORY_AND_DISK)
     failed = records.filter(F.col("error").isNotNull()).groupBy(tf.base_name("source").alias("file_name")).agg(
         F.first("error").alias("error_message"))
-    # an archive with an error is recorded as failed and none of its rows are kept
-    ok_records = records.join(failed.select(F.col("file_name").alias("_failed")),
-                              tf.base_name("source") == F.col("_failed"), "left_anti")
+    # an archive with an error is recorded as failed and none of its rows are
+    # kept; the failed list has one row per archive, so it is broadcast (never
+    # a shuffle of all records on the archive name, where one archive is hot)
+    bad = sized_side(failed.select(F.col("file_name").alias("_failed")))
+    ok_records = records.join(bad.for_join(), tf.base_name("source") == F.col("_failed"), "left_anti")
     keep = ("source", "entry")
     typed = clean.with_reason(clean.type_trips(clean.bind_by_header(ok_records, keep=keep), keep=keep))
     typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -69,6 +72,7 @@ def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: st
         .write.mode("append").parquet(manifest_path.rstrip("/") + "_failed")
     typed.unpersist()
     records.unpersist()
+    bad.release()
     return counts
 
 
