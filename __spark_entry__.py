@@ -369,6 +369,31 @@ def q_status_parse_stream(spark, sf_dir):
     return spark.read.parquet(out).drop("batch_id")
 
 
+@_register("status_history",
+           " SELECT CAST(user_id AS VARCHAR) AS station_id,"
+           " CAST(floor(value) AS INTEGER) AS num_bikes_available,"
+           " CAST(json_extract_string(props, '$.k') AS INTEGER) AS num_docks_available,"
+           " TRUE AS is_installed, event_type <> 'error' AS is_renting,"
+           " event_type NOT IN ('view', 'purchase') AS is_returning,"
+           " date_trunc('second', ts) AS last_reported,"
+           " date_trunc('second', max(ts) OVER (PARTITION BY event_id // 2000)) AS inserted_at"
+           " FROM events")
+def q_status_history(spark, sf_dir):
+    """Status feed snapshots landed as files (K5), picked up by a file stream
+    (S3, T4), exploded and appended to the history with the snapshot time as
+    arrival time (P-C: P8 F4 F11 K7)."""
+    run = fresh_dir(spark, "status_history")
+    landing, out, ckpt = f"{run}/landing", f"{run}/history", f"{run}/checkpoint"
+    docs = S.status_feed_docs(S.table(spark, sf_dir, "events"), block=S.SNAPSHOT_BLOCK)
+    sinks.write_snapshots(docs, landing)
+    from tripflow.sources import feeds as feed_src
+
+    q = streaming.start_feed_history(feed_src.stream_snapshots(spark, landing, glob="*.txt"), out, ckpt,
+                                     available_now=True)
+    q.awaitTermination()
+    return spark.read.schema(schemas.STATION_STATUS).parquet(out).drop("batch_id")
+
+
 _MONTH = "1996-03-01"
 
 

@@ -190,6 +190,9 @@ def name_matches(path: Column | str, pattern: str = TRIP_ARCHIVE_PATTERN) -> Col
 
 
 def snapshot_time(path: Column | str) -> Column:
-    """``yyyyMMddHHmmss`` stamp in a snapshot file name to a timestamp."""
-    stamp = F.regexp_extract(base_name(path), r"(\d{14})", 1)
-    return F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")
+    """``yyyyMMddHHmmss`` stamp of a snapshot to a timestamp: taken from the
+    file name, else the last stamp in its folders (``snapshot=.../part-...``)."""
+    in_name = F.regexp_extract(base_name(path), r"(\d{14})", 1)
+    in_path = F.regexp_extract(_c(path), r".*(\d{14})", 1)
+    stamp = F.coalesce(F.nullif(in_name, F.lit("")), F.nullif(in_path, F.lit("")))
+    return F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")

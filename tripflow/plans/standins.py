@@ -178,12 +178,15 @@ def raw_trip_records(lineitem: DataFrame) -> DataFrame:
 # no document grows with the data.
 
 FEED_BLOCK = 100
+# A landed snapshot holds about as many elements as a city has stations.
+SNAPSHOT_BLOCK = 2000
 
 
-def status_feed_docs(events: DataFrame) -> DataFrame:
-    """``snapshot_id, doc``: station-status feed documents, one per block of
-    :data:`FEED_BLOCK` consecutive events. ``is_returning`` is left out of
-    the element for view events (absent key)."""
+def status_feed_docs(events: DataFrame, block: int = FEED_BLOCK) -> DataFrame:
+    """``snapshot_id, snapshot_time, doc``: station-status feed documents, one
+    per block of ``block`` consecutive events, stamped with the
+    block's latest event second. ``is_returning`` is left out of the element
+    for view events (absent key)."""
     et = F.col("event_type")
     element = F.struct(
         F.col("user_id").cast("string").alias("station_id"),
@@ -194,10 +197,11 @@ def status_feed_docs(events: DataFrame) -> DataFrame:
         F.when(et == "view", F.lit(None)).when(et == "purchase", 0).otherwise(1).alias("is_returning"),
         tf.timestamp_to_epoch("ts", "s").alias("last_reported"),
     )
-    snap = F.floor(F.col("event_id") / FEED_BLOCK).alias("snapshot_id")
-    packed = events.groupBy(snap).agg(F.collect_list(element).alias("stations"))
+    snap = F.floor(F.col("event_id") / block).alias("snapshot_id")
+    packed = events.groupBy(snap).agg(F.collect_list(element).alias("stations"),
+                                      F.date_trunc("second", F.max("ts")).alias("snapshot_time"))
     doc = F.to_json(F.struct(F.struct(F.col("stations")).alias("data")))
-    return packed.select("snapshot_id", doc.alias("doc"))
+    return packed.select("snapshot_id", "snapshot_time", doc.alias("doc"))
 
 
 def info_feed_docs(customer: DataFrame) -> DataFrame:

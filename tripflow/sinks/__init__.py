@@ -130,8 +130,9 @@ def publish_status(status: DataFrame, servers: str, topic: str) -> None:
 
 
 def write_snapshots(docs: DataFrame, path: str) -> None:
-    """Feed documents as JSON text files, one folder per snapshot time (K5)."""
+    """Feed documents as text files, one folder per snapshot time and one
+    document per file, so each file reads back whole (K5)."""
     (
         docs.select(F.date_format("snapshot_time", "yyyyMMddHHmmss").alias("snapshot"), "doc")
-        .write.mode("append").partitionBy("snapshot").text(path)
+        .write.mode("append").option("maxRecordsPerFile", 1).partitionBy("snapshot").text(path)
     )

@@ -12,7 +12,7 @@ from tripflow import functions as tf
 def _shape(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("_metadata.file_path").alias("source"),
-        tf.snapshot_time(F.col("_metadata.file_name")).alias("snapshot_time"),
+        tf.snapshot_time(F.col("_metadata.file_path")).alias("snapshot_time"),
         F.col("value").alias("doc"),
     )
 
