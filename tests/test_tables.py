@@ -60,3 +60,17 @@ def test_first_per_key_independent_of_partitioning(spark):
     b = tables.first_per_key(df.repartition(17), ["k"], ["v"])
     assert rows(a) == rows(b)
     assert a.count() == 7
+
+
+def test_insert_if_absent_probe_paths_agree_and_target_not_shuffled(spark):
+    incoming = spark.range(0, 500).select((F.col("id") % 300).cast("string").alias("ride_id"),
+                                          F.col("id").alias("v"))
+    target = spark.range(0, 5000, 3).select(F.col("id").cast("string").alias("ride_id"))
+    small = tables.insert_if_absent(incoming, target, ["ride_id"], ["v"])
+    big = tables.insert_if_absent(incoming, target, ["ride_id"], ["v"], max_broadcast_keys=0)
+    assert rows(small) == rows(big)
+    assert small.count() == 200
+    small.collect()
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    # the target's keys are probed against the broadcast load keys where they are scanned
+    assert "LeftSemi, BuildRight" in plan

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import functions as tf
+from tripflow.operators.joins import DEFAULT_BROADCAST_ROWS, sized_side
 
 
 def _pack(cols: Sequence[str]) -> Column:
@@ -42,17 +43,24 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ())
 
 
 def insert_if_absent(incoming: DataFrame, target: DataFrame, key: Sequence[str],
-                     order: Sequence[str] = ()) -> DataFrame:
+                     order: Sequence[str] = (), max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``incoming`` to append so that ``key`` stays unique in
     ``target``: one row per new key, none for keys already present (K9,
     ``ON CONFLICT DO NOTHING``).
 
-    Deduplication and the anti join both hash on ``key``, so the anti join
-    reuses the deduplication's partitioning for the incoming side.
+    The target (the whole table) is usually far larger than a load. When the
+    deduplicated load has at most ``max_broadcast_keys`` rows, its keys are
+    broadcast and the target's key column is semi-joined against them while
+    it is scanned, so the target is never shuffled; only the few matching
+    keys meet the load in the final anti join. Larger loads use a plain
+    shuffle anti join, which reuses the deduplication's partitioning.
     """
     key = list(key)
-    winners = first_per_key(incoming, key, order)
-    return winners.join(target.select(*key), key, "left_anti")
+    winners = sized_side(first_per_key(incoming, key, order), max_broadcast_keys)
+    if not winners.broadcast:
+        return winners.frame.join(target.select(*key), key, "left_anti")
+    present = target.select(*key).join(F.broadcast(winners.frame.select(*key)), key, "left_semi")
+    return winners.frame.join(present, key, "left_anti")
 
 
 def upsert(existing: DataFrame, updates: DataFrame, key: str, values: Sequence[str],

@@ -80,15 +80,18 @@ def start_feed_history(snapshots: DataFrame, out_path: str, checkpoint: str,
 
 def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_path: str,
                                 checkpoint: str, available_now: bool = True,
-                                name: str | None = None) -> StreamingQuery:
+                                name: str | None = None, files_per_batch: int = 2) -> StreamingQuery:
     """Every new cleaned Parquet file loaded once into the trip table (P-B, T5).
 
     Rows whose ride_id is already in the table, or repeated in the batch, are
     not inserted (K9); they are written to ``<table_path>_rejected`` with the
     source file so nothing is silently lost. The file source's checkpoint is
-    the record of loaded files (V7).
+    the record of loaded files (V7). ``files_per_batch`` bounds a micro-batch
+    (cleaned files hold at most 200,000 rows), which keeps the batch's keys
+    small enough to be broadcast against the table's keys.
     """
-    stream = spark.readStream.schema(schemas.TRIP).parquet(cleaned_dir).select(
+    stream = (spark.readStream.schema(schemas.TRIP).option("maxFilesPerTrigger", str(files_per_batch))
+              .parquet(cleaned_dir)).select(
         "*",
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.row_index").alias("source_row"),
