@@ -54,3 +54,11 @@ def test_default_if_absent(spark):
     assert one(spark, col, '{"a":1}') is False
     assert one(spark, col, '{"k":null}') is None
     assert one(spark, col, '{"k":true}') is True
+
+
+def test_epoch_text_and_month_date(spark):
+    assert one(spark, tf.epoch_to_text("v"), 1727769605, "v long") == "2024-10-01 08:00:05"
+    assert str(one(spark, tf.to_month_date("v"), "2024-10-01")) == "2024-10-01"
+    assert one(spark, tf.to_month_date("v"), "not a month") is None
+    ts = spark.createDataFrame([(T(2024, 10, 31, 23, 59),)], "t timestamp_ntz")
+    assert str(ts.select(tf.month_start("t")).first()[0]) == "2024-10-01"

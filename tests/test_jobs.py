@@ -33,12 +33,15 @@ def test_archive_to_enriched_trips(spark):
         z.writestr("202411-demo-tripdata.csv", trip_csv(range(50, 80), month="11"))  # 10 repeats
     with open(os.path.join(arch, "202412-demo-tripdata.zip"), "wb") as f:
         f.write(b"PK\x03\x04" + b"\x00" * 2000)  # corrupt
+    with zipfile.ZipFile(os.path.join(arch, "202409-demo-tripdata.zip"), "w") as z:
+        z.writestr("202409-demo-tripdata.csv", H + "\n" + " " * 1200)  # header only
     p = {k: os.path.join(root, k) for k in ("cleaned", "quarantine", "manifest", "table", "ckpt",
                                              "transformed", "enriched")}
     counts = jobs.clean_trip_archives(spark, arch, p["cleaned"], p["quarantine"], p["manifest"],
                                       as_of="2024-12-01 00:00:00")
     by = {r.file_name: (r.rows, r.kept, r.quarantined) for r in counts.collect()}
-    assert by == {"202410-demo-tripdata.zip": (61, 60, 1), "202411-demo-tripdata.zip": (31, 30, 1)}
+    assert by == {"202410-demo-tripdata.zip": (61, 60, 1), "202411-demo-tripdata.zip": (31, 30, 1),
+                  "202409-demo-tripdata.zip": (0, 0, 0)}
     failed = spark.read.parquet(p["manifest"] + "_failed").collect()
     assert [r.file_name for r in failed] == ["202412-demo-tripdata.zip"]
     # a second run finds nothing new

@@ -61,11 +61,19 @@ def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: st
     good = typed.filter(F.col("reason").isNull()).select(*schemas.TRIP_COLUMNS)
     sinks.write_by_month(good, cleaned_path)
     typed.filter(F.col("reason").isNotNull()).write.mode("append").parquet(quarantine_path)
-    counts = typed.groupBy(tf.base_name("source").alias("file_name")).agg(
+    per_file = typed.groupBy(tf.base_name("source").alias("file_name")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("reason").isNull()).alias("kept"),
         F.count_if(F.col("reason").isNotNull()).alias("quarantined"),
-    ).persist()
+    )
+    # every new archive gets a row, an empty one with zeros, so it is not read again (V5, V7)
+    names = spark.createDataFrame([(p.rstrip("/").rsplit("/", 1)[-1],) for p in new_paths], "file_name string")
+    counts = (
+        names.join(failed.select("file_name"), "file_name", "left_anti")
+        .join(per_file, "file_name", "left")
+        .fillna(0, ["rows", "kept", "quarantined"])
+        .persist()
+    )
     stamp = tf.now(as_of)
     counts.select("file_name", stamp.alias("ingested_at")).write.mode("append").parquet(manifest_path)
     failed.select("file_name", "error_message", stamp.alias("failed_at")) \
