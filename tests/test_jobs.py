@@ -76,13 +76,16 @@ def test_station_information_upsert_versions(spark):
         with open(os.path.join(landing, f"station_information_{stamp}.json"), "w") as f:
             json.dump({"data": {"stations": stations}}, f)
 
+    ckpt = os.path.join(root, "ckpt")
     snap("20241001000000", [{"station_id": "a", "name": "A", "capacity": 5},
                             {"station_id": "b", "name": "B", "has_kiosk": None}])
-    jobs.upsert_station_information(spark, landing, table, as_of="2024-10-01 01:00:00")
+    jobs.upsert_station_information(spark, landing, table, ckpt)
     snap("20241002000000", [{"station_id": "a", "name": "A2", "capacity": 6}])
-    jobs.upsert_station_information(spark, landing, table, as_of="2024-10-02 01:00:00")
+    jobs.upsert_station_information(spark, landing, table, ckpt)
+    jobs.upsert_station_information(spark, landing, table, ckpt)  # nothing new: no new version
     cur = {r.station_id: r for r in sinks.read_current(spark, table, schemas.STATION_INFORMATION).collect()}
     assert cur["a"].name == "A2" and cur["a"].capacity == 6
-    assert cur["a"].created_at == T(2024, 10, 1, 1) and cur["a"].updated_at == T(2024, 10, 2, 1)
+    assert cur["a"].created_at == T(2024, 10, 1) and cur["a"].updated_at == T(2024, 10, 2)
     assert cur["b"].has_kiosk is None and cur["b"].installed is False
+    assert cur["b"].updated_at == T(2024, 10, 1)  # absent from the second snapshot: unchanged
     assert len(sinks.versions(spark, table)) == 2

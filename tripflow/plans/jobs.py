@@ -105,18 +105,16 @@ def store_status_feed(spark: SparkSession, landing: str, history_path: str, chec
     return q
 
 
-def upsert_station_information(spark: SparkSession, landing: str, table_path: str, as_of=None) -> str:
-    """Fold landed metadata snapshots into the station table and commit a new
-    version (P-D, K8). A key repeated across snapshots takes the latest."""
-    snaps = feed_src.read_snapshots(spark, landing)
-    rows = feeds.info_rows(feeds.station_objects(snaps, doc_col="doc", keep=("snapshot_time",)),
-                           keep=("snapshot_time",))
-    rows = rows.withColumn("last_reported", F.coalesce("snapshot_time", "last_reported"))
-    existing = sinks.read_current(spark, table_path, schemas.STATION_INFORMATION)
-    values = [f.name for f in schemas.STATION_INFORMATION.fields
-              if f.name not in ("station_id", "created_at", "updated_at")]
-    merged = tables.upsert(existing, rows, "station_id", values, version="last_reported", as_of=as_of)
-    return sinks.commit_version(merged.select(*schemas.STATION_INFORMATION.fieldNames()), table_path)
+def upsert_station_information(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
+                               available_now: bool = True):
+    """Fold each new landed metadata snapshot into the station table and
+    commit a new version (P-D, K8). A key repeated across snapshots takes the
+    latest; each snapshot file is processed once (the stream's checkpoint)."""
+    q = streaming.start_info_upserts(spark, feed_src.stream_snapshots(spark, landing), table_path, checkpoint,
+                                     available_now=available_now)
+    if available_now:
+        q.awaitTermination()
+    return q
 
 
 # -- P-E / P-F / P-H: batch transforms ----------------------------------------------
@@ -168,7 +166,7 @@ def main(argv: list[str] | None = None) -> None:
     c = sub.add_parser("status-feed")
     c.add_argument("landing"), c.add_argument("history"), c.add_argument("checkpoint")
     d = sub.add_parser("info-feed")
-    d.add_argument("landing"), d.add_argument("table")
+    d.add_argument("landing"), d.add_argument("table"), d.add_argument("checkpoint")
     e = sub.add_parser("stations")
     e.add_argument("history"), e.add_argument("info_table"), e.add_argument("out")
     f = sub.add_parser("enrich")
@@ -186,7 +184,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "status-feed":
         store_status_feed(spark, args.landing, args.history, args.checkpoint)
     elif args.job == "info-feed":
-        print(upsert_station_information(spark, args.landing, args.table))
+        upsert_station_information(spark, args.landing, args.table, args.checkpoint)
     elif args.job == "stations":
         status = spark.read.schema(schemas.STATION_STATUS).parquet(args.history)
         info = sinks.read_current(spark, args.info_table, schemas.STATION_INFORMATION)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripflow import schemas
+from tripflow import schemas, sinks
 from tripflow.operators import feeds, tables
 
 
@@ -119,3 +119,34 @@ def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_pat
         batch.unpersist()
 
     return _start(stream, sink, checkpoint, None, available_now, name)
+
+
+INFO_VALUES = [f.name for f in schemas.STATION_INFORMATION.fields
+               if f.name not in ("station_id", "created_at", "updated_at")]
+
+
+def upsert_info_batch(spark: SparkSession, snapshots: DataFrame, table_path: str) -> str | None:
+    """Upsert one batch of metadata snapshots into the versioned station
+    table and commit a new version (K8). Rows are stamped with their
+    snapshot time, and the batch's latest snapshot time is the update time,
+    so replaying a batch writes the same contents again."""
+    rows = feeds.info_rows(feeds.station_objects(snapshots, keep=("snapshot_time",)), keep=("snapshot_time",))
+    rows = rows.withColumn("last_reported", F.coalesce("snapshot_time", "last_reported")).persist()
+    as_of = rows.agg(F.max("last_reported")).first()[0]
+    if as_of is None:
+        rows.unpersist()
+        return None
+    existing = sinks.read_current(spark, table_path, schemas.STATION_INFORMATION)
+    merged = tables.upsert(existing, rows, "station_id", INFO_VALUES, version="last_reported", as_of=as_of)
+    out = sinks.commit_version(merged.select(*schemas.STATION_INFORMATION.fieldNames()), table_path)
+    rows.unpersist()
+    return out
+
+
+def start_info_upserts(spark: SparkSession, snapshots: DataFrame, table_path: str, checkpoint: str,
+                       processing_time: str | None = "1 day", available_now: bool = False,
+                       name: str | None = None) -> StreamingQuery:
+    """Each new metadata snapshot file folded into the station table once
+    (P-D: S4, K8, T4)."""
+    return _start(snapshots, lambda batch, _id: upsert_info_batch(spark, batch, table_path), checkpoint,
+                  processing_time, available_now, name)
