@@ -51,3 +51,16 @@ def test_option_builders():
 
 def test_missing_manifest_reads_empty(spark):
     assert relational.read_manifest(spark, os.path.join(tempfile.mkdtemp(), "nope")).count() == 0
+
+
+def test_read_cleaned_lineage(spark):
+    from tripflow.sources import trips as trip_src
+    root = os.path.join(tempfile.mkdtemp(), "cleaned")
+    df = spark.createDataFrame(
+        [(f"r{i}", "b", T(2024, 10, 1), T(2024, 10, 1), "s", "1", "e", "2", None, None, None, None, "m",
+          dt.date(2024, 10, 1)) for i in range(5)], schemas.TRIP)
+    sinks.write_by_month(df, root, partitions=1)
+    back = trip_src.read_cleaned(spark, root)
+    assert back.count() == 5
+    assert sorted(r.source_row for r in back.collect()) == [0, 1, 2, 3, 4]
+    assert back.filter("month = DATE'2024-10-01'").count() == 5

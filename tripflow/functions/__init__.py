@@ -158,11 +158,6 @@ def to_month_date(c: Column | str) -> Column:
     return _c(c).try_cast("date")
 
 
-def in_range(c: Column | str, lo: int, hi: int) -> Column:
-    col = _c(c)
-    return col.isNull() | col.between(lo, hi)
-
-
 def narrow(c: Column | str, to: DataType | str = "int") -> Column:
     """Wide integer to a narrower one; out of range gives null."""
     return _c(c).try_cast(to)

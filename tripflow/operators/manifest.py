@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow import functions as tf
 
 
 def unprocessed(files: DataFrame, loaded: DataFrame, failed: DataFrame,
@@ -14,23 +13,3 @@ def unprocessed(files: DataFrame, loaded: DataFrame, failed: DataFrame,
     union of both logs (J4, U2). Nulls in a log never match."""
     done = loaded.select(key).unionByName(failed.select(key))
     return files.join(done, key, "left_anti")
-
-
-def with_file_name(df: DataFrame, path_col: str = "path", out: str = "file_name") -> DataFrame:
-    """Add the base name of a file path (the manifest key)."""
-    return df.withColumn(out, tf.base_name(path_col))
-
-
-def outcome_rows(per_file: DataFrame, ok: str, error: str, as_of) -> tuple[DataFrame, DataFrame]:
-    """Split per-file results into loaded-log and failed-log rows.
-
-    ``per_file`` has ``file_name``, a boolean ``ok`` column and an ``error``
-    text column. Every file lands in exactly one of the two logs.
-    """
-    loaded = per_file.filter(F.col(ok)).select(
-        "file_name", tf.now(as_of).alias("ingested_at")
-    )
-    failed = per_file.filter(~F.col(ok)).select(
-        "file_name", F.col(error).alias("error_message"), tf.now(as_of).alias("failed_at")
-    )
-    return loaded, failed

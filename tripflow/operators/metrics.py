@@ -52,8 +52,3 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols],
     )
-
-
-def rows_by_outcome(df: DataFrame, source: str, outcome: str) -> DataFrame:
-    """Rows per source and outcome (read / kept / quarantined), A6."""
-    return df.groupBy(source, outcome).agg(F.count(F.lit(1)).alias("rows"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tripflow import schemas, sinks, streaming
 from tripflow import functions as tf
-from tripflow.operators import clean, enrich, feeds, metrics, stations, tables
+from tripflow.operators import clean, enrich, metrics, stations
 from tripflow.operators.joins import sized_side
 from tripflow.sources import feeds as feed_src
 from tripflow.sources import relational, trips as trip_src

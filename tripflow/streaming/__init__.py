@@ -90,12 +90,9 @@ def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_pat
     (cleaned files hold at most 200,000 rows), which keeps the batch's keys
     small enough to be broadcast against the table's keys.
     """
-    stream = (spark.readStream.schema(schemas.TRIP).option("maxFilesPerTrigger", str(files_per_batch))
-              .parquet(cleaned_dir)).select(
-        "*",
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.row_index").alias("source_row"),
-    )
+    from tripflow.sources.trips import stream_cleaned
+
+    stream = stream_cleaned(spark, cleaned_dir, files_per_batch)
     writer = batch_partition_writer(table_path)
     rejected = batch_partition_writer(table_path.rstrip("/") + "_rejected")
     lineage = ["source_file", "source_row"]
