@@ -320,6 +320,25 @@ def q_trip_clean(spark, sf_dir):
     return kept
 
 
+@_register("trip_clean_csv_files",
+           O.with_(raw=_RAW) + f" SELECT * FROM raw WHERE {_REASON} = ''")
+def q_trip_clean_csv_files(spark, sf_dir):
+    """The trip CSV records landed as text files, one folder per source file
+    with its header line (S5), read back with each file's header found by
+    content, then cleaned as in ``trip_clean``."""
+    run = fresh_dir(spark, "trip_csv")
+    records = S.raw_trip_records(S.table(spark, sf_dir, "lineitem", spread=True))
+    headers = records.groupBy("source").agg(F.first("header").alias("line"))
+    lines = records.select("source", "line").unionByName(headers)
+    # one task per source, so each landed file holds its header and its lines
+    lines.repartition("source").write.partitionBy("source").text(f"{run}/landing")
+    from tripflow.sources import trips as trip_src
+
+    recs = trip_src.csv_records(spark, f"{run}/landing", glob="*.txt")
+    kept, _ = clean.split_clean(clean.type_trips(clean.bind_by_header(recs)))
+    return kept
+
+
 @_register("trip_quarantine",
            O.with_(raw=_RAW) + f" SELECT ride_id, {_REASON} AS reason FROM raw WHERE {_REASON} <> ''")
 def q_trip_quarantine(spark, sf_dir):
