@@ -52,3 +52,9 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols],
     )
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows, for a look at a table (L1); a limit is the
+    feature here, the jobs never use it."""
+    return df.limit(n)
