@@ -124,7 +124,7 @@ def q_duplicate_keys(spark, sf_dir):
 
 
 @_register("length_check",
-           " SELECT doc_id, length(text) AS text_length FROM documents WHERE length(text) > 255")
+           " SELECT doc_id, CAST(length(text) AS INTEGER) AS text_length FROM documents WHERE length(text) > 255")
 def q_length_check(spark, sf_dir):
     """Texts longer than the 255-character column limit (V4)."""
     docs = S.table(spark, sf_dir, "documents")
