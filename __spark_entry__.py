@@ -246,7 +246,7 @@ def q_insert_if_absent(spark, sf_dir):
              " date_trunc('second', last_reported) AS last_reported FROM status")
 def q_status_parse(spark, sf_dir):
     """Status rows published as JSON messages (K3) and parsed back."""
-    msgs = feeds.to_status_messages(S.status(spark, sf_dir))
+    msgs = feeds.to_status_messages(S.status(spark, sf_dir, spread=True))
     return feeds.parse_status_messages(msgs)
 
 
@@ -380,7 +380,7 @@ def q_status_parse_stream(spark, sf_dir):
     foreachBatch sink (T2-T5); the written table is returned."""
     run = fresh_dir(spark, "status_stream")
     landing, out, ckpt = f"{run}/landing", f"{run}/history", f"{run}/checkpoint"
-    msgs = feeds.to_status_messages(S.status(spark, sf_dir))
+    msgs = feeds.to_status_messages(S.status(spark, sf_dir, spread=True))
     msgs.select(F.col("value").cast("string").alias("value")).write.text(landing)
     stream = spark.readStream.schema("value string").text(landing)
     q = streaming.start_status_stream(stream, out, ckpt, available_now=True)
