@@ -120,7 +120,7 @@ def q_trips_per_day(spark, sf_dir):
            + " SELECT ride_id, COUNT(*) AS occurrences FROM trips GROUP BY ride_id HAVING COUNT(*) > 1")
 def q_duplicate_keys(spark, sf_dir):
     """ride_id values that occur more than once (V3)."""
-    return quality.duplicate_keys(S.trips(spark, sf_dir), ["ride_id"])
+    return quality.duplicate_keys(S.trips(spark, sf_dir, spread=True), ["ride_id"])
 
 
 @_register("length_check",
