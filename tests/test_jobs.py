@@ -46,6 +46,10 @@ def test_archive_to_enriched_trips(spark):
     assert [r.file_name for r in failed] == ["202412-demo-tripdata.zip"]
     # a second run finds nothing new
     assert jobs.clean_trip_archives(spark, arch, p["cleaned"], p["quarantine"], p["manifest"]).count() == 0
+    # a re-run whose manifest write was lost rewrites each archive's rows in place
+    jobs.clean_trip_archives(spark, arch, p["cleaned"], p["quarantine"], p["manifest"] + "_lost")
+    assert spark.read.parquet(p["cleaned"]).count() == 90
+    assert spark.read.parquet(p["quarantine"]).count() == 2
 
     table = jobs.load_trips(spark, p["cleaned"], p["table"], p["ckpt"])
     assert table.count() == 80  # R50..R59 loaded once

@@ -58,9 +58,14 @@ def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: st
     keep = ("source", "entry")
     typed = clean.with_reason(clean.type_trips(clean.bind_by_header(ok_records, keep=keep), keep=keep))
     typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
-    good = typed.filter(F.col("reason").isNull()).select(*schemas.TRIP_COLUMNS)
-    sinks.write_by_month(good, cleaned_path)
-    typed.filter(F.col("reason").isNotNull()).write.mode("append").parquet(quarantine_path)
+    # outputs are partitioned by archive and replace that archive's earlier
+    # output, so re-running after a failure before the manifest write is safe
+    archive = tf.base_name("source").alias("archive")
+    good = typed.filter(F.col("reason").isNull()).select(*schemas.TRIP_COLUMNS, archive)
+    sinks.write_by_month(good, cleaned_path, source_col="archive")
+    (typed.filter(F.col("reason").isNotNull()).withColumn("archive", archive)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archive")
+     .parquet(quarantine_path))
     per_file = typed.groupBy(tf.base_name("source").alias("file_name")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("reason").isNull()).alias("kept"),

@@ -18,7 +18,8 @@ from tripflow.operators.feeds import to_status_messages
 
 
 def write_by_month(trips: DataFrame, path: str, rows_per_file: int = schemas.ROWS_PER_FILE,
-                   partitions: int | None = None, mode: str = "append") -> None:
+                   partitions: int | None = None, mode: str = "append",
+                   source_col: str | None = None) -> None:
     """Trips as Snappy Parquet under ``month=YYYY-MM-01/`` with at most
     ``rows_per_file`` rows per file (K4, L2).
 
@@ -26,16 +27,19 @@ def write_by_month(trips: DataFrame, path: str, rows_per_file: int = schemas.ROW
     slice of few months, so files are not scattered over every task, and a
     month holding a large share of the trips is cut into several tasks
     instead of landing in one.
+
+    With ``source_col`` (the input file each row came from) the layout is
+    ``month=.../<source_col>=.../`` and the write replaces exactly the
+    partitions of the sources it contains, so writing a source again (a
+    re-run after a failure) replaces its rows instead of adding them.
     """
     n = partitions or int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (
-        trips.repartitionByRange(n, "month", "ride_id")
-        .write.mode(mode)
-        .partitionBy("month")
-        .option("maxRecordsPerFile", rows_per_file)
-        .option("compression", "snappy")
-        .parquet(path)
-    )
+    w = trips.repartitionByRange(n, "month", "ride_id").write
+    if source_col:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", source_col)
+    else:
+        w = w.mode(mode).partitionBy("month")
+    w.option("maxRecordsPerFile", rows_per_file).option("compression", "snappy").parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str],

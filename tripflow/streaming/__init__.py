@@ -109,7 +109,7 @@ def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_pat
             target = spark.createDataFrame([], "ride_id string")
         new_rows = tables.insert_if_absent(batch, target, ["ride_id"], ["started_at", *lineage])
         new_rows = new_rows.persist()
-        writer(new_rows.drop(*lineage), batch_id)
+        writer(new_rows.select(*schemas.TRIP_COLUMNS), batch_id)
         lost = batch.join(new_rows.select(*lineage), lineage, "left_anti")
         rejected(lost.withColumn("reason", F.lit("duplicate_ride_id")), batch_id)
         new_rows.unpersist()
