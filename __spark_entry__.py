@@ -8,8 +8,15 @@ the whole table. Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# the package sits next to this file; make it importable however this file is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
