@@ -64,3 +64,19 @@ def test_read_cleaned_lineage(spark):
     assert back.count() == 5
     assert sorted(r.source_row for r in back.collect()) == [0, 1, 2, 3, 4]
     assert back.filter("month = DATE'2024-10-01'").count() == 5
+
+
+def test_conform_casts_and_fills(spark):
+    raw = spark.createDataFrame([("r1", "2024-10-01 08:00:00", "40.1234567", "x")],
+                                "ride_id string, started_at string, start_lat string, extra string")
+    out = schemas.conform(raw, schemas.TRIP)
+    assert out.columns == schemas.TRIP_COLUMNS
+    r = out.first()
+    assert r.started_at == T(2024, 10, 1, 8) and str(r.start_lat) == "40.123457" and r.month is None
+    with pytest.raises(ValueError, match="month"):
+        schemas.conform(raw, schemas.TRIP, strict=True)
+
+
+def test_preview(spark):
+    from tripflow.operators import metrics
+    assert metrics.preview(spark.range(100)).count() == 5

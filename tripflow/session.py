@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,16 +71,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, kind: str) -> str:
     """A new, unused folder below :func:`shared_dir` for one run."""
     return shared_dir(spark, "tripflow", kind, uuid.uuid4().hex)
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or "://" not in path
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
