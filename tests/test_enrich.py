@@ -73,3 +73,15 @@ def test_trip_side_not_shuffled_when_broadcast(spark):
     plan = final_plan(out)
     # the only exchanges are the broadcasts of the station side
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_sides_released_after_block(spark):
+    from tripflow.operators.joins import released_after
+
+    trips, st = frames(spark)
+    with released_after():
+        out = enrich.enrich_trips(trips, st)
+        n = out.count()
+        cached = [r for r in spark.sparkContext._jsc.getPersistentRDDs().values()]
+        assert n == 8 and cached
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) < len(cached)

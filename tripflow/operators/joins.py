@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -28,6 +30,27 @@ class SizedSide:
         self.frame.unpersist()
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def released_after():
+    """Unpersist every side that :func:`sized_side` persists inside the block.
+
+    Jobs and streaming micro-batches wrap their writes in it, so cached join
+    sides do not pile up over a long-running application.
+    """
+    stack = getattr(_scopes, "stack", None)
+    if stack is None:
+        stack = _scopes.stack = []
+    stack.append([])
+    try:
+        yield
+    finally:
+        for side in stack.pop():
+            side.release()
+
+
 def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> SizedSide:
     """Persist ``df``, count it, and broadcast it only if it has at most
     ``max_rows`` rows. Beyond that the join falls back to a shuffle join, where
@@ -39,4 +62,8 @@ def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> SizedSi
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
-    return SizedSide(kept, n, n <= max_rows)
+    side = SizedSide(kept, n, n <= max_rows)
+    stack = getattr(_scopes, "stack", None)
+    if stack:
+        stack[-1].append(side)
+    return side

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripflow import schemas, sinks, streaming
 from tripflow import functions as tf
 from tripflow.operators import clean, enrich, metrics, stations
-from tripflow.operators.joins import sized_side
+from tripflow.operators.joins import released_after, sized_side
 from tripflow.sources import feeds as feed_src
 from tripflow.sources import relational, trips as trip_src
 from tripflow.session import build_session
@@ -139,8 +139,9 @@ def enrich_trip_table(spark: SparkSession, trips: DataFrame, transformed: DataFr
     ``latest`` first reduces the growing station table to one row per
     station (D1), which bounds the broadcast side and keeps one row per trip."""
     st = stations.latest_per_station(transformed) if latest else transformed
-    out = enrich.enrich_trips(trips, st)
-    sinks.write_partitioned(out, out_path, ["month"])
+    with released_after():
+        out = enrich.enrich_trips(trips, st)
+        sinks.write_partitioned(out, out_path, ["month"])
 
 
 def renting_status(spark: SparkSession, status: DataFrame, out_path: str) -> None:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripflow import schemas, sinks
 from tripflow.operators import feeds, tables
+from tripflow.operators.joins import released_after
 
 
 def batch_partition_writer(path: str, partition_by: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
@@ -98,6 +99,10 @@ def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_pat
     lineage = ["source_file", "source_row"]
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        with released_after():
+            load_batch(batch, batch_id)
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             # a replayed batch must not see its own earlier output
