@@ -39,8 +39,8 @@ def test_epoch_round_trip(spark):
 
 
 def test_names(spark):
-    assert one(spark, tf.name_matches("v"), "/data/202410-citibike-tripdata.csv.zip") is True
-    assert one(spark, tf.name_matches("v"), "/data/2024-citibike-tripdata.zip") is False
+    assert one(spark, tf.name_matches("v"), "/data/202410-metro-tripdata.csv.zip") is True
+    assert one(spark, tf.name_matches("v"), "/data/2024-metro-tripdata.zip") is False
     assert one(spark, tf.snapshot_time("v"), "s3://b/station_status_20241001080102.json") == T(2024, 10, 1, 8, 1, 2)
 
 
