@@ -24,10 +24,12 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     streamed = spark.read.parquet(out)
     batch = feeds.parse_status_messages(spark.read.schema("value string").text(landing))
     before = rows(streamed.drop("batch_id"))
-    assert before == rows(batch)
+    assert before == rows(batch.filter("station_id IS NOT NULL AND last_reported IS NOT NULL"))
+    bad = spark.read.parquet(out + "_quarantine").collect()
+    assert [(r.raw, r.reason) for r in bad] == [("broken", "no_station_id,no_last_reported")]
     # replaying batch 0 with the same rows changes nothing
     writer = streaming.batch_partition_writer(out)
-    writer(batch, 0)
+    writer(batch.filter("station_id IS NOT NULL"), 0)
     assert rows(spark.read.parquet(out).drop("batch_id")) == before
 
 

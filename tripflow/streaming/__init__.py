@@ -52,9 +52,29 @@ def start_status_stream(messages: DataFrame, out_path: str, checkpoint: str, uni
                         processing_time: str | None = "60 seconds", available_now: bool = False,
                         name: str | None = None) -> StreamingQuery:
     """Status messages (topic or files with a ``value`` column) parsed and
-    appended to the status history (P-G: T1-T3, T6 via ``awaitTermination``)."""
-    parsed = feeds.parse_status_messages(messages, unit=unit)
-    return _start(parsed, batch_partition_writer(out_path), checkpoint, processing_time, available_now, name)
+    appended to the status history (P-G: T1-T3, T6 via ``awaitTermination``).
+    Messages without a station or a time (malformed, null, wrong types) go to
+    ``<out_path>_quarantine`` with their raw text."""
+    parsed = feeds.parse_status_messages(
+        messages.withColumn("raw", F.col("value").cast("string")), unit=unit, keep=("raw",))
+    parsed = parsed.withColumn("reason", feeds.status_defects())
+    return _start(parsed, _split_writer(out_path, keep_in_good=("raw",)), checkpoint, processing_time,
+                  available_now, name)
+
+
+def _split_writer(out_path: str, keep_in_good: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function writing rows without ``reason`` to
+    ``out_path`` and the others to ``<out_path>_quarantine``."""
+    good_writer = batch_partition_writer(out_path)
+    bad_writer = batch_partition_writer(out_path.rstrip("/") + "_quarantine")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        good_writer(batch.filter(F.col("reason").isNull()).drop("reason", *keep_in_good), batch_id)
+        bad_writer(batch.filter(F.col("reason").isNotNull()), batch_id)
+        batch.unpersist()
+
+    return sink
 
 
 def start_feed_history(snapshots: DataFrame, out_path: str, checkpoint: str,
@@ -67,16 +87,7 @@ def start_feed_history(snapshots: DataFrame, out_path: str, checkpoint: str,
                              keep=("snapshot_time",))
     rows = rows.withColumn("inserted_at", F.coalesce("snapshot_time", "inserted_at")).drop("snapshot_time")
     rows = rows.withColumn("reason", feeds.status_defects())
-    good_writer = batch_partition_writer(out_path)
-    bad_writer = batch_partition_writer(out_path.rstrip("/") + "_quarantine")
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        good_writer(batch.filter(F.col("reason").isNull()).drop("reason"), batch_id)
-        bad_writer(batch.filter(F.col("reason").isNotNull()), batch_id)
-        batch.unpersist()
-
-    return _start(rows, sink, checkpoint, processing_time, available_now, name)
+    return _start(rows, _split_writer(out_path), checkpoint, processing_time, available_now, name)
 
 
 def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_path: str,
