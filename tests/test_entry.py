@@ -81,3 +81,9 @@ def test_enrich_plan_is_two_broadcast_joins(spark):
     plan = plan_of(E.queries()["trip_enrich_latest"](spark, SF))
     assert plan.count("BroadcastHashJoin") >= 2
     assert "SortMergeJoin" not in plan.split("InMemoryRelation")[0]
+
+
+def test_station_aggregate_shuffles_history_once(spark):
+    plan = plan_of(E.queries()["station_aggregate"](spark, SF))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "BroadcastHashJoin" in plan

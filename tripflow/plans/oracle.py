@@ -12,7 +12,7 @@ STATUS = """
   SELECT CAST(user_id AS VARCHAR) AS station_id,
          CAST(floor(value) AS INTEGER) AS num_bikes_available,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS num_docks_available,
-         TRUE AS is_installed,
+         event_type <> 'signup' AS is_installed,
          event_type <> 'error' AS is_renting,
          event_type <> 'purchase' AS is_returning,
          ts AS last_reported,

@@ -5,7 +5,7 @@ test table and maps it onto the bike schema with plain column expressions;
 the row counts grow with the scale factor like the real feeds would.
 
 * ``events``   → station_status  (user_id = station, value = bikes,
-  props.k = docks, event_type decides the flags, ts = last_reported)
+  props.k = docks, event_type decides the three flags, ts = last_reported)
 * ``customer`` → station_information (c_custkey = station)
 * ``lineitem`` → tripdata (l_suppkey = start station, l_partkey = end station)
 
@@ -57,7 +57,7 @@ def status_from_events(events: DataFrame) -> DataFrame:
         _txt("user_id").alias("station_id"),
         F.floor("value").cast("int").alias("num_bikes_available"),
         docks.alias("num_docks_available"),
-        F.lit(True).alias("is_installed"),
+        (F.col("event_type") != "signup").alias("is_installed"),
         (F.col("event_type") != "error").alias("is_renting"),
         (F.col("event_type") != "purchase").alias("is_returning"),
         F.col("ts").alias("last_reported"),
