@@ -93,3 +93,19 @@ def test_station_information_upsert_versions(spark):
     assert cur["b"].has_kiosk is None and cur["b"].installed is False
     assert cur["b"].updated_at == T(2024, 10, 1)  # absent from the second snapshot: unchanged
     assert len(sinks.versions(spark, table)) == 2
+
+
+def test_cli_stations_and_renting(spark, capsys):
+    root = tempfile.mkdtemp(prefix="tripflow-cli-")
+    history, info_table, out, renting = (os.path.join(root, p) for p in ("history", "info", "out", "renting"))
+    spark.createDataFrame(
+        [("a", 1, 2, True, r, True, T(2024, 10, d), None) for d, r in ((1, True), (2, False), (3, None))],
+        schemas.STATION_STATUS).write.parquet(history)
+    sinks.commit_version(spark.createDataFrame(
+        [("a", "A", "a.1", 1.0, 2.0, "r", 5, False, True, True, T(2024, 9, 1), T(2024, 9, 1), T(2024, 9, 1))],
+        schemas.STATION_INFORMATION), info_table)
+    jobs.main(["stations", history, info_table, out])
+    assert capsys.readouterr().out.strip().endswith("3")  # rows for renting true / false / null
+    jobs.main(["renting", history, renting])
+    got = spark.read.parquet(renting).collect()
+    assert [(r.station_id, str(r.day)) for r in got] == [("a", "2024-10-01")]
