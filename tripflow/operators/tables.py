@@ -27,19 +27,19 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ())
     ``min`` over a struct is combined inside each task before the shuffle, so a
     key with a huge share of the rows sends one row per task. Rows with a null
     key component are kept one per distinct row, as a relational unique key
-    lets nulls repeat.
+    lets nulls repeat: they are grouped by their whole row, in the same single
+    aggregation (one pass over the input).
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key and c not in order]
     ranked = [*order, *rest]
-    picked = (
-        df.groupBy(*key)
+    null_row = F.when(tf.any_null(key), _pack(df.columns)).alias("_null_key_row")
+    return (
+        df.groupBy(*key, null_row)
         .agg(F.min(_pack(ranked)).alias("_row"))
         .select(*key, *[F.col(f"_row.{c}").alias(c) for c in ranked])
         .select(*df.columns)
     )
-    null_key = tf.any_null(key)
-    return picked.filter(~null_key).unionByName(df.filter(null_key).distinct())
 
 
 def insert_if_absent(incoming: DataFrame, target: DataFrame, key: Sequence[str],
