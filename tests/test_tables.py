@@ -74,3 +74,12 @@ def test_insert_if_absent_probe_paths_agree_and_target_not_shuffled(spark):
     plan = small._jdf.queryExecution().executedPlan().toString()
     # the target's keys are probed against the broadcast load keys where they are scanned
     assert "LeftSemi, BuildRight" in plan
+
+
+def test_upsert_keeps_repeated_null_key_rows(spark):
+    existing = info(spark, [row(None, "same", 1), row(None, "same", 1), row("a", "a", 1)])
+    updates = info(spark, [row(None, "same", 1), row("a", "a2", 2)])
+    out = tables.upsert(existing, updates, "station_id", VALUES, as_of=AS_OF)
+    got = sorted((r.station_id or "", r.name) for r in out.collect())
+    assert got == [("", "same"), ("", "same"), ("", "same"), ("a", "a2")]
+    assert out.filter("station_id IS NULL AND created_at = TIMESTAMP'2024-12-01 00:00:00'").count() == 1

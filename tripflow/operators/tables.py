@@ -76,8 +76,8 @@ def upsert(existing: DataFrame, updates: DataFrame, key: str, values: Sequence[s
       (then the greatest values, so the pick is deterministic);
     * null keys never conflict: such rows are kept or inserted as they are.
 
-    One union and one aggregation keyed on ``key``: a single shuffle of both
-    sides, with the aggregate combined per task before it.
+    One union and one aggregation keyed on ``key``: both sides are read once
+    and shuffled once, with the aggregate combined per task before it.
     """
     values = list(values)
     stamp = tf.now(as_of)
@@ -94,26 +94,25 @@ def upsert(existing: DataFrame, updates: DataFrame, key: str, values: Sequence[s
         F.lit(1).alias("_src"), ver.cast(ver_type).alias("_ver"),
     )
     both = old.unionByName(new)
-    has_key = F.col(key).isNotNull()
-    merged = (
-        both.filter(has_key)
-        .groupBy(key)
-        .agg(
-            F.max(_pack(["_src", "_ver", *values])).alias("_win"),
-            F.min(created).alias("_created"),
-            F.max(updated).alias("_updated_old"),
-            F.max("_src").alias("_touched"),
-        )
-        .select(
-            key,
-            *[F.col(f"_win.{v}").alias(v) for v in values],
-            F.coalesce(F.col("_created"), stamp).alias(created),
-            F.when(F.col("_touched") == 1, stamp).otherwise(F.col("_updated_old")).alias(updated),
-        )
+    null_key = F.col(key).isNull()
+    # null keys never conflict: such rows group by their whole row, and the
+    # count restores how many there were, so one aggregation covers both cases
+    null_row = F.when(null_key, _pack(both.columns)).alias("_null_row")
+    merged = both.groupBy(key, null_row).agg(
+        F.max(_pack(["_src", "_ver", *values])).alias("_win"),
+        F.min(created).alias("_created"),
+        F.max(updated).alias("_updated_old"),
+        F.max("_src").alias("_touched"),
+        F.count(F.lit(1)).cast("int").alias("_n"),
     )
-    keyless = both.filter(~has_key).select(
-        key, *values,
-        F.coalesce(F.col(created), stamp).alias(created),
-        F.coalesce(F.col(updated), stamp).alias(updated),
-    )
-    return merged.unionByName(keyless)
+    is_null = F.col(key).isNull()
+    copies = F.when(is_null, F.array_repeat(F.lit(1), F.col("_n"))).otherwise(F.array(F.lit(1)))
+    return merged.select(
+        key,
+        *[F.when(is_null, F.col(f"_null_row.{v}")).otherwise(F.col(f"_win.{v}")).alias(v) for v in values],
+        F.when(is_null, F.coalesce(F.col(f"_null_row.{created}"), stamp))
+        .otherwise(F.coalesce(F.col("_created"), stamp)).alias(created),
+        F.when(is_null, F.coalesce(F.col(f"_null_row.{updated}"), stamp))
+        .when(F.col("_touched") == 1, stamp).otherwise(F.col("_updated_old")).alias(updated),
+        F.explode(copies).alias("_copy"),
+    ).drop("_copy")
