@@ -79,3 +79,14 @@ def test_feed_snapshots_time_from_name(spark):
     assert [str(t[0]) for t in got] == ["2024-10-01 08:00:00", "2024-10-01 08:01:00"]
     from tripflow.operators import feeds
     assert feeds.station_objects(snaps).count() == 5
+
+
+def test_csv_records_fallback_join_same_rows(spark):
+    root = tempfile.mkdtemp(prefix="tripflow-csv2-")
+    for name, start in (("a.csv", 0), ("b.csv", 100)):
+        with open(os.path.join(root, name), "w") as f:
+            f.write(csv_text(7, start=start))
+    small = trip_src.csv_records(spark, root)
+    big = trip_src.csv_records(spark, root, max_files_broadcast=0)
+    assert rows(small, "source", "line") == rows(big, "source", "line")
+    assert small.count() == 14
