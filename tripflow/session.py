@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -49,16 +52,38 @@ def ensure_job_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that Python
+    tasks can import it wherever the session was started from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tripflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # executors fetch the archive from the driver, so it lives as long as the application
+    archive = os.path.join(tempfile.mkdtemp(dir=getattr(sc, "_temp_dir", None)), "tripflow_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("tripflow", os.path.relpath(path, package)))
+    sc.addPyFile(archive)
+    sc._tripflow_shipped = True
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, under the cluster's checkpoint dir.
 
     ``spark.checkpoint.dir`` (or the context's checkpoint dir) names the shared
-    folder on a cluster. Only when neither is set (local tests) is a fresh
-    temporary folder created and registered as the checkpoint dir.
+    folder on a cluster. Where neither is set, a local master gets a fresh
+    temporary folder, registered as the checkpoint dir; any other master is
+    refused, since its executors do not see the driver's disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
+    if not base and not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="tripflow-")
         spark.sparkContext.setCheckpointDir(base)
