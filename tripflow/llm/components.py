@@ -17,7 +17,8 @@ def _star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a vertex, and for the small star the
     vertex itself, to the vertex's least neighbour."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
+    # written, so that the join deals both sides anew and a hub's edges can be split
+    least = saved(least.select("a", F.least("a", "m").alias("m")), "least")
     return edges.join(least, "a")
 
 

@@ -13,7 +13,8 @@ Brute force in a bucket compares 128-bin one-permutation sketches with a
 margin of four standard deviations; what passes is joined to coarse clusters,
 and inside each cluster *every* pair of sets is compared exactly. A bucket or
 cluster that is too large for one task is dealt as pairs of blocks, so no
-group is ever gathered whole and nothing is capped.
+group is ever gathered whole and nothing is capped. Joins whose sides both grow
+with the corpus are merge joins at every size; AQE splits their hot keys.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ from .components import components
 _U = np.uint64
 BINS = 128          # bins of a sketch
 MARGIN = 0.15       # a sketch estimate this far below the threshold still passes
-SMALL_BUCKET = 256  # sets that one node may hold before it is split
-BLOCK = 512         # sets of one block of a bucket or cluster that stays large
+SMALL_BUCKET = 2048  # sets that one node may hold before it is split
+BLOCK = 1024        # sets of one block of a bucket or cluster that stays large
 BLOCK_SHINGLES = 2_000_000  # shingles of one block
 
 
@@ -256,7 +257,7 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
         F.min(F.struct("doc_id", "row")).alias("r"), F.count(F.lit(1)).alias("copies"))
     reps = saved(reps.select(F.col("r.doc_id").alias("rep"), F.col("r.row").alias("row"), "copies", *sig),
                  "ngram_reps")
-    first = saved(sets.drop("doc_id", *sig).join(reps.select("row", "rep"), "row"), "ngram_first")
+    first = saved(sets.drop("doc_id", *sig).join(reps.select("row", "rep").hint("merge"), "row"), "ngram_first")
 
     # level by level: a node of 2 to SMALL_BUCKET sets is a bucket, a larger one is split
     leaves, big = None, None
@@ -270,10 +271,10 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
                       "ngram_nodes")
         big = sizes.filter(F.col("members") > SMALL_BUCKET)
         done = sizes if level == depth else sizes.filter(F.col("members") <= SMALL_BUCKET)
-        part = rows.join(done, "path")
+        part = rows.join(done.hint("merge"), "path")
         leaves = part if leaves is None else leaves.unionByName(part)
     leaves = leaves.withColumn("blocks", F.ceil(F.col("members") / BLOCK)) \
-        .join(first.select("rep", "sketch"), "rep")
+        .join(first.select("rep", "sketch").hint("merge"), "rep")
     coarse = components(_sketch_edges(_dealt(leaves, "path", "rep", "sketch"), threshold - MARGIN))
 
     # inside each coarse cluster every pair of sets is compared exactly
@@ -283,7 +284,7 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks"))
     wanted = members.join(blocks, "cluster").select(F.col("rep").alias("doc_id"), "rep", "cluster", "copies",
                                                     "blocks", *sig)
-    tokens = _token_sets(slim.join(wanted, "doc_id"), n)
+    tokens = _token_sets(slim.join(wanted.hint("merge"), "doc_id"), n)
     linked = saved(_verified(_dealt(tokens, "cluster", "rep", "copies", "tokens"), threshold), "ngram_links")
     parts = components(linked.filter("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     found = reps.join(linked.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left") \
