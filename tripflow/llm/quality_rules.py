@@ -67,7 +67,9 @@ def with_base(counts: DataFrame) -> DataFrame:
 
 def host_rates(base: DataFrame, host: str, max_rate: float) -> DataFrame:
     """One row per non-null host: documents, failures, the rate shrunk by the
-    empirical beta prior, and ``host_kept`` (rate at most ``max_rate``).
+    empirical beta prior, and ``host_kept``: the rate is at most ``max_rate``,
+    or at most twice that of the corpus, so that a host is never rejected for
+    being like the others.
 
     Five sums over the hosts fit the prior (:func:`beta_prior`); only they
     reach the driver.
@@ -75,13 +77,14 @@ def host_rates(base: DataFrame, host: str, max_rate: float) -> DataFrame:
     hosts = base.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("host")).agg(
         F.count(F.lit(1)).alias("host_docs"), F.sum(F.col("base_failed").cast("long")).alias("host_failed"))
     hosts = saved(hosts, "host_rates")
-    prior = beta_prior(hosts.agg(
+    sums = hosts.agg(
         F.count(F.lit(1)).alias("k"), F.sum("host_docs").alias("n"), F.sum("host_failed").alias("failed"),
         F.sum(F.col("host_docs") * F.col("host_docs")).alias("n2"),
-        F.sum(F.col("host_failed") * F.col("host_failed") / F.col("host_docs")).alias("q")).first())
+        F.sum(F.col("host_failed") * F.col("host_failed") / F.col("host_docs")).alias("q")).first()
+    prior = beta_prior(sums)
+    most = max(max_rate, 2 * (sums["failed"] or 0) / (sums["n"] or 1))
     rate = (F.col("host_failed") + F.lit(prior[0])) / (F.col("host_docs") + F.lit(sum(prior)))
-    return hosts.select("host", "host_docs", "host_failed", rate.alias("host_rate"),
-                        (rate <= max_rate).alias("host_kept"))
+    return hosts.select("host", "host_docs", "host_failed", rate.alias("host_rate"), (rate <= most).alias("host_kept"))
 
 
 def beta_prior(sums) -> tuple[float, float]:
@@ -106,7 +109,7 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", max
 
     Returns ``doc_id``, ``host``, the counts of :func:`text_counts`,
     ``base_failed``, ``host_rate`` and ``kept`` (not ``base_failed``, and the
-    host's shrunken failure rate is at most ``max_rate``).
+    host is kept by :func:`host_rates`).
 
     A null text has no words and fails; a null host has no verdict, so such
     rows are kept or not by their own counts. Rows with a null or repeated key

@@ -99,7 +99,7 @@ _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'
 _SHINGLES = "list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))"
 
 
-def _mix_sql(sweeps: int = 12) -> str:
+def _mix_sql(sweeps: int = 50) -> str:
     """The same raking with the sweeps written out."""
     dims = ("source", "lang", "topic")
     out = [f"""WITH d AS MATERIALIZED (SELECT doc_id, source, lang, len({_WORDS}) AS tokens, text FROM documents),
@@ -159,9 +159,10 @@ SQL = {
       s AS (SELECT sum(n) AS n, count(*) AS k, sum(x) / sum(n) AS m, sum(n * n) AS n2, sum(x * x / n) AS q FROM h),
       v AS (SELECT *, (q - n * m * m - (k - 1) * m * (1 - m)) / (n - n2 / n - (k - 1)) AS v FROM s),
       z AS (SELECT m, CASE WHEN v > 0 THEN greatest(m * (1 - m) / v - 1, 0) ELSE n END AS strength FROM v),
-      t AS (SELECT host, (x + m * strength) / (n + strength) AS rate FROM h, z)
+      t AS (SELECT host, (x + m * strength) / (n + strength) AS rate, greatest(0.5, 2 * m) AS most FROM h,
+        (SELECT m, strength FROM z))
       SELECT doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-        round(rate, 6) AS host_rate, NOT base_failed AND rate <= 0.5 AS kept FROM b JOIN t USING (host)""",
+        round(rate, 6) AS host_rate, NOT base_failed AND rate <= most AS kept FROM b JOIN t USING (host)""",
     "op6_decontamination": f"""
       WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
       d AS (SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS s FROM w WHERE len(ws) >= 5),
@@ -188,12 +189,12 @@ SQL = {
     "op8_source_mix": _mix_sql(),
     "op9_warc": r"""
       WITH a AS (SELECT page_id, coalesce(html, '') AS html, page_id % 1000000000 AS time,
-        regexp_replace(lower(trim(url)), '#.*$', '') AS u FROM pages WHERE page_id IS NOT NULL),
+        regexp_replace(lower(trim(coalesce(url, ''))), '#.*$', '') AS u FROM pages WHERE page_id IS NOT NULL),
       k AS (SELECT *, strlen(html) AS size, sha1(html) AS digest,
         regexp_replace(regexp_extract(u, '^[a-z][a-z0-9+.-]*://([^/?]*)', 1), '^www\.|:(80|443)$', '', 'g') AS host,
         regexp_replace(u, '^[a-z][a-z0-9+.-]*://[^/?]*', '') AS rest FROM a),
       m AS (SELECT *, CASE WHEN size >= 1000 THEN max(page_id) OVER (PARTITION BY digest, size) END AS holder,
-        CASE WHEN host = '' THEN coalesce(u, '') ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')'
+        CASE WHEN host = '' THEN u ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')'
           || CASE WHEN rest = '' THEN '/' ELSE rest END END AS url_key FROM k)
       SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
         CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,

@@ -36,6 +36,8 @@ from .encode import encoder, gathered
 
 #: Ids after which a file is closed (a longer document is one file).
 IDS_PER_FILE = 4_000_000
+#: Tasks that read files, at most; more files are several to a task.
+MAX_TASKS = 20_000
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
@@ -213,7 +215,8 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                         [pa.array(f.doc_ids[lo:hi]), pa.array(starts[:-1] + base), pa.array(np.diff(starts)),
                          pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    files = manifest.select("path", "base").repartition("path")
+    # as many tasks as files: the rows are tiny, so sizes would put all files in one task
+    files = manifest.select("path", "base").repartition(max(1, min(manifest.count(), MAX_TASKS)), "path")
     return files.mapInArrow(rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

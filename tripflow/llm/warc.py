@@ -34,18 +34,20 @@ MIN_SHARED_BYTES = 1000
 ARCHIVE_BYTES = 64 << 20
 #: Index lines of one merged range, about.
 RANGE_LINES = 20_000
+#: Tasks that read archives, at most; more archives are several to a task.
+MAX_TASKS = 20_000
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
 def url_key(url: Column) -> Column:
     """Sort-friendly key of a URL: lower case, host labels reversed, without
-    scheme, ``www.``, port 80/443 and fragment. Null or hostless: as it is."""
-    low = F.regexp_replace(F.lower(F.trim(url)), "#.*$", "")
+    scheme, ``www.``, port 80/443 and fragment. Hostless: as it is; null: empty."""
+    low = F.regexp_replace(F.lower(F.trim(F.coalesce(url, F.lit("")))), "#.*$", "")
     host = F.regexp_replace(F.regexp_extract(low, r"^[a-z][a-z0-9+.-]*://([^/?]*)", 1), r"^www\.|:(80|443)$", "")
     rest = F.regexp_replace(low, r"^[a-z][a-z0-9+.-]*://[^/?]*", "")
     rest = F.when(rest == "", F.lit("/")).otherwise(rest)
-    return F.when(host == "", F.coalesce(low, F.lit(""))).otherwise(
+    return F.when(host == "", low).otherwise(
         F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), rest))
 
 
@@ -237,7 +239,9 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
     ``refers_to``, and the line's ``url_key``, ``time``, ``range_no`` and
     ``line_no``. Payloads that are present are hashed again and must agree."""
     keep = ["url_key", "time", "range_no", "line_no"]
-    dealt = index.repartition("run").sortWithinPartitions("run", "offset")
+    # as many tasks as archives: the lines are tiny, so sizes would put all archives in one task
+    n = max(1, min(index.select("run").distinct().count(), MAX_TASKS))
+    dealt = index.repartition(n, "run").sortWithinPartitions("run", "offset")
 
     def rows(batches):
         name, file = None, None
