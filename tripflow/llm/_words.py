@@ -8,10 +8,15 @@ n-grams share a hash with probability 2**-64.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from . import encode
+
 _U = np.uint64
 _PRIME = _U(0x100000001B3)
 _RNG = np.random.default_rng(20240601)
@@ -19,6 +24,20 @@ _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)  # a random value per byte
 _PLACE = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | _U(1)  # a multiplier per place in an n-gram
 
 
+def tidy(rows):
+    """A mapInArrow function that gives the memory it no longer uses back to
+    the system when its partition ends, since workers are kept for later
+    tasks."""
+
+    def run(batches):
+        yield from rows(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective mixing of 64-bit values (splitmix finaliser)."""
     x = x ^ (x >> _U(30))
@@ -123,6 +142,7 @@ def shingle_sets(text: pa.Array, n: int) -> list[np.ndarray]:
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
     """Cut a batch into pieces of about ``max_bytes`` of ``column`` (a single
     longer text is a piece of its own)."""
+    encode.release()  # a worker that has turned to other work needs no token cache
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, b in enumerate(sizes):

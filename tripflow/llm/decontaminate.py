@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._tables import arrow_conf, saved
-from ._words import ngram_hashes, seeds, shingle_sets, slices, word_hashes
+from ._words import ngram_hashes, seeds, shingle_sets, slices, word_hashes, tidy
 
 _U = np.uint64
 BLOCK_ITEMS = 20_000
@@ -119,7 +119,7 @@ def _scan(docs: DataFrame, items: list[tuple[int, np.ndarray]], n: int, threshol
                     [ids, *(pa.array(c, pa.int64()) for c in cols[1:])],
                     names=["doc_id", "item_id", "shared", "item_shingles"])
 
-    return docs.mapInArrow(rows, "doc_id long, item_id long, shared long, item_shingles long")
+    return docs.mapInArrow(tidy(rows), "doc_id long, item_id long, shared long, item_shingles long")
 
 
 def _item_blocks(items: DataFrame, n: int):
@@ -136,7 +136,7 @@ def _item_blocks(items: DataFrame, n: int):
                  pa.array([int(f) if w >= n else 0 for f, w in zip(few, words, strict=True)], pa.int64())],
                 names=["item_id", "tokens", "size"])
 
-    sets = items.mapInArrow(rows, "item_id long, tokens binary, size long").filter("size > 0")
+    sets = items.mapInArrow(tidy(rows), "item_id long, tokens binary, size long").filter("size > 0")
     block, held = [], 0
     for r in sets.orderBy("item_id", "tokens").toLocalIterator():
         block.append((r["item_id"], np.frombuffer(bytes(r["tokens"]), np.uint64)))

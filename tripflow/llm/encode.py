@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED_PIECES = 1_000_000  # about 200 bytes each
+CACHED_PIECES = 800_000  # about 200 bytes each
 #: Pieces that are empty or have a control character at an end.
 ODD = r"^$|^[\x00-\x20\x7f-\x{a0}]|[\x00-\x20\x7f-\x{a0}]$"
 
@@ -134,6 +134,11 @@ def encoder(path: str) -> Encoder:
     return _OPEN[path]
 
 
+def release() -> None:
+    """Drop the worker's encoders and their pieces."""
+    _OPEN.clear()
+
+
 def default_tokenizer() -> str:
     """Path of the byte-level tokenizer file that the queries use."""
     import public_tokenizers

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._tables import arrow_conf, saved
+from ._words import tidy
 from .encode import gathered
 
 # Short notices by which the licences ask to be named.
@@ -87,7 +88,7 @@ def line_frequencies(docs: DataFrame, terms: list[str]) -> tuple[np.ndarray, int
         yield pa.RecordBatch.from_arrays([pa.array(range(len(terms) + 1), pa.int64()), pa.array([*df, total], pa.int64())],
                                          names=["term", "lines"])
 
-    got = docs.select("text").mapInArrow(rows, "term long, lines long").groupBy("term").agg(F.sum("lines").alias("lines"))
+    got = docs.select("text").mapInArrow(tidy(rows), "term long, lines long").groupBy("term").agg(F.sum("lines").alias("lines"))
     by = dict(got.collect())
     return np.array([by.get(i, 0) for i in range(len(terms))], np.int64), int(by.get(len(terms), 0))
 
@@ -164,7 +165,7 @@ def own_licenses(docs: DataFrame, templates=TEMPLATES, header_cosine: float = HE
                  pa.array(names, pa.string()), pa.array(np.round(best, 6)), pa.array(whole)],
                 names=["doc_id", "directory", "own_license", "own_cosine", "is_license_file"])
 
-    return docs.mapInArrow(rows, "doc_id long, directory string, own_license string, own_cosine double, "
+    return docs.mapInArrow(tidy(rows), "doc_id long, directory string, own_license string, own_cosine double, "
                                  "is_license_file boolean")
 
 

@@ -25,7 +25,7 @@ from tripflow.session import fresh_dir
 
 from ._pairs import blobs, runs, whole_groups
 from ._tables import arrow_conf, saved
-from ._words import ngram_hashes, word_hashes
+from ._words import ngram_hashes, word_hashes, tidy
 from .encode import gathered
 
 CHUNK_BYTES = 8 << 20    # text of one chunk
@@ -69,7 +69,7 @@ def _requests(docs: DataFrame, order: int, buckets: int, folder: str) -> DataFra
                      pa.array([counts[cut[x]: cut[x + 1]].astype(np.uint32).tobytes() for x in span], pa.binary())],
                     names=["bucket", "chunk", "words", "keys", "counts"])
 
-    return docs.mapInArrow(rows, "bucket long, chunk string, words long, keys binary, counts binary")
+    return docs.mapInArrow(tidy(rows), "bucket long, chunk string, words long, keys binary, counts binary")
 
 
 def _totals(requests: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def _totals(requests: DataFrame) -> DataFrame:
                 + [pa.array(out, pa.binary())], names=["bucket", "chunk", "words", "totals"])
 
     dealt = requests.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(rows, "bucket long, chunk string, words long, totals binary")
+    return dealt.mapInArrow(tidy(rows), "bucket long, chunk string, words long, totals binary")
 
 
 def micro_scores(counts: list[np.ndarray], offsets: list[np.ndarray], total: int, min_count: int) -> np.ndarray:
@@ -143,7 +143,7 @@ def _scored(answers: DataFrame, order: int, total: int, min_count: int, folder:
                     names=["doc_id", "n_words", "log_score_micro"])
 
     dealt = answers.select("chunk", "bucket", "totals").repartition("chunk").sortWithinPartitions("chunk", "bucket")
-    return dealt.mapInArrow(rows, "doc_id long, n_words long, log_score_micro long")
+    return dealt.mapInArrow(tidy(rows), "doc_id long, n_words long, log_score_micro long")
 
 
 def lm_scores(docs: DataFrame, order: int = 2, min_count: int = 2) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ._pairs import blobs, group_pairs, merge_labels, runs, whole_groups
 from ._tables import arrow_conf, saved
-from ._words import mix, seeds, shingle_sets, slices
+from ._words import mix, seeds, shingle_sets, slices, tidy
 from .components import components
 
 _U = np.uint64
@@ -114,7 +114,7 @@ def _sets_table(docs: DataFrame, n: int, threshold: float, recall: float, depth:
                      pa.array(cols["sketch"], pa.binary()),
                      *(pa.array(cols[c], pa.list_(pa.int64())) for c in level_cols)], names=names)
 
-    return docs.mapInArrow(rows, schema).withColumn("row", F.monotonically_increasing_id())
+    return docs.mapInArrow(tidy(rows), schema).withColumn("row", F.monotonically_increasing_id())
 
 
 def _dealt(rows: DataFrame, group: str, node: str, *carried: str) -> DataFrame:
@@ -151,7 +151,7 @@ def _sketch_edges(cells: DataFrame, floor: float) -> DataFrame:
             far = np.flatnonzero(label != np.arange(len(rep)))
             yield pa.RecordBatch.from_arrays([pa.array(rep[far]), pa.array(rep[label[far]])], names=["a", "b"])
 
-    return cells.mapInArrow(rows, "a long, b long")
+    return cells.mapInArrow(tidy(rows), "a long, b long")
 
 
 def shared_counts(tokens: np.ndarray, owner: np.ndarray, m: int, width: int = 4096) -> np.ndarray:
@@ -191,7 +191,7 @@ def _token_sets(texts: DataFrame, n: int) -> DataFrame:
                     names=["cluster", "rep", "copies", "blocks", "tokens"])
                 yield out.filter(ok)
 
-    return texts.mapInArrow(rows, schema)
+    return texts.mapInArrow(tidy(rows), schema)
 
 
 def _verified(cells: DataFrame, threshold: float) -> DataFrame:
@@ -227,7 +227,7 @@ def _verified(cells: DataFrame, threshold: float) -> DataFrame:
                     [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found, strict=True)],
                     names=["rep", "links", "root"])
 
-    return cells.mapInArrow(rows, "rep long, links long, root long")
+    return cells.mapInArrow(tidy(rows), "rep long, links long, root long")
 
 
 def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999,

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._tables import arrow_conf
-from ._words import _PLACE, hash_strings, mix, ngram_hashes, words
+from ._words import _PLACE, hash_strings, mix, ngram_hashes, words, tidy
 from .encode import gathered
 
 _U = np.uint64
@@ -149,7 +149,7 @@ def score_documents(docs: DataFrame, odds: np.ndarray, bias: float) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [t.column("doc_id").combine_chunks(), pa.array(1 / (1 + np.exp(-z)))], names=["doc_id", "score"])
 
-    return docs.mapInArrow(rows, "doc_id long, score double")
+    return docs.mapInArrow(tidy(rows), "doc_id long, score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._tables import arrow_conf, saved
+from ._words import tidy
 from .encode import encoder, gathered
 
 #: Lengths per step of the two-step suffix sums.
@@ -27,7 +28,7 @@ def encoded_lengths(docs: DataFrame, tokenizer: str, text: str = "text") -> Data
         for t in gathered(batches, "text"):
             yield pa.RecordBatch.from_arrays([pa.array(np.diff(enc.batch(t.column("text"))[1]))], names=["n_tokens"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(rows, "n_tokens long")
+    return docs.select(F.col(text).alias("text")).mapInArrow(tidy(rows), "n_tokens long")
 
 
 def length_histogram(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from tripflow.session import fresh_dir
 
 from ._tables import arrow_conf, saved
+from ._words import tidy
 from .encode import encoder, gathered
 
 #: Ids after which a file is closed (a longer document is one file).
@@ -185,7 +186,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         if held:
             yield close()
 
-    files = saved(ordered.mapInArrow(rows, "part long, seq long, path string, n_docs long, n_ids long"), "token_files")
+    files = saved(ordered.mapInArrow(tidy(rows), "part long, seq long, path string, n_docs long, n_ids long"), "token_files")
     parts = files.groupBy("part").agg(F.sum("n_ids").alias("whole"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     parts = parts.select("part", F.coalesce(F.sum("whole").over(before), F.lit(0)).alias("part_base"))
@@ -217,7 +218,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
 
     # as many tasks as files: the rows are tiny, so sizes would put all files in one task
     files = manifest.select("path", "base").repartition(max(1, min(manifest.count(), MAX_TASKS)), "path")
-    return files.mapInArrow(rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(tidy(rows), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:

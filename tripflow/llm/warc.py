@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tripflow.session import fresh_dir
 
 from ._tables import arrow_conf, saved
+from ._words import tidy
 
 #: Payloads shorter than this are stored again rather than revisited.
 MIN_SHARED_BYTES = 1000
@@ -142,7 +143,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
 
     timed = pages.withColumns({"time": F.col("page_id") % F.lit(10**9), "url_key": url_key(F.col("url"))})
     return timed.select("page_id", "url", "html", "digest", "size", "refers_to", "time", "url_key").mapInArrow(
-        rows, "run string, url_key string, time long, page_id long, offset long, length long")
+        tidy(rows), "run string, url_key string, time long, page_id long, offset long, length long")
 
 
 class LoserTree:
@@ -220,7 +221,7 @@ def merge_runs(index: DataFrame, range_lines: int = RANGE_LINES) -> DataFrame:
         if merged:
             yield _lines(no, at, merged, fields)
 
-    return dealt.mapInArrow(rows, "range_no long, line_no long, url_key string, time long, page_id long, run string, "
+    return dealt.mapInArrow(tidy(rows), "range_no long, line_no long, url_key string, time long, page_id long, run string, "
                                   "offset long, length long")
 
 
@@ -268,7 +269,7 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
                     names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *keep])
 
     return dealt.mapInArrow(
-        rows, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+        tidy(rows), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
               "url_key string, time long, range_no long, line_no long")
 
 
