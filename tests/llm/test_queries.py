@@ -9,8 +9,8 @@ import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline
-from tests.llm.test_operators import rule_counts, shingles
-from tests.test_entry import TABLES, norm
+from test_entry import TABLES, norm
+from test_operators import rule_counts, shingles
 from tripflow.llm import queries as Q
 from tripflow.llm.encode import Encoder, default_tokenizer
 
