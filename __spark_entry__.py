@@ -9,6 +9,7 @@ the whole table. Column names are aliased identically on both sides.
 from __future__ import annotations
 
 import os
+import re
 import sys
 from collections.abc import Callable
 
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from tripflow import functions as tf
 from tripflow import schemas, sinks, streaming
 from tripflow.operators import clean, enrich, feeds, manifest, metrics, quality, stations, tables
+from tripflow.plans import jobs
 from tripflow.plans import oracle as O
 from tripflow.plans import standins as S
 from tripflow.session import ensure_job_conf, fresh_dir, ship_package
@@ -315,9 +317,9 @@ _REASON = "concat_ws(',', " + ", ".join(
     f"CASE WHEN {c} IS NULL THEN 'null_{c}' END" for c in schemas.TRIP_COLUMNS) + ")"
 
 
-def _typed_raw(spark, sf_dir):
+def _typed_raw(spark, sf_dir, columns=schemas.TRIP_CSV_COLUMNS):
     records = S.raw_trip_records(S.table(spark, sf_dir, "lineitem", spread=True))
-    return clean.type_trips(clean.bind_by_header(records))
+    return clean.type_trips(clean.bind_by_header(records, columns), columns=columns)
 
 
 @_register("trip_clean",
@@ -332,15 +334,19 @@ def q_trip_clean(spark, sf_dir):
 @_register("trip_clean_csv_files",
            O.with_(raw=_RAW) + f" SELECT * FROM raw WHERE {_REASON} = ''")
 def q_trip_clean_csv_files(spark, sf_dir):
-    """The trip CSV records landed as text files, one folder per source file
-    with its header line (S5), read back with each file's header found by
-    content, then cleaned as in ``trip_clean``."""
+    """The trip CSV records landed as text files, each with its header as the
+    first line (S5), read back with that header, then cleaned as in
+    ``trip_clean``. A source is landed as several files, so that a month with
+    most of the trips is not one task."""
     run = fresh_dir(spark, "trip_csv")
     records = S.raw_trip_records(S.table(spark, sf_dir, "lineitem", spread=True))
-    headers = records.groupBy("source").agg(F.first("header").alias("line"))
-    lines = records.select("source", "line").unionByName(headers)
-    # one task per source, so each landed file holds its header and its lines
-    lines.repartition("source").write.partitionBy("source").text(f"{run}/landing")
+    lines = records.select("source", "header", F.pmod(F.xxhash64("line"), F.lit(4)).alias("part"), "line")
+    headers = lines.groupBy("source", "part").agg(F.min("header").alias("line"))
+    # one task per landed file, its header before its lines
+    (lines.select("source", "part", F.lit(1).alias("place"), "line")
+     .unionByName(headers.withColumn("place", F.lit(0)))
+     .repartition("source", "part").sortWithinPartitions("source", "part", "place").select("source", "part", "line")
+     .write.partitionBy("source", "part").text(f"{run}/landing"))
     recs = trip_src.csv_records(spark, f"{run}/landing", glob="*.txt")
     kept, _ = clean.split_clean(clean.type_trips(clean.bind_by_header(recs)))
     return kept
@@ -370,7 +376,7 @@ def q_null_profile(spark, sf_dir):
 def q_month_defects(spark, sf_dir):
     """Rows, rows without ride_id, rows without start or end time, per month,
     before rows are dropped (A4)."""
-    return metrics.defects_per_month(_typed_raw(spark, sf_dir))
+    return metrics.defects_per_month(_typed_raw(spark, sf_dir, ["ride_id", "started_at", "ended_at"]))
 
 
 # ---------------------------------------------------------------------------
@@ -412,7 +418,7 @@ def q_status_history(spark, sf_dir):
     landing, out, ckpt = f"{run}/landing", f"{run}/history", f"{run}/checkpoint"
     docs = S.status_feed_docs(S.table(spark, sf_dir, "events"), block=S.SNAPSHOT_BLOCK)
     sinks.write_snapshots(docs, landing)
-    q = streaming.start_feed_history(feed_src.stream_snapshots(spark, landing, glob="*.txt"), out, ckpt,
+    q = streaming.start_feed_history(feed_src.stream_snapshots(spark, landing), out, ckpt,
                                      available_now=True)
     q.awaitTermination()
     return spark.read.schema(schemas.STATION_STATUS).parquet(out).drop("batch_id")
@@ -442,6 +448,25 @@ def q_station_transform_written(spark, sf_dir):
     return spark.read.schema(schemas.STATION_STATUS_TRANSFORMED).parquet(out)
 
 
+_TWO_RUNS = O.with_(status=O.STATUS, info=O.INFO, again="SELECT * FROM status WHERE is_renting") \
+    + f" SELECT 'run1' AS run_id, a.* FROM ({O.STATION_AGG}) a UNION ALL SELECT 'run2' AS run_id, b.* FROM (" \
+    + re.sub(r"\bstatus\b", "again", O.STATION_AGG) + ") b"
+
+
+@_register("station_transform_two_runs", _TWO_RUNS)
+def q_station_transform_two_runs(spark, sf_dir):
+    """Two runs of the station transform into one history (K11), the second
+    with only the renting reports, and tried twice: all rows of the first run
+    stay, the second's are there once."""
+    out = fresh_dir(spark, "station_history")
+    status, info = S.status(spark, sf_dir), S.info(spark, sf_dir)
+    jobs.transform_stations(spark, status, info, out, run_id="run1")
+    for _ in range(2):
+        jobs.transform_stations(spark, status.filter("is_renting"), info, out, run_id="run2")
+    fields = schemas.STATION_STATUS_TRANSFORMED.fieldNames()
+    return spark.read.parquet(out).select("run_id", *fields)
+
+
 # ---------------------------------------------------------------------------
 # operators for training-data tables: an optional subpackage and its pipeline
 

@@ -53,7 +53,7 @@ def test_columns_and_multiplicity(spark):
 def test_broadcast_and_fallback_give_same_rows(spark):
     trips, st = frames(spark)
     small = enrich.enrich_trips(trips, st)
-    big = enrich.enrich_trips(trips, st, max_broadcast_rows=0)
+    big = enrich.enrich_trips(trips, st, max_broadcast_bytes=0)
     assert rows(small) == rows(big)
     plan_small = final_plan(small)
     assert plan_small.count("BroadcastHashJoin") == 2

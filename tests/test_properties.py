@@ -70,7 +70,7 @@ def test_insert_if_absent_brute_force(spark, incoming_, target_keys):
     target = spark.createDataFrame([(k,) for k in sorted(target_keys)], "ride_id string")
     for bound in (10_000, 0):
         got = sorted(tuple(r) for r in tables.insert_if_absent(incoming, target, ["ride_id"], ["v"],
-                                                               max_broadcast_keys=bound).collect())
+                                                               max_broadcast_bytes=bound).collect())
         want = sorted((k, min(v for kk, v in incoming_ if kk == k))
                       for k in {k for k, _ in incoming_} if k not in target_keys)
         assert got == want

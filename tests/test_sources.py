@@ -5,6 +5,7 @@ import tempfile
 import zipfile
 
 from conftest import rows
+from tripflow import functions as tf
 from tripflow import schemas
 from tripflow.operators import clean
 from tripflow.sources import feeds as feed_src
@@ -42,10 +43,11 @@ def test_zip_records_nested_and_selection(spark):
     make_zip(os.path.join(root, "202411-demo-tripdata.zip"), {"h.csv": H + "\n"})  # header only, tiny
     os.makedirs(os.path.join(root, "sub"))
     make_zip(os.path.join(root, "sub", "202411-demo-tripdata.csv.zip"), {"x.csv": csv_text(30, start=500)})
-    listed = trip_src.list_archives(spark, root)
+    listed = trip_src.list_archives(spark, root, tf.TRIP_ARCHIVE_PATTERN, 1000)
     names = sorted(os.path.basename(r.path) for r in listed.collect())
     assert names == ["202410-demo-tripdata.zip", "202411-demo-tripdata.csv.zip"]
-    recs = trip_src.zip_records(spark, root, spread=4)
+    recs = trip_src.zip_records(spark, root, tf.TRIP_ARCHIVE_PATTERN, 1000, spread=4)
+    assert trip_src.zip_records(spark, root).count() == 50 + 40 + 30 + 5  # by default no archive is left out
     assert recs.count() == 50 + 40 + 30
     kept, bad = clean.clean_trips(recs)
     assert kept.count() == 120 and bad.count() == 0
@@ -87,6 +89,6 @@ def test_csv_records_fallback_join_same_rows(spark):
         with open(os.path.join(root, name), "w") as f:
             f.write(csv_text(7, start=start))
     small = trip_src.csv_records(spark, root)
-    big = trip_src.csv_records(spark, root, max_files_broadcast=0)
+    big = trip_src.csv_records(spark, root, max_header_bytes=0)
     assert rows(small, "source", "line") == rows(big, "source", "line")
     assert small.count() == 14

@@ -51,7 +51,7 @@ def test_insert_if_absent(spark):
         [("r1", 3), ("r1", 1), ("r2", 5), ("r3", 1), ("r3", 1), (None, 9), (None, 9)], "ride_id string, v int")
     target = spark.createDataFrame([("r2",)], "ride_id string")
     out = tables.insert_if_absent(incoming, target, ["ride_id"], ["v"])
-    assert rows(out) == [("r1", 1), ("r3", 1), (None, 9)]
+    assert rows(out) == [("r1", 1), ("r3", 1)]  # a null key cannot be inserted
 
 
 def test_first_per_key_independent_of_partitioning(spark):
@@ -67,7 +67,7 @@ def test_insert_if_absent_probe_paths_agree_and_target_not_shuffled(spark):
                                           F.col("id").alias("v"))
     target = spark.range(0, 5000, 3).select(F.col("id").cast("string").alias("ride_id"))
     small = tables.insert_if_absent(incoming, target, ["ride_id"], ["v"])
-    big = tables.insert_if_absent(incoming, target, ["ride_id"], ["v"], max_broadcast_keys=0)
+    big = tables.insert_if_absent(incoming, target, ["ride_id"], ["v"], max_broadcast_bytes=0)
     assert rows(small) == rows(big)
     assert small.count() == 200
     small.collect()

@@ -65,8 +65,8 @@ def default_if_absent(json_text: Column | str, key: str, value: Column,
 # -- truthiness and nulls -----------------------------------------------------
 
 def truthy(c: Column | str) -> Column:
-    """Feed flag to boolean like Python's ``bool``: true/false words, any
-    non-zero number is true; null, absent or unreadable count as false (F11)."""
+    """Feed flag to boolean: true/false words, any non-zero number is true;
+    null, absent and other text count as false (F11)."""
     col = _c(c)
     return F.coalesce(col.try_cast("boolean"), col.try_cast("double") != 0, F.lit(False))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import schemas
-from tripflow.operators.joins import DEFAULT_BROADCAST_ROWS, sized_side
+from tripflow.operators.joins import DEFAULT_BROADCAST_BYTES, sized_side
 
 
 def station_role(stations: DataFrame, prefix: str) -> DataFrame:
@@ -24,7 +24,7 @@ def trip_side(trips: DataFrame) -> DataFrame:
 
 
 def enrich_trips(trips: DataFrame, stations: DataFrame,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``agg_tripdata``: every trip left-joined to the station rows whose
     ``short_name`` equals its start id, then to those equal to its end id
     (J2, J3).
@@ -34,13 +34,13 @@ def enrich_trips(trips: DataFrame, stations: DataFrame,
     both ends repeat); pass :func:`latest_per_station` output to get exactly
     one row per trip.
 
-    The station side is persisted and counted once; under
-    ``max_broadcast_rows`` both joins are broadcast hash joins in the trips'
+    The station side is persisted and measured once; under
+    ``max_broadcast_bytes`` both joins are broadcast hash joins in the trips'
     own stage, so the trips are never shuffled. Above it they are shuffle
     joins.
     """
     cols = [src for src, _ in schemas.ENRICH_STATION_COLUMNS]
-    side = sized_side(stations.select(*cols), max_broadcast_rows)
+    side = sized_side(stations.select(*cols), max_broadcast_bytes)
     hint = F.broadcast if side.broadcast else (lambda df: df)
     start = hint(station_role(side.frame, "start"))
     end = hint(station_role(side.frame, "end"))

@@ -10,17 +10,16 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension side (rows) that is shipped whole to every executor. A
-# station row is ~200 bytes, so this bounds a broadcast at ~100 MB.
-DEFAULT_BROADCAST_ROWS = 500_000
+# Largest side, in bytes as cached, that is shipped whole to every executor.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 @dataclass
 class SizedSide:
-    """A persisted join side, its measured row count, and the chosen strategy."""
+    """A persisted join side, its measured size, and the chosen strategy."""
 
     frame: DataFrame
-    rows: int
+    bytes: int
     broadcast: bool
 
     def for_join(self) -> DataFrame:
@@ -51,9 +50,9 @@ def released_after():
             side.release()
 
 
-def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> SizedSide:
-    """Persist ``df``, count it, and broadcast it only if it has at most
-    ``max_rows`` rows. Beyond that the join falls back to a shuffle join, where
+def sized_side(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> SizedSide:
+    """Persist ``df``, measure it, and broadcast it only if it has at most
+    ``max_bytes`` bytes. Beyond that the join falls back to a shuffle join, where
     adaptive execution splits skewed keys.
 
     The count is the job that fills the cache, so the joins that follow read
@@ -61,8 +60,9 @@ def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> SizedSi
     rebuilt from lineage.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.count()
-    side = SizedSide(kept, n, n <= max_rows)
+    kept.count()
+    size = int(kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    side = SizedSide(kept, size, size <= max_bytes)
     stack = getattr(_scopes, "stack", None)
     if stack:
         stack[-1].append(side)

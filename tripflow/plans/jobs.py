@@ -48,13 +48,16 @@ def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: st
     if spread:
         records = records.repartition(spread, "source", "entry", "line_no")
     records = records.persist(StorageLevel.MEMORY_AND_DISK)
-    failed = records.filter(F.col("error").isNotNull()).groupBy(tf.base_name("source").alias("file_name")).agg(
-        F.first("error").alias("error_message"))
-    # an archive with an error is recorded as failed and none of its rows are
-    # kept; the failed list has one row per archive, so it is broadcast (never
-    # a shuffle of all records on the archive name, where one archive is hot)
-    bad = sized_side(failed.select(F.col("file_name").alias("_failed")))
-    ok_records = records.join(bad.for_join(), tf.base_name("source") == F.col("_failed"), "left_anti")
+    failed = records.filter(F.col("error").isNotNull()).groupBy("source", "entry").agg(
+        F.min("error").alias("error_message"))
+    # a CSV with an error is recorded as failed and none of its rows are kept,
+    # the archive's other CSVs are; the failed list has one row per CSV, so it
+    # is broadcast behind its size (never a shuffle of all records by archive)
+    bad = sized_side(failed)
+    ok_records = records.filter(F.col("error").isNull()).join(
+        bad.for_join().select("source", "entry"), ["source", "entry"], "left_anti")
+    no_archive = failed.filter(F.col("entry").isNull()).select(tf.base_name("source").alias("file_name"))
+    failed = failed.select(F.concat_ws("!", tf.base_name("source"), "entry").alias("file_name"), "error_message")
     keep = ("source", "entry")
     typed = clean.with_reason(clean.type_trips(clean.bind_by_header(ok_records, keep=keep), keep=keep))
     typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -74,7 +77,7 @@ def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: st
     # every new archive gets a row, an empty one with zeros, so it is not read again (V5, V7)
     names = spark.createDataFrame([(p.rstrip("/").rsplit("/", 1)[-1],) for p in new_paths], "file_name string")
     counts = (
-        names.join(failed.select("file_name"), "file_name", "left_anti")
+        names.join(no_archive, "file_name", "left_anti")
         .join(per_file, "file_name", "left")
         .fillna(0, ["rows", "kept", "quarantined"])
         .persist()
@@ -124,12 +127,18 @@ def upsert_station_information(spark: SparkSession, landing: str, table_path: st
 
 # -- P-E / P-F / P-H: batch transforms ----------------------------------------------
 
-def transform_stations(spark: SparkSession, status: DataFrame, info: DataFrame, out_path: str) -> int:
-    """Station aggregate written by aggregation_date (K11); returns its row
-    count through a temp view and SQL, as the verification step (A2)."""
-    agg = stations.station_aggregate(status, info)
-    sinks.write_partitioned(agg, out_path, ["aggregation_date"])
-    written = spark.read.schema(schemas.STATION_STATUS_TRANSFORMED).parquet(out_path)
+def transform_stations(spark: SparkSession, status: DataFrame, info: DataFrame, out_path: str,
+                       run_id: str | None = None) -> int:
+    """Station aggregate of one run added to the history in ``out_path`` (K11),
+    in folders of its own by run and aggregation_date: a run never touches the
+    rows of another, and the same run again replaces its own. ``run_id``
+    defaults to the time of the latest status. Returns the run's row count
+    through a temp view and SQL, as the verification step (A2)."""
+    if run_id is None:
+        run_id = status.agg(F.date_format(F.max("last_reported"), "yyyyMMddHHmmss")).first()[0] or "none"
+    agg = stations.station_aggregate(status, info).withColumn("run_id", F.lit(run_id))
+    sinks.write_run(agg, out_path, "run_id", run_id, ["aggregation_date"])
+    written = spark.read.parquet(f"{out_path.rstrip('/')}/run_id={run_id}")
     return metrics.total_records(spark, written, "station_status_transformed").first().total_records
 
 
@@ -137,8 +146,9 @@ def enrich_trip_table(spark: SparkSession, trips: DataFrame, transformed: DataFr
                       latest: bool = True) -> None:
     """Trips with start and end station columns, written by month (P-F).
     ``latest`` first reduces the growing station table to one row per
-    station (D1), which bounds the broadcast side and keeps one row per trip."""
-    st = stations.latest_per_station(transformed) if latest else transformed
+    ``short_name``, the key of the join (D1), which bounds the broadcast side
+    and keeps one row per trip even where stations share a short name."""
+    st = stations.latest_per_station(transformed, key="short_name") if latest else transformed
     with released_after():
         out = enrich.enrich_trips(trips, st)
         sinks.write_partitioned(out, out_path, ["month"])

@@ -50,6 +50,13 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def write_run(df: DataFrame, path: str, run_col: str, run: str, partition_by: list[str]) -> None:
+    """The rows of one run below ``<run_col>=<run>/``, replacing what an
+    earlier try of the same run wrote there and nothing else (K11)."""
+    df.drop(run_col).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{run_col}={run}")
+
+
 # -- versioned tables: readers see a complete version or the previous one -----
 
 def _fs(spark: SparkSession, path: str):

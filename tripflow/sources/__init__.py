@@ -5,17 +5,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+#: Scans up to this many bytes may be spread; the shuffle never moves more.
+SMALL_SCAN_BYTES = 256 << 20
 
-def spread_small_scan(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread a scan that arrives in fewer partitions than the cluster
-    has cores (one small file with one row group is read by one task).
 
-    ``keys`` should be near-unique (a row id) so the spread is even; hash
-    partitioning needs no sort, unlike a round-robin repartition. Large
-    inputs already scan as many partitions and pass through untouched, so
-    this never adds a shuffle at scale.
+def spread_small_scan(df: DataFrame, keys: list[str], max_bytes: int = SMALL_SCAN_BYTES) -> DataFrame:
+    """Hash-spread a scan of at most ``max_bytes`` bytes by ``keys`` (a row
+    id): one small file with one row group is read by one task. The size is
+    Spark's own estimate, the files' bytes; larger scans have as many splits
+    as bytes and pass through, however many cores there are.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > max_bytes:
         return df
-    return df.repartition(want, *keys)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def kafka_source_options(servers: str, topic: str, starting_offsets: str = "latest",
-                         max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+                         max_offsets_per_trigger: int | None = None,
+                         fail_on_data_loss: bool = True) -> dict[str, str]:
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
@@ -22,7 +23,8 @@ def kafka_source_options(servers: str, topic: str, starting_offsets: str = "late
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
-               max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of the topic's records (``key``, ``value`` binary, ...)."""
-    opts = kafka_source_options(servers, topic, starting_offsets, max_offsets_per_trigger)
+               max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> DataFrame:
+    """Streaming frame of the topic's records (``key``, ``value`` binary, ...).
+    Offsets that are gone stop the query unless ``fail_on_data_loss`` is off."""
+    opts = kafka_source_options(servers, topic, starting_offsets, max_offsets_per_trigger, fail_on_data_loss)
     return spark.readStream.format("kafka").options(**opts).load()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripflow import schemas, sinks
-from tripflow.operators import feeds, tables
+from tripflow.operators import feeds, quality, tables
 from tripflow.operators.joins import released_after
 
 
@@ -92,22 +92,26 @@ def start_feed_history(snapshots: DataFrame, out_path: str, checkpoint: str,
 
 def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_path: str,
                                 checkpoint: str, available_now: bool = True,
-                                name: str | None = None, files_per_batch: int = 2) -> StreamingQuery:
-    """Every new cleaned Parquet file loaded once into the trip table (P-B, T5).
-
-    Rows whose ride_id is already in the table, or repeated in the batch, are
-    not inserted (K9); they are written to ``<table_path>_rejected`` with the
-    source file so nothing is silently lost. The file source's checkpoint is
-    the record of loaded files (V7). ``files_per_batch`` bounds a micro-batch
-    (cleaned files hold at most 200,000 rows), which keeps the batch's keys
-    small enough to be broadcast against the table's keys.
+                                name: str | None = None, files_per_batch: int = 200) -> StreamingQuery:
+    """Every new cleaned Parquet file loaded once into the trip table (P-B, T5),
+    which is laid out by month and batch.
+
+    Rows without a ride_id, with a text over its limit (V4), whose ride_id is already in the table or repeated in the batch (K9)
+    are not inserted; they are written to ``<table_path>_rejected`` with the
+    reason and the source file, so nothing is silently lost. The file source's
+    checkpoint is the record of loaded files (V7). ``files_per_batch`` bounds a
+    micro-batch (cleaned files hold at most 200,000 rows); the table's keys are
+    read once for each.
     """
     from tripflow.sources.trips import stream_cleaned
 
     stream = stream_cleaned(spark, cleaned_dir, files_per_batch)
-    writer = batch_partition_writer(table_path)
+    writer = batch_partition_writer(table_path, ("month",))
     rejected = batch_partition_writer(table_path.rstrip("/") + "_rejected")
     lineage = ["source_file", "source_row"]
+    defects = quality.reason_column(
+        [("null_ride_id", F.col("ride_id").isNull())]
+        + [(f"long_{c}", F.length(c) > n) for c, n in schemas.TRIP_TEXT_LIMITS.items()])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         with released_after():
@@ -117,17 +121,19 @@ def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_pat
         batch = batch.persist()
         try:
             # a replayed batch must not see its own earlier output
-            target = (spark.read.parquet(table_path)
+            target = (spark.read.schema("ride_id string, month date, batch_id long").parquet(table_path)
                       .filter(F.col("batch_id") != batch_id).select("ride_id"))
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
             target = spark.createDataFrame([], "ride_id string")
-        new_rows = tables.insert_if_absent(batch, target, ["ride_id"], ["started_at", *lineage])
+        checked = batch.withColumn("reason", defects)
+        new_rows = tables.insert_if_absent(checked.filter(F.col("reason").isNull()).drop("reason"), target, ["ride_id"],
+                                           ["started_at", *lineage])
         new_rows = new_rows.persist()
         writer(new_rows.select(*schemas.TRIP_COLUMNS), batch_id)
-        lost = batch.join(new_rows.select(*lineage), lineage, "left_anti")
-        rejected(lost.withColumn("reason", F.lit("duplicate_ride_id")), batch_id)
+        lost = checked.join(new_rows.select(*lineage), lineage, "left_anti")
+        rejected(lost.withColumn("reason", F.coalesce("reason", F.lit("duplicate_ride_id"))), batch_id)
         new_rows.unpersist()
         batch.unpersist()
 
@@ -138,21 +144,25 @@ INFO_VALUES = [f.name for f in schemas.STATION_INFORMATION.fields
                if f.name not in ("station_id", "created_at", "updated_at")]
 
 
-def upsert_info_batch(spark: SparkSession, snapshots: DataFrame, table_path: str) -> str | None:
+def upsert_info_batch(spark: SparkSession, snapshots: DataFrame, table_path: str, batch_id: int = 0) -> str | None:
     """Upsert one batch of metadata snapshots into the versioned station
     table and commit a new version (K8). Rows are stamped with their
     snapshot time, and the batch's latest snapshot time is the update time,
-    so replaying a batch writes the same contents again."""
+    so replaying a batch writes the same contents again. Elements without a
+    station_id go to ``<table_path>_quarantine``, under the batch's id."""
     rows = feeds.info_rows(feeds.station_objects(snapshots, keep=("snapshot_time",)), keep=("snapshot_time",))
     rows = rows.withColumn("last_reported", F.coalesce("snapshot_time", "last_reported")).persist()
+    keyless = F.col("station_id").isNull()
+    batch_partition_writer(table_path.rstrip("/") + "_quarantine")(rows.filter(keyless), batch_id)
+    every, rows = rows, rows.filter(~keyless)
     as_of = rows.agg(F.max("last_reported")).first()[0]
     if as_of is None:
-        rows.unpersist()
+        every.unpersist()
         return None
     existing = sinks.read_current(spark, table_path, schemas.STATION_INFORMATION)
     merged = tables.upsert(existing, rows, "station_id", INFO_VALUES, version="last_reported", as_of=as_of)
     out = sinks.commit_version(merged.select(*schemas.STATION_INFORMATION.fieldNames()), table_path)
-    rows.unpersist()
+    every.unpersist()
     return out
 
 
@@ -161,5 +171,5 @@ def start_info_upserts(spark: SparkSession, snapshots: DataFrame, table_path: st
                        name: str | None = None) -> StreamingQuery:
     """Each new metadata snapshot file folded into the station table once
     (P-D: S4, K8, T4)."""
-    return _start(snapshots, lambda batch, _id: upsert_info_batch(spark, batch, table_path), checkpoint,
+    return _start(snapshots, lambda batch, i: upsert_info_batch(spark, batch, table_path, i), checkpoint,
                   processing_time, available_now, name)
