@@ -8,6 +8,8 @@ from tripflow.session import fresh_dir
 
 #: Rows per Arrow batch handed to Python: texts are long, so batches stay small.
 ARROW_ROWS = 512
+#: Bytes of such a batch, where rows are longer.
+ARROW_BYTES = 16 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +19,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def arrow_conf(spark: SparkSession) -> None:
     """Small Arrow batches, so that a batch of very long texts fits a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def saved(df: DataFrame, kind: str) -> DataFrame:

@@ -29,7 +29,7 @@ from ._words import ngram_hashes, word_hashes, tidy
 from .encode import gathered
 
 CHUNK_BYTES = 8 << 20    # text of one chunk
-BUCKET_BYTES = 24 << 20  # text whose n-grams make up one bucket, on average
+BUCKET_BYTES = 12 << 20  # text whose n-grams make up one bucket, on average
 BACKOFF = 0.4            # fixed value of the scheme
 
 
@@ -60,8 +60,8 @@ def _requests(docs: DataFrame, order: int, buckets: int, folder: str) -> DataFra
             keys, counts = np.unique(np.concatenate(grams), return_counts=True)
             cut = np.searchsorted(_bucket_of(keys, buckets), np.arange(buckets + 1))
             words = len(grams[0])
-            for b in range(0, buckets, 256):
-                span = range(b, min(b + 256, buckets))
+            for b in range(0, buckets, 64):
+                span = range(b, min(b + 64, buckets))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(span), pa.int64()), pa.array([name] * len(span)),
                      pa.array([words if x == 0 else 0 for x in span], pa.int64()),
@@ -86,8 +86,11 @@ def _totals(requests: DataFrame) -> DataFrame:
             out = []
             for lo, hi in zip(start[:-1], start[1:], strict=True):
                 a, b = off[lo], off[hi]
-                seen, at = np.unique(keys[a:b], return_inverse=True)
-                total = np.bincount(at, counts[a:b], len(seen)).astype(np.uint64)[at]
+                order = np.argsort(keys[a:b], kind="stable")
+                begin = runs([keys[a:b][order]])
+                sums = np.add.reduceat(counts[a:b][order].astype(np.uint64), begin[:-1]) if b > a else counts[:0]
+                total = np.empty(b - a, np.uint64)
+                total[order] = np.repeat(sums, np.diff(begin))
                 out += [total[off[i] - a: off[i + 1] - a].tobytes() for i in range(lo, hi)]
             yield pa.RecordBatch.from_arrays(
                 [x.combine_chunks() for x in (t.column("bucket"), t.column("chunk"), t.column("words"))]
