@@ -234,6 +234,16 @@ def test_decontamination_against_brute_force(spark, docs, none):
     assert contaminated(none, tests).count() == 0 and contaminated(docs, tests.limit(0)).count() == 0
 
 
+def test_packed_values_come_back():
+    from tripflow.llm.lm_score import pack, pack_keys, unpack, unpack_keys
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 300):
+        v = rng.integers(0, 2**64, n, dtype=np.uint64)
+        assert unpack(pack(v)).tolist() == v.tolist()
+        assert unpack(pack(v >> np.uint64(45))).tolist() == (v >> np.uint64(45)).tolist()
+        assert unpack_keys(pack_keys(np.unique(v))).tolist() == np.unique(v).tolist()
+
+
 def test_scores_of_trigrams_against_brute_force(docs, none):
     from math import log
     count, total = Counter(), 0

@@ -23,16 +23,46 @@ from pyspark.sql import functions as F
 
 from tripflow.session import fresh_dir
 
-from ._pairs import blobs, runs, whole_groups
+from ._pairs import runs, whole_groups
 from ._tables import arrow_conf, saved
 from ._words import ngram_hashes, word_hashes, tidy
 from .encode import gathered
 
-CHUNK_BYTES = 8 << 20    # text of one chunk
+CHUNK_BYTES = 4 << 20    # text of one chunk
 BUCKET_BYTES = 12 << 20  # text whose n-grams make up one bucket, on average
 BACKOFF = 0.4            # fixed value of the scheme
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Unsigned values by byte planes, least byte first; planes that are all
+    zero are left out, the others compress well where values are small."""
+    if not len(values):
+        return b""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + planes.T.tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.uint64)
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.reshape(-1).view("<u8").astype(np.uint64)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys: the first one whole, then the gaps."""
+    return keys[:1].astype("<u8").tobytes() + pack(np.diff(keys))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    first = np.frombuffer(data[:8], "<u8").astype(np.uint64)
+    return np.cumsum(np.concatenate((first, unpack(data[8:]))), dtype=np.uint64)
+
+
 def _grams(text: pa.Array, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Hashes and text offsets of the n-grams of each order."""
     h, off = word_hashes(text)
@@ -65,8 +95,8 @@ def _requests(docs: DataFrame, order: int, buckets: int, folder: str) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(span), pa.int64()), pa.array([name] * len(span)),
                      pa.array([words if x == 0 else 0 for x in span], pa.int64()),
-                     pa.array([keys[cut[x]: cut[x + 1]].tobytes() for x in span], pa.binary()),
-                     pa.array([counts[cut[x]: cut[x + 1]].astype(np.uint32).tobytes() for x in span], pa.binary())],
+                     pa.array([pack_keys(keys[cut[x]: cut[x + 1]]) for x in span], pa.binary()),
+                     pa.array([pack(counts[cut[x]: cut[x + 1]]) for x in span], pa.binary())],
                     names=["bucket", "chunk", "words", "keys", "counts"])
 
     return docs.mapInArrow(tidy(rows), "bucket long, chunk string, words long, keys binary, counts binary")
@@ -77,21 +107,20 @@ def _totals(requests: DataFrame) -> DataFrame:
 
     def rows(batches):
         for t in whole_groups(batches, ["bucket"], min_rows=1):
-            bucket = t.column("bucket").combine_chunks().to_numpy()
-            data, off = blobs(t.column("keys"))
-            counts, coff = blobs(t.column("counts"))
-            keys, counts = np.frombuffer(data.tobytes(), np.uint64), np.frombuffer(counts.tobytes(), np.uint32)
-            off = off // 8
-            start = runs([bucket])
+            start = runs([t.column("bucket").combine_chunks().to_numpy()])
             out = []
             for lo, hi in zip(start[:-1], start[1:], strict=True):
-                a, b = off[lo], off[hi]
-                order = np.argsort(keys[a:b], kind="stable")
-                begin = runs([keys[a:b][order]])
-                sums = np.add.reduceat(counts[a:b][order].astype(np.uint64), begin[:-1]) if b > a else counts[:0]
-                total = np.empty(b - a, np.uint64)
+                group = t.slice(lo, hi - lo)
+                keys = [unpack_keys(x) for x in group.column("keys").to_pylist()]
+                cut = np.cumsum([len(k) for k in keys])
+                keys = np.concatenate(keys)
+                counts = np.concatenate([unpack(x) for x in group.column("counts").to_pylist()])
+                order = np.argsort(keys, kind="stable")
+                begin = runs([keys[order]])
+                sums = np.add.reduceat(counts[order], begin[:-1]) if len(keys) else counts
+                total = np.empty(len(keys), np.uint64)
                 total[order] = np.repeat(sums, np.diff(begin))
-                out += [total[off[i] - a: off[i + 1] - a].tobytes() for i in range(lo, hi)]
+                out += [pack(x) for x in np.split(total, cut[:-1])]
             yield pa.RecordBatch.from_arrays(
                 [x.combine_chunks() for x in (t.column("bucket"), t.column("chunk"), t.column("words"))]
                 + [pa.array(out, pa.binary())], names=["bucket", "chunk", "words", "totals"])
@@ -130,7 +159,6 @@ def _scored(answers: DataFrame, order: int, total: int, min_count: int, folder:
         for t in whole_groups(batches, ["chunk"], min_rows=1):
             names = t.column("chunk").combine_chunks()
             start = runs([names.to_numpy(zero_copy_only=False)])
-            data, off = blobs(t.column("totals"))
             for lo, hi in zip(start[:-1], start[1:], strict=True):
                 fs, path = pafs.FileSystem.from_uri(folder)
                 with fs.open_input_stream(f"{path}/{names[int(lo)].as_py()}") as f:
@@ -138,7 +166,8 @@ def _scored(answers: DataFrame, order: int, total: int, min_count: int, folder:
                 grams, offsets = _grams(docs.column("text"), order)
                 # the chunk's distinct n-grams ascend, and so do the buckets' answers
                 at = np.unique(np.concatenate(grams), return_inverse=True)[1]
-                totals = np.frombuffer(data[off[lo]: off[hi]].tobytes(), np.uint64)[at]
+                asked = [unpack(x) for x in t.slice(lo, hi - lo).column("totals").to_pylist()]
+                totals = np.concatenate(asked)[at]
                 counts = np.split(totals, np.cumsum([len(g) for g in grams])[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [docs.column("doc_id").combine_chunks(), pa.array(np.diff(offsets[0])),
