@@ -143,6 +143,17 @@ def test_encoder_equals_the_library():
         assert ids[off[i]:off[i + 1]].tolist() == enc.lib.encode(t or "", add_special_tokens=False).ids
 
 
+def test_encoder_with_a_full_cache(monkeypatch):
+    from tripflow.llm import encode
+    monkeypatch.setattr(encode, "CACHED_PIECES", 50)
+    enc = Encoder(default_tokenizer())
+    for lo in range(0, 400, 40):
+        texts = [" ".join(f"p{i % 90}, q{i}" for i in range(lo, lo + 60)), "p1, one  two"]
+        ids, off = enc.batch(pa.array(texts))
+        for i, t in enumerate(texts):
+            assert ids[off[i]:off[i + 1]].tolist() == enc.lib.encode(t, add_special_tokens=False).ids
+
+
 def test_token_file_gives_any_token():
     rng = np.random.default_rng(1)
     for ids in (rng.integers(0, 50_000, 5000), rng.integers(0, 200, 700), rng.integers(0, 2**32, 1500),

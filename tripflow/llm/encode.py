@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED_PIECES = 800_000  # about 200 bytes each
+CACHED_PIECES = 1_000_000  # about 200 bytes each
 #: Pieces that are empty or have a control character at an end.
 ODD = r"^$|^[\x00-\x20\x7f-\x{a0}]|[\x00-\x20\x7f-\x{a0}]$"
 
@@ -146,7 +146,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def gathered(batches, column: str, max_bytes: int = 8 << 20):
+def gathered(batches, column: str, max_bytes: int = 12 << 20):
     """Tables of about ``max_bytes`` of a text column, from the batches of a
     partition (one batch may hold more)."""
     held, size = [], 0
