@@ -92,3 +92,27 @@ def test_csv_records_fallback_join_same_rows(spark):
     big = trip_src.csv_records(spark, root, max_header_bytes=0)
     assert rows(small, "source", "line") == rows(big, "source", "line")
     assert small.count() == 14
+
+
+def test_wide_records_and_unusual_files_lose_nothing(spark):
+    root = tempfile.mkdtemp(prefix="tripflow-wide-")
+    wide = [f"x{i}" for i in range(20)] + schemas.TRIP_CSV_COLUMNS
+    cells = ["R1", "classic_bike", "2024-10-02 08:00:00", "2024-10-02 09:00:00", '"St, ""9"""', "9.10", "E", "9.20",
+             "40.1", "-73.1", "40.2", "-73.2", "member"]
+    with open(os.path.join(root, "a.csv"), "w") as f:  # 33 columns; the header again; separators only
+        f.write("\n".join([",".join(wide), ",".join(["z"] * 20 + cells), ",".join(wide), "," * 32]) + "\n")
+    with open(os.path.join(root, "b.csv"), "w") as f:  # no ride_id column at all
+        f.write(",".join(schemas.TRIP_CSV_COLUMNS[1:]) + "\n" + ",".join(cells[1:]) + "\n")
+    kept, bad = clean.clean_trips(trip_src.csv_records(spark, root))
+    assert sorted((r.ride_id, r.start_station_name) for r in kept.collect()) == [
+        ("R1", 'St, "9"'), ("unknown", 'St, "9"')]
+    assert bad.count() == 2
+
+
+def test_one_bad_csv_does_not_drop_its_archive(spark):
+    root = tempfile.mkdtemp(prefix="tripflow-badcsv-")
+    make_zip(os.path.join(root, "x.zip"), {"good.csv": csv_text(5), "bad.csv": b"ride_id\n\xff\xfe\xff\n",
+                                           "last.csv": csv_text(4, start=50)})
+    recs = trip_src.zip_records(spark, root)
+    assert recs.filter("error is null").count() == 9
+    assert [r.entry for r in recs.filter("error is not null").collect()] == ["bad.csv"]
