@@ -59,7 +59,7 @@ def test_read_cleaned_lineage(spark):
     df = spark.createDataFrame(
         [(f"r{i}", "b", T(2024, 10, 1), T(2024, 10, 1), "s", "1", "e", "2", None, None, None, None, "m",
           dt.date(2024, 10, 1)) for i in range(5)], schemas.TRIP)
-    sinks.write_by_month(df, root, partitions=1)
+    sinks.write_by_month(df, root)
     back = trip_src.read_cleaned(spark, root)
     assert back.count() == 5
     assert sorted(r.source_row for r in back.collect()) == [0, 1, 2, 3, 4]

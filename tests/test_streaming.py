@@ -42,9 +42,9 @@ def test_incremental_trip_load_each_file_once(spark):
             [(r, "classic_bike", T(2024, 10, 1), T(2024, 10, 1, 1), "a", "1", "b", "2",
               None, None, None, None, "member", dt.date(2024, 10, 1)) for r in ids], schemas.TRIP)
 
-    sinks.write_by_month(trips(["r1", "r2", "r2"]), cleaned, partitions=1)
+    sinks.write_by_month(trips(["r1", "r2", "r2"]), cleaned)
     streaming.start_incremental_trip_load(spark, cleaned, table, ckpt).awaitTermination()
-    sinks.write_by_month(trips(["r2", "r3"]), cleaned, partitions=1)
+    sinks.write_by_month(trips(["r2", "r3"]), cleaned)
     streaming.start_incremental_trip_load(spark, cleaned, table, ckpt).awaitTermination()
     streaming.start_incremental_trip_load(spark, cleaned, table, ckpt).awaitTermination()  # nothing new
     loaded = spark.read.parquet(table)

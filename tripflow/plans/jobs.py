@@ -10,85 +10,80 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow import schemas, sinks, streaming
 from tripflow import functions as tf
 from tripflow.operators import clean, enrich, metrics, stations
-from tripflow.operators.joins import released_after, sized_side
+from tripflow.operators.joins import released_after
 from tripflow.sources import feeds as feed_src
 from tripflow.sources import relational, trips as trip_src
-from tripflow.session import build_session
+from tripflow.session import build_session, fresh_dir, ship_package
 
 
 # -- P-A: archives -> cleaned Parquet by month + quarantine + manifest ----------
 
+COUNTS_SCHEMA = "file_name string, rows long, kept long, quarantined long"
+
+
 def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: str,
                         quarantine_path: str, manifest_path: str, spread: int | None = None,
                         as_of=None) -> DataFrame:
     """Expand every archive not processed before, clean it, and write kept
     rows by month, quarantined rows with their reason, and one manifest row
-    per archive with rows read / kept / quarantined (A6, V5-V7).
+    per archive with rows read / kept / quarantined (A6, V5-V7). Counts and
+    defects per month of the run (A3, A4) go to ``<manifest_path>_months``.
 
-    The new-archive list is file metadata (one name per archive) and is the
-    only thing brought to the driver, to restrict the content scan to those
-    files. Returns the per-archive counts.
+    Archives are expanded and typed once, into a staged table below the shared
+    folder; every output is read from it, column by column, and it is removed
+    at the end. A CSV that cannot be read is recorded as failed, the archive's
+    other CSVs are kept. Returns the per-archive counts.
     """
+    ship_package(spark)
+    stage = fresh_dir(spark, "clean")
     listed = trip_src.list_archives(spark, archive_root).withColumn("file_name", tf.base_name("path"))
     done = relational.done_file_names(spark, manifest_path, manifest_path.rstrip("/") + "_failed")
-    new_paths = [r.path for r in listed.join(done, "file_name", "left_anti").select("path").collect()]
-    if not new_paths:
-        return spark.createDataFrame([], "file_name string, rows long, kept long, quarantined long")
-    records = (
-        spark.read.format("binaryFile").load(new_paths).select("path", "content")
-        .mapInPandas(trip_src.expand_archives, trip_src.RECORD_SCHEMA)
-    )
-    if spread:
-        records = records.repartition(spread, "source", "entry", "line_no")
-    records = records.persist(StorageLevel.MEMORY_AND_DISK)
-    failed = records.filter(F.col("error").isNotNull()).groupBy("source", "entry").agg(
-        F.min("error").alias("error_message"))
-    # a CSV with an error is recorded as failed and none of its rows are kept,
-    # the archive's other CSVs are; the failed list has one row per CSV, so it
-    # is broadcast behind its size (never a shuffle of all records by archive)
-    bad = sized_side(failed)
-    ok_records = records.filter(F.col("error").isNull()).join(
-        bad.for_join().select("source", "entry"), ["source", "entry"], "left_anti")
-    no_archive = failed.filter(F.col("entry").isNull()).select(tf.base_name("source").alias("file_name"))
-    failed = failed.select(F.concat_ws("!", tf.base_name("source"), "entry").alias("file_name"), "error_message")
-    keep = ("source", "entry")
-    typed = clean.with_reason(clean.type_trips(clean.bind_by_header(ok_records, keep=keep), keep=keep))
-    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
+    listed.join(done, "file_name", "left_anti").select("path", "file_name").write.parquet(f"{stage}/archives")
+    new = spark.read.parquet(f"{stage}/archives")
+    if new.isEmpty():
+        sinks.remove(spark, stage)
+        return spark.createDataFrame([], COUNTS_SCHEMA)
+    keep = ("source", "entry", "error")
+    records = trip_src.archive_records(new, spread)
+    typed = clean.with_reason(clean.type_trips(clean.bind_by_header(records, keep=keep), keep=keep))
+    typed.withColumn("archive", tf.base_name("source")).write.parquet(f"{stage}/typed")
+    typed = spark.read.parquet(f"{stage}/typed")
+    rows, failed = typed.filter(F.col("error").isNull()), typed.filter(F.col("error").isNotNull())
     # outputs are partitioned by archive and replace that archive's earlier
     # output, so re-running after a failure before the manifest write is safe
-    archive = tf.base_name("source").alias("archive")
-    good = typed.filter(F.col("reason").isNull()).select(*schemas.TRIP_COLUMNS, archive)
+    good = rows.filter(F.col("reason").isNull()).select(*schemas.TRIP_COLUMNS, "archive")
     sinks.write_by_month(good, cleaned_path, source_col="archive")
-    (typed.filter(F.col("reason").isNotNull()).withColumn("archive", archive)
+    (rows.filter(F.col("reason").isNotNull()).drop("error")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archive")
      .parquet(quarantine_path))
-    per_file = typed.groupBy(tf.base_name("source").alias("file_name")).agg(
+    metrics.defects_per_month(rows).write.mode("append").parquet(manifest_path.rstrip("/") + "_months")
+    per_file = rows.groupBy(F.col("archive").alias("file_name")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("reason").isNull()).alias("kept"),
         F.count_if(F.col("reason").isNotNull()).alias("quarantined"),
     )
+    no_archive = failed.filter(F.col("entry").isNull()).select(F.col("archive").alias("file_name"))
     # every new archive gets a row, an empty one with zeros, so it is not read again (V5, V7)
-    names = spark.createDataFrame([(p.rstrip("/").rsplit("/", 1)[-1],) for p in new_paths], "file_name string")
     counts = (
-        names.join(no_archive, "file_name", "left_anti")
+        new.select("file_name").join(no_archive, "file_name", "left_anti")
         .join(per_file, "file_name", "left")
         .fillna(0, ["rows", "kept", "quarantined"])
-        .persist()
     )
     stamp = tf.now(as_of)
-    counts.select("file_name", stamp.alias("ingested_at")).write.mode("append").parquet(manifest_path)
-    failed.select("file_name", "error_message", stamp.alias("failed_at")) \
+    run_counts = f"{manifest_path.rstrip('/')}_counts/{stage.rsplit('/', 1)[-1]}"
+    counts.write.parquet(run_counts)
+    counts = spark.read.schema(COUNTS_SCHEMA).parquet(run_counts)
+    failed.select(F.concat_ws("!", "archive", "entry").alias("file_name"),
+                  F.col("error").alias("error_message"), stamp.alias("failed_at")) \
         .write.mode("append").parquet(manifest_path.rstrip("/") + "_failed")
-    typed.unpersist()
-    records.unpersist()
-    bad.release()
+    counts.select("file_name", stamp.alias("ingested_at")).write.mode("append").parquet(manifest_path)
+    sinks.remove(spark, stage)
     return counts
 
 

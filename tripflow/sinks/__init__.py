@@ -18,23 +18,21 @@ from tripflow.operators.feeds import to_status_messages
 
 
 def write_by_month(trips: DataFrame, path: str, rows_per_file: int = schemas.ROWS_PER_FILE,
-                   partitions: int | None = None, mode: str = "append",
-                   source_col: str | None = None) -> None:
+                   mode: str = "append", source_col: str | None = None) -> None:
     """Trips as Snappy Parquet under ``month=YYYY-MM-01/`` with at most
     ``rows_per_file`` rows per file (K4, L2).
 
-    Rows are range-partitioned on (month, ride_id) first: each task holds a
-    slice of few months, so files are not scattered over every task, and a
-    month holding a large share of the trips is cut into several tasks
-    instead of landing in one.
+    Rows are rebalanced by month first: adaptive execution gathers small
+    months in one task and cuts a month that holds a large share of the trips
+    into tasks of the advisory partition size, from the sizes of the shuffle
+    itself. There is no fixed number of partitions and no sampling pass.
 
     With ``source_col`` (the input file each row came from) the layout is
     ``month=.../<source_col>=.../`` and the write replaces exactly the
     partitions of the sources it contains, so writing a source again (a
     re-run after a failure) replaces its rows instead of adding them.
     """
-    n = partitions or int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    w = trips.repartitionByRange(n, "month", "ride_id").write
+    w = trips.hint("rebalance", F.col("month")).write
     if source_col:
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", source_col)
     else:
@@ -65,6 +63,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a work folder whose contents have been used."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def versions(spark: SparkSession, table_path: str) -> list[str]:
     """Committed version folders (``v=<n>`` with ``_SUCCESS``), oldest first."""
     fs, root = _fs(spark, table_path)
