@@ -18,6 +18,7 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,9 @@ from tripflow.plans import oracle as O
 from tripflow.plans import standins as S
 from tripflow.session import ensure_job_conf, fresh_dir, ship_package
 from tripflow.sources import feeds as feed_src
+from tripflow.sources import relational
 from tripflow.sources import trips as trip_src
+from tripflow.sources.trips import file_of
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -92,11 +95,19 @@ def q_renting_only(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # P-F trip enrichment
 
+def _written(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The station table as the station job leaves it: written, so that its
+    size in bytes is known where it is joined."""
+    out = fresh_dir(spark, "station_table")
+    df.write.parquet(out)
+    return spark.read.schema(df.schema).parquet(out)
+
+
 @_register("trip_enrich", O.with_(status=O.STATUS, info=O.INFO, agg=O.STATION_AGG, trips=O.TRIPS)
            + O.enrich_select("agg"))
 def q_trip_enrich(spark, sf_dir):
     """Trips ⟕ aggregate on start and end short_name; multiplicity kept."""
-    return enrich.enrich_trips(S.trips(spark, sf_dir, spread=True), _station_agg(spark, sf_dir))
+    return enrich.enrich_trips(S.trips(spark, sf_dir, spread=True), _written(spark, _station_agg(spark, sf_dir)))
 
 
 @_register("trip_enrich_latest",
@@ -104,10 +115,31 @@ def q_trip_enrich(spark, sf_dir):
                    trips=O.TRIPS) + O.enrich_select("latest"))
 def q_trip_enrich_latest(spark, sf_dir):
     """Trips ⟕ latest row per station, both ends: one row per trip."""
-    latest = stations.latest_per_station(_station_agg(spark, sf_dir))
+    latest = _written(spark, stations.latest_per_station(_station_agg(spark, sf_dir)))
     return enrich.enrich_trips(S.trips(spark, sf_dir, spread=True), latest)
 
 
+@_register("trip_enrich_shared_short_name",
+           O.with_(status=O.STATUS, trips=O.TRIPS)
+           + ", last AS (SELECT CAST(user_id - user_id % 2 AS VARCHAR) || '.10' AS short_name, max(ts) AS reported"
+             " FROM events JOIN customer ON user_id = c_custkey GROUP BY 1)"
+             " SELECT t.ride_id, t.month, s.short_name AS start_station_short_name,"
+             " s.reported AS start_status_last_reported, e.reported AS end_status_last_reported"
+             " FROM trips t LEFT JOIN last s ON t.start_station_id = s.short_name"
+             " LEFT JOIN last e ON t.end_station_id = e.short_name")
+def q_trip_enrich_shared_short_name(spark, sf_dir):
+    """The enrichment job (P-F) where every two stations share a short name:
+    one row per trip, with the latest report of either (D1 J2 J3 K1)."""
+    out = fresh_dir(spark, "shared_short_name")
+    pair = F.col("station_id").cast("long")
+    info = S.info(spark, sf_dir).withColumn(
+        "short_name", F.concat((pair - pair % 2).cast("string"), F.lit(S.SHORT_NAME_SUFFIX)))
+    agg = _written(spark, stations.station_aggregate(S.status(spark, sf_dir), info))
+    jobs.enrich_trip_table(spark, S.trips(spark, sf_dir), agg, out)
+    return spark.read.parquet(out).select("ride_id", "month", "start_station_short_name",
+                                          "start_status_last_reported", "end_status_last_reported")
+
+
 # ---------------------------------------------------------------------------
 # trip metrics and checks
 
@@ -131,7 +163,7 @@ def q_trips_per_day(spark, sf_dir):
            + " SELECT ride_id, COUNT(*) AS occurrences FROM trips GROUP BY ride_id HAVING COUNT(*) > 1")
 def q_duplicate_keys(spark, sf_dir):
     """ride_id values that occur more than once (V3)."""
-    return quality.duplicate_keys(S.trips(spark, sf_dir, spread=True), ["ride_id"])
+    return quality.duplicate_keys(S.trips(spark, sf_dir), ["ride_id"])
 
 
 @_register("length_check",
@@ -168,6 +200,13 @@ def q_epoch_times(spark, sf_dir):
                      ms.alias("epoch_ms"), tf.epoch_to_timestamp(ms, "ms").alias("ts_ms"))
 
 
+@_register("epoch_text", " SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS reported FROM events")
+def q_epoch_text(spark, sf_dir):
+    """Epoch seconds to text."""
+    seconds = tf.timestamp_to_epoch("ts", "s")
+    return S.table(spark, sf_dir, "events").select("event_id", tf.epoch_to_text(seconds).alias("reported"))
+
+
 # ---------------------------------------------------------------------------
 # manifests and table writes
 
@@ -338,20 +377,145 @@ def q_trip_clean_csv_files(spark, sf_dir):
     first line (S5), read back with that header, then cleaned as in
     ``trip_clean``. A source is landed as several files, so that a month with
     most of the trips is not one task."""
-    run = fresh_dir(spark, "trip_csv")
-    records = S.raw_trip_records(S.table(spark, sf_dir, "lineitem", spread=True))
-    lines = records.select("source", "header", F.pmod(F.xxhash64("line"), F.lit(4)).alias("part"), "line")
-    headers = lines.groupBy("source", "part").agg(F.min("header").alias("line"))
-    # one task per landed file, its header before its lines
-    (lines.select("source", "part", F.lit(1).alias("place"), "line")
-     .unionByName(headers.withColumn("place", F.lit(0)))
-     .repartition("source", "part").sortWithinPartitions("source", "part", "place").select("source", "part", "line")
-     .write.partitionBy("source", "part").text(f"{run}/landing"))
-    recs = trip_src.csv_records(spark, f"{run}/landing", glob="*.txt")
-    kept, _ = clean.split_clean(clean.type_trips(clean.bind_by_header(recs)))
+    kept, _ = clean.clean_trips(_landed_csv(spark, S.raw_trip_records(S.table(spark, sf_dir, "lineitem", spread=True))))
+    return kept
+
+
+def _landed_csv(spark, records):
+    landing = fresh_dir(spark, "trip_csv")
+    S.land_csv_files(records, landing)
+    return trip_src.csv_records(spark, landing, glob="*.txt")
+
+
+@_register("trip_clean_wide", O.with_(raw=_RAW) + f" SELECT * FROM raw WHERE {_REASON} = ''")
+def q_trip_clean_wide(spark, sf_dir):
+    """CSV files of 25 columns and more, whose 12 extra columns hold commas and
+    quotes and stand elsewhere from month to month: the same trips as in
+    ``trip_clean`` (S5 D6 P10)."""
+    records = S.raw_trip_records(S.table(spark, sf_dir, "lineitem", spread=True), extra=12)
+    kept, _ = clean.clean_trips(_landed_csv(spark, records))
+    return kept
+
+
+@_register("trip_clean_no_ride_id",
+           O.with_(raw=_RAW) + f" SELECT * REPLACE ('unknown' AS ride_id) FROM raw WHERE {_REASON} = ''")
+def q_trip_clean_no_ride_id(spark, sf_dir):
+    """CSV files without a ride_id column: no trip is lost, the id is the
+    default text (S5 P13)."""
+    records = S.raw_trip_records(S.table(spark, sf_dir, "lineitem", spread=True), without=("ride_id",))
+    kept, _ = clean.clean_trips(_landed_csv(spark, records))
     return kept
 
 
+def _clean_job(spark, sf_dir):
+    """Archives of the trip records, taken through the clean job (P-A)."""
+    run = fresh_dir(spark, "trip_archives")
+    S.land_archives(S.raw_trip_records(S.table(spark, sf_dir, "lineitem", spread=True)), f"{run}/landing")
+    jobs.clean_trip_archives(spark, f"{run}/landing", f"{run}/cleaned", f"{run}/quarantine", f"{run}/manifest")
+    return run
+
+
+@_register("trip_archive_clean", O.with_(raw=_RAW) + f" SELECT * FROM raw WHERE {_REASON} = ''")
+def q_trip_archive_clean(spark, sf_dir):
+    """The trip CSV records landed as zip archives with nested ones in them,
+    through the clean job; its cleaned table (P-A: S6 S7 U1 P9-P13 K4)."""
+    run = _clean_job(spark, sf_dir)
+    return spark.read.schema(schemas.TRIP).parquet(f"{run}/cleaned").select(*schemas.TRIP_COLUMNS)
+
+
+@_register("trip_archive_counts",
+           O.with_(raw=_RAW) + ", months AS (SELECT month, COUNT(*) AS rows FROM raw GROUP BY month)"
+           f" SELECT SUM(CASE WHEN {_REASON} = '' THEN 1 ELSE 0 END)::BIGINT AS kept,"
+           f" SUM(CASE WHEN {_REASON} <> '' THEN 1 ELSE 0 END)::BIGINT AS quarantined,"
+           " COUNT(*) AS rows, (SELECT COUNT(*) FROM months) AS months, 0::BIGINT AS not_recorded FROM raw")
+def q_trip_archive_counts(spark, sf_dir):
+    """Counts of the clean job over its archives, months with counts of their
+    own, and archives that its logs do not name (A6 A3 V5 V7 S9)."""
+    run = _clean_job(spark, sf_dir)
+    done = relational.done_file_names(spark, f"{run}/manifest", f"{run}/manifest_failed")
+    archives = trip_src.list_archives(spark, f"{run}/landing").select(tf.base_name("path").alias("file_name"))
+    left = archives.join(done, "file_name", "left_anti").agg(F.count(F.lit(1)).alias("not_recorded"))
+    months = spark.read.parquet(f"{run}/manifest_months").agg(F.count(F.lit(1)).alias("months"))
+    counts = spark.read.option("recursiveFileLookup", "true").parquet(f"{run}/manifest_counts")
+    one = F.lit(1)
+    return counts.agg(F.sum("rows").alias("rows"), F.sum("kept").alias("kept"),
+                      F.sum("quarantined").alias("quarantined")).withColumn("_k", one) \
+        .join(months.withColumn("_k", one), "_k").join(left.withColumn("_k", one), "_k").drop("_k")
+
+
+@_register("archive_names",
+           " SELECT doc_id, n_chars FROM documents WHERE source NOT LIKE '%1%' AND n_chars >= 1000")
+def q_archive_names(spark, sf_dir):
+    """Files that have an archive's name and size."""
+    docs = S.table(spark, sf_dir, "documents")
+    stamp = F.when(F.contains("source", F.lit("1")), F.lit("archive")).otherwise(F.lit("202401"))
+    files = docs.select("doc_id", F.col("n_chars").alias("length"), F.concat(
+        F.lit("s3://trips/"), stamp, F.lit("-demo-tripdata"),
+        F.when(F.col("doc_id") % 2 == 0, ".csv").otherwise(""), F.lit(".zip")).alias("path"))
+    return trip_src.selected(files, tf.TRIP_ARCHIVE_PATTERN, 1000).select("doc_id", F.col("length").alias("n_chars"))
+
+
+_LOAD_ROWS = O.with_(
+    trips=O.TRIPS,
+    checked="SELECT CASE WHEN ride_id LIKE '%-7' THEN NULL ELSE ride_id END AS ride_id, started_at,"
+            " CASE WHEN ride_id LIKE '%-7' THEN 'null_ride_id' WHEN ride_id LIKE '%-6' THEN 'long_rideable_type'"
+            " WHEN row_number() OVER (PARTITION BY ride_id ORDER BY started_at) > 1 THEN 'duplicate_ride_id'"
+            " ELSE 'loaded' END AS outcome FROM trips")
+
+
+@_register("trip_load",
+           _LOAD_ROWS + " SELECT outcome, ride_id, started_at FROM checked UNION ALL"
+           " SELECT 'failed file', 'broken.parquet', NULL UNION ALL SELECT 'failed file', 'narrow.parquet', NULL")
+def q_trip_load(spark, sf_dir):
+    """The load job (P-B) in two runs over the trips, some without a ride_id
+    and some with a text over its limit, beside a file that is not Parquet and
+    one that lacks columns: every row's and file's outcome (T3 T5 K9 S8 V1 V4
+    V6 V7)."""
+    run = fresh_dir(spark, "trip_load")
+    seventh = F.col("ride_id").endswith("-7")
+    trips = S.trips(spark, sf_dir, spread=True).withColumns({
+        "rideable_type": F.when(F.col("ride_id").endswith("-6"), F.repeat(F.lit("x"), F.lit(60)))
+        .otherwise(F.col("rideable_type")),
+        "ride_id": F.when(~seventh, F.col("ride_id"))})
+    member = F.col("ride_id").like("%1-%")
+    sinks.write_by_month(trips.filter(member), f"{run}/cleaned")
+    trips.agg(F.max("ride_id").alias("ride_id"), F.max("started_at").alias("started_at")) \
+        .write.parquet(f"{run}/narrow")
+    _place(spark, f"{run}/narrow", f"{run}/cleaned/narrow.parquet")
+    spark.createDataFrame([("not Parquet",)], "value string").coalesce(1).write.text(f"{run}/broken")
+    _place(spark, f"{run}/broken", f"{run}/cleaned/broken.parquet")
+    jobs.load_trips(spark, f"{run}/cleaned", f"{run}/table", f"{run}/checkpoint")
+    sinks.write_by_month(trips.filter(F.coalesce(~member, F.lit(True))), f"{run}/cleaned")
+    loaded = jobs.load_trips(spark, f"{run}/cleaned", f"{run}/table", f"{run}/checkpoint")
+    rejected = spark.read.parquet(f"{run}/table_rejected")
+    failed = spark.read.parquet(f"{run}/table_failed")
+    return loaded.select(F.lit("loaded").alias("outcome"), "ride_id", "started_at") \
+        .unionByName(rejected.select(F.col("reason").alias("outcome"), "ride_id", "started_at")) \
+        .unionByName(failed.select(F.lit("failed file").alias("outcome"), F.col("file_name").alias("ride_id"),
+                                   F.lit(None).cast("timestamp_ntz").alias("started_at")))
+
+
+def _place(spark, folder, path):
+    """The one file that a job wrote into ``folder``, at ``path``."""
+    fs, root = file_of(folder)
+    part = next(f.path for f in fs.get_file_info(pafs.FileSelector(root)) if f.base_name.startswith("part-"))
+    fs.move(part, file_of(path)[1])
+
+
+@_register("month_files",
+           O.with_(trips=O.TRIPS) + " SELECT month, COUNT(*) AS trips, 0::BIGINT AS larger_files,"
+           " COUNT(*) AS source_rows FROM trips GROUP BY month")
+def q_month_files(spark, sf_dir):
+    """Trips written by month in files of at most 100 rows and read back with
+    their lineage: files over the bound, distinct source rows (L2 K4 S8)."""
+    out = fresh_dir(spark, "month_files")
+    sinks.write_by_month(S.trips(spark, sf_dir), out, rows_per_file=100)
+    per_file = trip_src.read_cleaned(spark, out).groupBy("month", "source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("source_row").alias("places"))
+    return per_file.groupBy("month").agg(F.sum("n").alias("trips"), F.count_if(F.col("n") > 100).alias("larger_files"),
+                                         F.sum("places").alias("source_rows"))
+
+
 @_register("trip_quarantine",
            O.with_(raw=_RAW) + f" SELECT ride_id, {_REASON} AS reason FROM raw WHERE {_REASON} <> ''")
 def q_trip_quarantine(spark, sf_dir):
@@ -424,6 +588,51 @@ def q_status_history(spark, sf_dir):
     return spark.read.schema(schemas.STATION_STATUS).parquet(out).drop("batch_id")
 
 
+@_register("status_feed_messages",
+           " SELECT CAST(user_id AS VARCHAR) AS station_id, CAST(floor(value) AS INTEGER) AS bikes,"
+           " CASE event_type WHEN 'view' THEN 'absent' WHEN 'purchase' THEN '0' ELSE '1' END AS is_returning,"
+           " epoch_us(ts) // 1000000 AS last_reported FROM events")
+def q_status_feed_messages(spark, sf_dir):
+    """The status feed job's second sink (P-C, K3): each station object as it
+    was sent, published (to files in place of the topic) and read back."""
+    run = fresh_dir(spark, "status_messages")
+    docs = S.status_feed_docs(S.table(spark, sf_dir, "events"), block=S.SNAPSHOT_BLOCK)
+    sinks.write_snapshots(docs, f"{run}/landing")
+    topic = streaming.batch_partition_writer(f"{run}/topic")
+    q = streaming.start_feed_history(feed_src.stream_snapshots(spark, f"{run}/landing"), f"{run}/history",
+                                     f"{run}/checkpoint", available_now=True, publish=topic)
+    q.awaitTermination()
+    value = tf.binary_to_text("value")
+    absent = ~tf.json_has_key(value, "is_returning")
+    return spark.read.parquet(f"{run}/topic").select(
+        tf.binary_to_text("key").alias("station_id"),
+        F.get_json_object(value, "$.num_bikes_available").cast("int").alias("bikes"),
+        F.when(absent, "absent").otherwise(F.get_json_object(value, "$.is_returning")).alias("is_returning"),
+        F.get_json_object(value, "$.last_reported").cast("long").alias("last_reported"))
+
+
+@_register("station_info_feed",
+           O.with_(snaps="SELECT *, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(floor(c_custkey / 2000) AS INTEGER))"
+                         " AS snap FROM customer")
+           + " SELECT CAST(c_custkey AS VARCHAR) AS station_id, c_name AS name,"
+             " CAST(c_custkey AS VARCHAR) || '.10' AS short_name, c_acctbal / 100 AS lat,"
+             " CAST(c_nationkey AS DOUBLE) AS lon, c_mktsegment AS region_id,"
+             " CAST(c_nationkey AS INTEGER) AS capacity, FALSE AS eightd_has_key_dispenser,"
+             " CASE c_mktsegment WHEN 'AUTOMOBILE' THEN FALSE WHEN 'BUILDING' THEN NULL"
+             " ELSE c_acctbal >= 0 END AS has_kiosk, TRUE AS installed, snap AS last_reported,"
+             " (SELECT max(snap) FROM snaps) AS created_at, (SELECT max(snap) FROM snaps) AS updated_at FROM snaps")
+def q_station_info_feed(spark, sf_dir):
+    """Metadata snapshots landed, streamed once and folded into the versioned
+    station table by the job (P-D: S4 K5 P8 F12 K8)."""
+    run = fresh_dir(spark, "info_feed")
+    docs = S.info_feed_docs(S.table(spark, sf_dir, "customer"), block=S.SNAPSHOT_BLOCK)
+    base = F.lit(S.INFO_EPOCH).cast("timestamp_ntz")
+    docs = docs.withColumn("snapshot_time", F.timestamp_add("DAY", F.col("snapshot_id").cast("int"), base))
+    sinks.write_snapshots(docs, f"{run}/landing")
+    jobs.upsert_station_information(spark, f"{run}/landing", f"{run}/table", f"{run}/checkpoint")
+    return sinks.read_current(spark, f"{run}/table", schemas.STATION_INFORMATION)
+
+
 _MONTH = "1996-03-01"
 
 

@@ -2,6 +2,8 @@ import datetime as dt
 import os
 import tempfile
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -54,6 +56,26 @@ def test_incremental_trip_load_each_file_once(spark):
     assert loaded.count() + rejected.count() == 5
 
 
+def test_load_records_bad_files_and_loses_no_row(spark):
+    root = tempfile.mkdtemp(prefix="tripflow-load2-")
+    cleaned, table, ckpt = (os.path.join(root, p) for p in ("cleaned", "table", "ckpt"))
+    # one task writes both months: its two files have the same name
+    months = [(f"r{i % 3}", "b", T(2024, m, 1 + i), T(2024, m, 2 + i), "a", "1", "b", "2", None, None, None, None,
+               "member", dt.date(2024, m, 1)) for m in (10, 11) for i in range(4)]
+    months.append((None, *months[0][1:]))
+    spark.createDataFrame(months, schemas.TRIP).coalesce(1).write.partitionBy("month").parquet(cleaned)
+    with open(os.path.join(cleaned, "broken.parquet"), "w") as f:
+        f.write("no")
+    pq.write_table(pa.table({"ride_id": ["x"], "started_at": ["text"]}), os.path.join(cleaned, "narrow.parquet"))
+    streaming.start_incremental_trip_load(spark, cleaned, table, ckpt).awaitTermination()
+    assert rows(spark.read.parquet(table), "ride_id", "started_at") == [
+        ("r0", T(2024, 10, 1)), ("r1", T(2024, 10, 2)), ("r2", T(2024, 10, 3))]
+    rejected = spark.read.parquet(table + "_rejected").groupBy("reason").count()
+    assert rows(rejected) == [("duplicate_ride_id", 5), ("null_ride_id", 1)]
+    failed = {r.file_name: r.error_message for r in spark.read.parquet(table + "_failed").collect()}
+    assert set(failed) == {"broken.parquet", "narrow.parquet"} and "missing columns" in failed["narrow.parquet"]
+
+
 def test_feed_history_stream_quarantines_rows_without_time(spark):
     root = tempfile.mkdtemp(prefix="tripflow-hist-")
     landing = os.path.join(root, "landing")

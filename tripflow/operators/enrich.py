@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import schemas
-from tripflow.operators.joins import DEFAULT_BROADCAST_BYTES, sized_side
+from tripflow.operators.joins import DEFAULT_BROADCAST_BYTES, join_side
 
 
 def station_role(stations: DataFrame, prefix: str) -> DataFrame:
@@ -34,16 +34,14 @@ def enrich_trips(trips: DataFrame, stations: DataFrame,
     both ends repeat); pass :func:`latest_per_station` output to get exactly
     one row per trip.
 
-    The station side is persisted and measured once; under
-    ``max_broadcast_bytes`` both joins are broadcast hash joins in the trips'
-    own stage, so the trips are never shuffled. Above it they are shuffle
-    joins.
+    Hand over a written station table: under ``max_broadcast_bytes`` of it
+    both joins are broadcast hash joins in the trips' own stage, so the trips
+    are never shuffled. Above it, or where the size is only an upper estimate
+    that is too large, Spark picks the joins.
     """
     cols = [src for src, _ in schemas.ENRICH_STATION_COLUMNS]
-    side = sized_side(stations.select(*cols), max_broadcast_bytes)
-    hint = F.broadcast if side.broadcast else (lambda df: df)
-    start = hint(station_role(side.frame, "start"))
-    end = hint(station_role(side.frame, "end"))
+    side = join_side(stations.select(*cols), max_broadcast_bytes)
+    start, end = station_role(side, "start"), station_role(side, "end")
     t = trip_side(trips)
     return (
         t.join(start, F.col("start_station_id") == F.col("start_station_short_name"), "left")

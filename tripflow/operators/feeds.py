@@ -80,9 +80,18 @@ def info_rows(stations: DataFrame, station_col: str = "station", as_of=None,
     return stations.select(*keep, *cols, stamp.alias("last_reported"))
 
 
+def to_station_messages(stations: DataFrame, station_col: str = "station") -> DataFrame:
+    """Elements of a feed document to topic messages (K3): ``key`` =
+    station_id, ``value`` = the whole element as sent, every key and explicit
+    null included."""
+    text = F.col(station_col)
+    key = tf.parse_json(text, "station_id string").getField("station_id")
+    return stations.select(key.cast("binary").alias("key"), text.cast("binary").alias("value"))
+
+
 def to_status_messages(status: DataFrame) -> DataFrame:
-    """``station_status`` rows to one JSON message per station, the shape
-    published on the topic (K3, F3): ``key`` = station_id, ``value`` = bytes."""
+    """``station_status`` rows to one JSON message per station with the fields
+    that the topic's readers use (F3): ``key`` = station_id, ``value`` = bytes."""
     body = tf.record_to_json(
         "station_id", "num_bikes_available", "num_docks_available",
         tf.timestamp_to_epoch("last_reported", "s").alias("last_reported"),

@@ -14,6 +14,29 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
+# Spark's estimate for a frame of unknown size is near the largest long; no side is a pebibyte.
+UNKNOWN_BYTES = 1 << 50
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of ``df``: the files' bytes for a written
+    table, an upper estimate for anything computed. No job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def small_side(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether the size estimate of ``df`` is within ``max_bytes``."""
+    return estimated_bytes(df) <= max_bytes
+
+
+def join_side(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``df``, to be broadcast if its size estimate is within ``max_bytes``. A
+    frame that Spark has no estimate for is measured by :func:`sized_side`."""
+    if estimated_bytes(df) >= UNKNOWN_BYTES:
+        return sized_side(df, max_bytes).for_join()
+    return F.broadcast(df) if small_side(df, max_bytes) else df
+
+
 @dataclass
 class SizedSide:
     """A persisted join side, its measured size, and the chosen strategy."""

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import functions as tf
-from tripflow.operators.joins import DEFAULT_BROADCAST_BYTES, sized_side
+from tripflow.operators.joins import DEFAULT_BROADCAST_BYTES, small_side
 
 
 def _pack(cols: Sequence[str]) -> Column:
@@ -49,21 +49,22 @@ def insert_if_absent(incoming: DataFrame, target: DataFrame, key: Sequence[str],
     ``ON CONFLICT DO NOTHING``).
 
     The target (the whole table) is usually far larger than a load. When the
-    deduplicated load has at most ``max_broadcast_bytes`` bytes, its keys are
-    broadcast and the target's key column is semi-joined against them while
-    it is scanned, so the target is never shuffled; only the few matching
-    keys meet the load in the final anti join. Larger loads use a plain
-    shuffle anti join, which reuses the deduplication's partitioning.
+    load's keys have at most ``max_broadcast_bytes`` bytes, they are broadcast
+    and the target's key column is semi-joined against them while it is
+    scanned, so the target is never shuffled; only the few matching keys meet
+    the load in the final anti join. Larger loads use a shuffle anti join,
+    which reuses the deduplication's partitioning.
 
     The key is a primary key, so rows with a null in it are never inserted;
     callers that keep rejects find them among the rows that are not returned.
     """
     key = list(key)
-    winners = sized_side(first_per_key(incoming.filter(~tf.any_null(key)), key, order), max_broadcast_bytes)
-    if not winners.broadcast:
-        return winners.frame.join(target.select(*key), key, "left_anti")
-    present = target.select(*key).join(F.broadcast(winners.frame.select(*key)), key, "left_semi")
-    return winners.frame.join(present, key, "left_anti")
+    incoming = incoming.filter(~tf.any_null(key))
+    winners, present = first_per_key(incoming, key, order), target.select(*key)
+    loaded = incoming.select(*key)
+    if small_side(loaded, max_broadcast_bytes):
+        present = present.join(F.broadcast(loaded.distinct()), key, "left_semi")
+    return winners.join(present, key, "left_anti")
 
 
 def upsert(existing: DataFrame, updates: DataFrame, key: str, values: Sequence[str],

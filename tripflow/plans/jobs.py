@@ -12,6 +12,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tripflow import schemas, sinks, streaming
 from tripflow import functions as tf
@@ -89,20 +90,29 @@ def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: st
 
 # -- P-B: cleaned Parquet -> trip table, each file once -------------------------
 
-def load_trips(spark: SparkSession, cleaned_path: str, table_path: str, checkpoint: str):
-    """Incremental, repeat-safe load of new cleaned files (T5, K9)."""
+def load_trips(spark: SparkSession, cleaned_path: str, table_path: str, checkpoint: str,
+               table: str | None = None):
+    """Incremental, repeat-safe load of new cleaned files (T5, K9). ``table``
+    declares it in the catalog with its schema before the load (K10)."""
+    if table:
+        sinks.ensure_table(spark, table, StructType(
+            [*schemas.TRIP.fields, StructField("batch_id", LongType())]), table_path, ["month", "batch_id"])
     q = streaming.start_incremental_trip_load(spark, cleaned_path, table_path, checkpoint, available_now=True)
     q.awaitTermination()
+    if table:
+        spark.catalog.recoverPartitions(table)
     return spark.read.schema(schemas.TRIP).parquet(table_path)
 
 
 # -- P-C / P-D: feeds ------------------------------------------------------------
 
 def store_status_feed(spark: SparkSession, landing: str, history_path: str, checkpoint: str,
-                      available_now: bool = True):
-    """Landed status snapshots appended to the status history (P-C)."""
+                      available_now: bool = True, servers: str | None = None, topic: str | None = None):
+    """Landed status snapshots appended to the status history and, with a
+    topic, published to it as whole station objects (P-C, K3)."""
+    publish = (lambda messages, _: sinks.publish(messages, servers, topic)) if topic else None
     q = streaming.start_feed_history(feed_src.stream_snapshots(spark, landing), history_path, checkpoint,
-                                     available_now=available_now)
+                                     available_now=available_now, publish=publish)
     if available_now:
         q.awaitTermination()
     return q
@@ -145,8 +155,7 @@ def enrich_trip_table(spark: SparkSession, trips: DataFrame, transformed: DataFr
     and keeps one row per trip even where stations share a short name."""
     st = stations.latest_per_station(transformed, key="short_name") if latest else transformed
     with released_after():
-        out = enrich.enrich_trips(trips, st)
-        sinks.write_partitioned(out, out_path, ["month"])
+        sinks.write_by_month(enrich.enrich_trips(trips, st), out_path, mode="overwrite")
 
 
 def renting_status(spark: SparkSession, status: DataFrame, out_path: str) -> None:
@@ -173,9 +182,10 @@ def main(argv: list[str] | None = None) -> None:
     a = sub.add_parser("clean")
     a.add_argument("archives"), a.add_argument("cleaned"), a.add_argument("quarantine"), a.add_argument("manifest")
     b = sub.add_parser("load")
-    b.add_argument("cleaned"), b.add_argument("table"), b.add_argument("checkpoint")
+    b.add_argument("cleaned"), b.add_argument("table"), b.add_argument("checkpoint"), b.add_argument("--name")
     c = sub.add_parser("status-feed")
     c.add_argument("landing"), c.add_argument("history"), c.add_argument("checkpoint")
+    c.add_argument("--servers"), c.add_argument("--topic")
     d = sub.add_parser("info-feed")
     d.add_argument("landing"), d.add_argument("table"), d.add_argument("checkpoint")
     e = sub.add_parser("stations")
@@ -191,9 +201,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "clean":
         clean_trip_archives(spark, args.archives, args.cleaned, args.quarantine, args.manifest).show()
     elif args.job == "load":
-        load_trips(spark, args.cleaned, args.table, args.checkpoint)
+        load_trips(spark, args.cleaned, args.table, args.checkpoint, args.name)
     elif args.job == "status-feed":
-        store_status_feed(spark, args.landing, args.history, args.checkpoint)
+        store_status_feed(spark, args.landing, args.history, args.checkpoint,
+                          servers=args.servers, topic=args.topic)
     elif args.job == "info-feed":
         upsert_station_information(spark, args.landing, args.table, args.checkpoint)
     elif args.job == "stations":

@@ -14,12 +14,19 @@ the row counts grow with the scale factor like the real feeds would.
 
 from __future__ import annotations
 
+import uuid
+import zipfile
+from contextlib import ExitStack
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow import functions as tf
 from tripflow import schemas
 from tripflow.sources import spread_small_scan
+from tripflow.sources.trips import file_of
 
 # Fixed values of the stand-in mapping (shared with the SQL twin).
 INFO_EPOCH = "2024-01-01 00:00:00"
@@ -137,8 +144,10 @@ _LAYOUT_B = ["member_casual"] + [c for c in schemas.TRIP_CSV_COLUMNS if c != "me
 _LAYOUT_C = [c for c in schemas.TRIP_CSV_COLUMNS if c != "rideable_type"]
 
 
-def raw_trip_records(lineitem: DataFrame) -> DataFrame:
-    """``source, header, line`` text records, one per lineitem row."""
+def raw_trip_records(lineitem: DataFrame, extra: int = 0, without: tuple[str, ...] = ()) -> DataFrame:
+    """``source, header, line`` text records, one per lineitem row. ``extra``
+    columns of no meaning, with commas and quotes in them, are put among the
+    others; columns ``without`` are left out of every file."""
     t = trips_from_lineitem(lineitem, extra=("l_discount", "l_returnflag", "l_extendedprice"))
     year = F.year("started_at")
     bad_start = F.col("l_discount") == 0.1
@@ -161,18 +170,77 @@ def raw_trip_records(lineitem: DataFrame) -> DataFrame:
         "member_casual": F.col("member_casual"),
     }
 
+    noise = [f"extra_{i}" for i in range(extra)]
+    cells.update({c: F.concat(F.lit(f'{c}, "'), F.col("ride_id"), F.lit('"')) for c in noise})
+
+    def layout_of(columns, first):
+        """Extra columns in front, or one after every column."""
+        columns = [c for c in columns if c not in without]
+        if first:
+            return noise + columns
+        return [c for i, c in enumerate(columns) for c in [c, *noise[i: i + 1]]] + noise[len(columns):]
+
+    layout_a, layout_b, layout_c = layout_of(_LAYOUT_A, True), layout_of(_LAYOUT_B, False), layout_of(_LAYOUT_C, True)
+
     def render(layout):
-        return F.to_csv(F.struct(*[cells[c].alias(c) for c in layout]), {"nullValue": "NA"})
+        return F.to_csv(F.struct(*[cells[c].alias(c) for c in layout]), {"nullValue": "NA", "escape": '"'})
 
     b_year, c_year = year.isin(1996, 1999), year == 2001
-    line = F.when(b_year, render(_LAYOUT_B)).when(c_year, render(_LAYOUT_C)).otherwise(render(_LAYOUT_A))
-    header = (F.when(b_year, F.lit(",".join(_LAYOUT_B)))
-              .when(c_year, F.lit(",".join(_LAYOUT_C)))
-              .otherwise(F.lit(",".join(_LAYOUT_A))))
+    line = F.when(b_year, render(layout_b)).when(c_year, render(layout_c)).otherwise(render(layout_a))
+    header = (F.when(b_year, F.lit(",".join(layout_b)))
+              .when(c_year, F.lit(",".join(layout_c)))
+              .otherwise(F.lit(",".join(layout_a))))
     source = F.concat(F.date_format("started_at", "yyyyMM"), F.lit("-tripdata.csv"))
     return t.select(source.alias("source"), header.alias("header"), line.alias("line"))
 
 
+def land_csv_files(records: DataFrame, path: str) -> None:
+    """Records as text files, each with its header as the first line; a source
+    is several files, so that a month with most of the trips is not one task."""
+    lines = records.select("source", "header", F.pmod(F.xxhash64("line"), F.lit(4)).alias("part"), "line")
+    headers = lines.groupBy("source", "part").agg(F.min("header").alias("line"))
+    # one task per landed file, its header before its lines
+    (lines.select("source", "part", F.lit(1).alias("place"), "line")
+     .unionByName(headers.withColumn("place", F.lit(0)))
+     .repartition("source", "part").sortWithinPartitions("source", "part", "place").select("source", "part", "line")
+     .write.partitionBy("source", "part").text(path))
+
+
+def land_archives(records: DataFrame, folder: str) -> None:
+    """Records as zip archives below ``folder`` (a URI that all executors
+    reach): one per task, with a CSV per source; every second CSV is a nested
+    archive. Each is written under a name of its own and moved into place."""
+
+    def write(batches):
+        part, open_now, zf = TaskContext.get().partitionId(), None, None
+        fs, root = file_of(folder)
+        fs.create_dir(root, recursive=True)
+        tmp = f"{root}/_{uuid.uuid4().hex}"
+        with ExitStack() as whole, ExitStack() as entry:
+            for b in batches:
+                for source, header, line in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                    if zf is None:
+                        zf = whole.enter_context(
+                            zipfile.ZipFile(whole.enter_context(fs.open_output_stream(tmp)), "w", zipfile.ZIP_DEFLATED))
+                    if source != open_now:
+                        entry.close()
+                        if int(source[:6]) % 2:
+                            out = entry.enter_context(zf.open(source, "w"))
+                        else:
+                            inner = entry.enter_context(zipfile.ZipFile(
+                                entry.enter_context(zf.open(source + ".zip", "w")), "w", zipfile.ZIP_DEFLATED))
+                            out = entry.enter_context(inner.open(source, "w"))
+                        out.write(header.encode() + b"\n")
+                        open_now = source
+                    out.write(line.encode() + b"\n")
+        if zf is not None:
+            fs.move(tmp, f"{root}/trips-{part:05d}.zip")
+        yield pa.RecordBatch.from_pydict({"part": [part]})
+
+    records.select("source", "header", "line").sortWithinPartitions("source") \
+        .mapInArrow(write, "part long").write.format("noop").mode("overwrite").save()
+
+
 # ---------------------------------------------------------------------------
 # Feed documents, packed from events / customers in blocks of a fixed size so
 # no document grows with the data.
@@ -204,9 +272,9 @@ def status_feed_docs(events: DataFrame, block: int = FEED_BLOCK) -> DataFrame:
     return packed.select("snapshot_id", "snapshot_time", doc.alias("doc"))
 
 
-def info_feed_docs(customer: DataFrame) -> DataFrame:
+def info_feed_docs(customer: DataFrame, block: int = FEED_BLOCK) -> DataFrame:
     """``snapshot_id, doc``: station-information feed documents, one per block
-    of :data:`FEED_BLOCK` customers. ``has_kiosk`` is absent for AUTOMOBILE,
+    of ``block`` customers. ``has_kiosk`` is absent for AUTOMOBILE,
     explicitly null for BUILDING; ``eightd_has_key_dispenser`` is never sent."""
     seg = F.col("c_mktsegment")
     common = [
@@ -224,7 +292,7 @@ def info_feed_docs(customer: DataFrame) -> DataFrame:
                            {"ignoreNullFields": "false"})
     kiosk = F.to_json(F.struct(*common, (F.col("c_acctbal") >= 0).alias("has_kiosk")))
     element = F.when(seg == "AUTOMOBILE", absent).when(seg == "BUILDING", null_kiosk).otherwise(kiosk)
-    snap = F.floor(F.col("c_custkey") / FEED_BLOCK).alias("snapshot_id")
+    snap = F.floor(F.col("c_custkey") / block).alias("snapshot_id")
     packed = customer.groupBy(snap).agg(F.collect_list(element).alias("stations"))
     doc = F.concat(F.lit('{"data":{"stations":['), F.array_join("stations", ","), F.lit("]}}"))
     return packed.select("snapshot_id", doc.alias("doc"))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripflow import schemas
-from tripflow.operators.feeds import to_status_messages
 
 
 def write_by_month(trips: DataFrame, path: str, rows_per_file: int = schemas.ROWS_PER_FILE,
@@ -139,9 +138,9 @@ def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
 
 
-def publish_status(status: DataFrame, servers: str, topic: str) -> None:
-    """One JSON message per station row to the topic (K3)."""
-    to_status_messages(status).write.format("kafka").options(**kafka_sink_options(servers, topic)).save()
+def publish(messages: DataFrame, servers: str, topic: str) -> None:
+    """``key, value`` messages to the topic (K3)."""
+    messages.write.format("kafka").options(**kafka_sink_options(servers, topic)).save()
 
 
 def write_snapshots(docs: DataFrame, path: str) -> None:

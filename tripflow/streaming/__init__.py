@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tripflow import functions as tf
 from tripflow import schemas, sinks
 from tripflow.operators import feeds, quality, tables
-from tripflow.operators.joins import released_after
+from tripflow.session import ship_package
+from tripflow.sources import trips as trip_src
 
 
 def batch_partition_writer(path: str, partition_by: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
@@ -62,9 +64,11 @@ def start_status_stream(messages: DataFrame, out_path: str, checkpoint: str, uni
                   available_now, name)
 
 
-def _split_writer(out_path: str, keep_in_good: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
+def _split_writer(out_path: str, keep_in_good: tuple[str, ...] = (),
+                  publish: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing rows without ``reason`` to
-    ``out_path`` and the others to ``<out_path>_quarantine``."""
+    ``out_path`` and the others to ``<out_path>_quarantine``; ``publish`` gets
+    the messages of all."""
     good_writer = batch_partition_writer(out_path)
     bad_writer = batch_partition_writer(out_path.rstrip("/") + "_quarantine")
 
@@ -72,6 +76,8 @@ def _split_writer(out_path: str, keep_in_good: tuple[str, ...] = ()) -> Callable
         batch = batch.persist()
         good_writer(batch.filter(F.col("reason").isNull()).drop("reason", *keep_in_good), batch_id)
         bad_writer(batch.filter(F.col("reason").isNotNull()), batch_id)
+        if publish:
+            publish(feeds.to_station_messages(batch), batch_id)
         batch.unpersist()
 
     return sink
@@ -79,15 +85,17 @@ def _split_writer(out_path: str, keep_in_good: tuple[str, ...] = ()) -> Callable
 
 def start_feed_history(snapshots: DataFrame, out_path: str, checkpoint: str,
                        processing_time: str | None = "60 seconds", available_now: bool = False,
-                       name: str | None = None) -> StreamingQuery:
+                       name: str | None = None,
+                       publish: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Landed status-feed snapshots exploded to one row per station and
     appended to the history (P-C, K7, T4). Rows that cannot be stored go to
-    ``<out_path>_quarantine``."""
+    ``<out_path>_quarantine``. ``publish`` takes the batch's station objects as
+    topic messages (K3) and the batch id; a replayed batch is published again."""
     rows = feeds.status_rows(feeds.station_objects(snapshots, keep=("snapshot_time",)),
-                             keep=("snapshot_time",))
+                             keep=("snapshot_time", "station"))
     rows = rows.withColumn("inserted_at", F.coalesce("snapshot_time", "inserted_at")).drop("snapshot_time")
     rows = rows.withColumn("reason", feeds.status_defects())
-    return _start(rows, _split_writer(out_path), checkpoint, processing_time, available_now, name)
+    return _start(rows, _split_writer(out_path, ("station",), publish), checkpoint, processing_time, available_now, name)
 
 
 def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_path: str,
@@ -96,29 +104,35 @@ def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_pat
     """Every new cleaned Parquet file loaded once into the trip table (P-B, T5),
     which is laid out by month and batch.
 
-    Rows without a ride_id, with a text over its limit (V4), whose ride_id is already in the table or repeated in the batch (K9)
-    are not inserted; they are written to ``<table_path>_rejected`` with the
-    reason and the source file, so nothing is silently lost. The file source's
-    checkpoint is the record of loaded files (V7). ``files_per_batch`` bounds a
-    micro-batch (cleaned files hold at most 200,000 rows); the table's keys are
-    read once for each.
+    A file that is not Parquet, lacks a column of the table or has one of
+    another type is recorded in ``<table_path>_failed`` and the others go on
+    (V1, V6). Rows without a ride_id, with a text over its limit (V4), whose
+    ride_id is already in the table or repeated in the batch (K9) are written
+    to ``<table_path>_rejected`` with the reason and the source file, so
+    nothing is silently lost. The file source's checkpoint is the record of
+    loaded files (V7). ``files_per_batch`` bounds a micro-batch, and with it
+    the file names that the driver handles (cleaned files hold at most 200,000
+    rows); the table's keys are read once for each.
     """
-    from tripflow.sources.trips import stream_cleaned
-
-    stream = stream_cleaned(spark, cleaned_dir, files_per_batch)
     writer = batch_partition_writer(table_path, ("month",))
     rejected = batch_partition_writer(table_path.rstrip("/") + "_rejected")
+    failed = batch_partition_writer(table_path.rstrip("/") + "_failed")
     lineage = ["source_file", "source_row"]
     defects = quality.reason_column(
         [("null_ride_id", F.col("ride_id").isNull())]
         + [(f"long_{c}", F.length(c) > n) for c, n in schemas.TRIP_TEXT_LIMITS.items()])
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        with released_after():
-            load_batch(batch, batch_id)
-
-    def load_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+    def sink(files: DataFrame, batch_id: int) -> None:
+        checked = files.mapInArrow(trip_src.check_cleaned, "path string, error string").collect()
+        bad = [(r.path.rsplit("/", 1)[-1], r.error) for r in checked if r.error]
+        if bad:
+            failed(spark.createDataFrame(bad, "file_name string, error_message string")
+                   .withColumn("failed_at", tf.now()), batch_id)
+        good = [r.path for r in checked if not r.error]
+        if good:
+            load(trip_src.read_cleaned_files(spark, cleaned_dir, good), batch_id)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
         try:
             # a replayed batch must not see its own earlier output
             target = (spark.read.schema("ride_id string, month date, batch_id long").parquet(table_path)
@@ -135,9 +149,10 @@ def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_pat
         lost = checked.join(new_rows.select(*lineage), lineage, "left_anti")
         rejected(lost.withColumn("reason", F.coalesce("reason", F.lit("duplicate_ride_id"))), batch_id)
         new_rows.unpersist()
-        batch.unpersist()
 
-    return _start(stream, sink, checkpoint, None, available_now, name)
+    ship_package(spark)
+    files = trip_src.stream_cleaned_files(spark, cleaned_dir, files_per_batch)
+    return _start(files, sink, checkpoint, None, available_now, name)
 
 
 INFO_VALUES = [f.name for f in schemas.STATION_INFORMATION.fields
