@@ -109,3 +109,17 @@ def test_cli_stations_and_renting(spark, capsys):
     jobs.main(["renting", history, renting])
     got = spark.read.parquet(renting).collect()
     assert [(r.station_id, str(r.day)) for r in got] == [("a", "2024-10-01")]
+
+
+def test_relational_places_read_and_appended(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="tripflow-place-")
+    status = spark.createDataFrame([("a", 1, 2, True, True, True, T(2024, 10, 1), None)], schemas.STATION_STATUS)
+    info = spark.createDataFrame([("a", "A", "a.1", 1.0, 2.0, "r", 5, False, True, True, T(2024, 9, 1), T(2024, 9, 1),
+                                   T(2024, 9, 1))], schemas.STATION_INFORMATION)
+    held = {"status": status, "info": info}
+    written = {}
+    monkeypatch.setattr(jobs.relational, "read_table", lambda spark, url, table: held[table])
+    monkeypatch.setattr(jobs.sinks, "write_jdbc", lambda df, url, table: written.update({(url, table): df.collect()}))
+    url = "jdbc:demo://host/db"
+    jobs.main(["stations", f"{url}#status", f"{url}#info", os.path.join(root, "out"), "--append-to", f"{url}#done"])
+    assert [(r.station_id, r.avg_bikes_available) for r in written[(url, "done")]] == [("a", 1.0)]

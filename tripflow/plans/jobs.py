@@ -132,6 +132,11 @@ def upsert_station_information(spark: SparkSession, landing: str, table_path: st
 
 # -- P-E / P-F / P-H: batch transforms ----------------------------------------------
 
+def status_run_id(status: DataFrame) -> str:
+    """Run id of a status history: the time of its latest report."""
+    return status.agg(F.date_format(F.max("last_reported"), "yyyyMMddHHmmss")).first()[0] or "none"
+
+
 def transform_stations(spark: SparkSession, status: DataFrame, info: DataFrame, out_path: str,
                        run_id: str | None = None) -> int:
     """Station aggregate of one run added to the history in ``out_path`` (K11),
@@ -139,8 +144,7 @@ def transform_stations(spark: SparkSession, status: DataFrame, info: DataFrame,
     rows of another, and the same run again replaces its own. ``run_id``
     defaults to the time of the latest status. Returns the run's row count
     through a temp view and SQL, as the verification step (A2)."""
-    if run_id is None:
-        run_id = status.agg(F.date_format(F.max("last_reported"), "yyyyMMddHHmmss")).first()[0] or "none"
+    run_id = run_id or status_run_id(status)
     agg = stations.station_aggregate(status, info).withColumn("run_id", F.lit(run_id))
     sinks.write_run(agg, out_path, "run_id", run_id, ["aggregation_date"])
     written = spark.read.parquet(f"{out_path.rstrip('/')}/run_id={run_id}")
@@ -176,6 +180,22 @@ def stream_status_topic(spark: SparkSession, servers: str, topic: str, out_path:
     q.awaitTermination()
 
 
+# -- tables by place: a Parquet folder, or a relational table as ``jdbc:...#table`` --
+
+def read_place(spark: SparkSession, place: str, schema: StructType) -> DataFrame:
+    """The declared columns of the table at ``place``."""
+    if place.startswith("jdbc:"):
+        url, _, table = place.partition("#")
+        return schemas.conform(relational.read_table(spark, url, table), schema, strict=True)
+    return spark.read.schema(schema).parquet(place)
+
+
+def append_place(df: DataFrame, place: str) -> None:
+    """Rows added to a relational table (K1, K6)."""
+    url, _, table = place.partition("#")
+    sinks.write_jdbc(df, url, table)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="tripflow.plans.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -189,9 +209,9 @@ def main(argv: list[str] | None = None) -> None:
     d = sub.add_parser("info-feed")
     d.add_argument("landing"), d.add_argument("table"), d.add_argument("checkpoint")
     e = sub.add_parser("stations")
-    e.add_argument("history"), e.add_argument("info_table"), e.add_argument("out")
+    e.add_argument("history"), e.add_argument("info_table"), e.add_argument("out"), e.add_argument("--append-to")
     f = sub.add_parser("enrich")
-    f.add_argument("trips"), f.add_argument("transformed"), f.add_argument("out")
+    f.add_argument("trips"), f.add_argument("transformed"), f.add_argument("out"), f.add_argument("--append-to")
     g = sub.add_parser("stream")
     g.add_argument("servers"), g.add_argument("topic"), g.add_argument("out"), g.add_argument("checkpoint")
     h = sub.add_parser("renting")
@@ -208,17 +228,24 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "info-feed":
         upsert_station_information(spark, args.landing, args.table, args.checkpoint)
     elif args.job == "stations":
-        status = spark.read.schema(schemas.STATION_STATUS).parquet(args.history)
-        info = sinks.read_current(spark, args.info_table, schemas.STATION_INFORMATION)
-        print(transform_stations(spark, status, info, args.out))
+        status = read_place(spark, args.history, schemas.STATION_STATUS)
+        info = (read_place if args.info_table.startswith("jdbc:") else sinks.read_current)(
+            spark, args.info_table, schemas.STATION_INFORMATION)
+        run_id = status_run_id(status)
+        print(transform_stations(spark, status, info, args.out, run_id))
+        if args.append_to:
+            run = spark.read.schema(schemas.STATION_STATUS_TRANSFORMED).parquet(f"{args.out.rstrip('/')}/run_id={run_id}")
+            append_place(run, args.append_to)
     elif args.job == "enrich":
-        trips = spark.read.schema(schemas.TRIP).parquet(args.trips)
-        st = spark.read.schema(schemas.STATION_STATUS_TRANSFORMED).parquet(args.transformed)
+        trips = read_place(spark, args.trips, schemas.TRIP)
+        st = read_place(spark, args.transformed, schemas.STATION_STATUS_TRANSFORMED)
         enrich_trip_table(spark, trips, st, args.out)
+        if args.append_to:
+            append_place(spark.read.parquet(args.out), args.append_to)
     elif args.job == "stream":
         stream_status_topic(spark, args.servers, args.topic, args.out, args.checkpoint)
     elif args.job == "renting":
-        renting_status(spark, spark.read.schema(schemas.STATION_STATUS).parquet(args.history), args.out)
+        renting_status(spark, read_place(spark, args.history, schemas.STATION_STATUS), args.out)
 
 
 if __name__ == "__main__":

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType,
     BooleanType,
     DateType,
     DecimalType,
@@ -119,7 +118,7 @@ STATION_INFORMATION = _s(
     ("updated_at", TS),
 )
 
-# Group keys of the station aggregate, in output order.
+# Group keys of the station aggregate, in output order.
 STATION_KEYS = [
     "station_id",
     "name",
@@ -156,7 +155,7 @@ STATION_STATUS_TRANSFORMED = _s(
     ("aggregation_date", DateType()),
 )
 
-# Station columns carried onto each trip end, as (source column, suffix).
+# Station columns carried onto each trip end, as (source column, suffix).
 ENRICH_STATION_COLUMNS = [
     ("short_name", "station_short_name"),
     ("name", "station_name"),
@@ -168,7 +167,7 @@ ENRICH_STATION_COLUMNS = [
     ("status_last_reported", "status_last_reported"),
     ("info_last_reported", "info_last_reported"),
 ]
-# Trip columns renamed before the joins so the station columns can take the name.
+# Trip columns renamed before the joins so the station columns can take the name.
 TRIP_RENAMES = {
     "start_station_name": "original_start_station_name",
     "start_lat": "original_start_lat",
@@ -200,14 +199,6 @@ INFO_FEED_STATION = _s(
     ("installed", BooleanType()),
 )
 
-
-def feed_document(station: StructType) -> StructType:
-    return _s(("data", _s(("stations", ArrayType(station)))))
-
-
-STATUS_FEED = feed_document(STATUS_FEED_STATION)
-INFO_FEED = feed_document(INFO_FEED_STATION)
-
 # One status message per station on the topic. Counts are read as bigint so an
 # out-of-range value can be range-checked instead of nulling the whole message.
 STATUS_MESSAGE = _s(

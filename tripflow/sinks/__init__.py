@@ -91,18 +91,20 @@ def read_current(spark: SparkSession, table_path: str, schema: StructType) -> Da
     return spark.read.schema(schema).parquet(f"{table_path.rstrip('/')}/{vs[-1]}")
 
 
-def commit_version(df: DataFrame, table_path: str, keep: int = 3) -> str:
+def commit_version(df: DataFrame, table_path: str, keep: int = 3, keep_seconds: int = 7 * 86_400) -> str:
     """Write ``df`` as a new version folder; it becomes current once Spark's
     commit writes ``_SUCCESS``. The folder being read is never overwritten,
     so an upsert computed from the current version can be written safely
-    (K8). Older versions beyond ``keep`` are removed."""
+    (K8). Versions beyond the newest ``keep`` are removed once they are older
+    than ``keep_seconds``, so that running readers do not lose theirs."""
     spark = df.sparkSession
     version = f"v={time.time_ns()}"
     out = f"{table_path.rstrip('/')}/{version}"
     df.write.mode("errorifexists").parquet(out)
     fs, _ = _fs(spark, table_path)
     for old in versions(spark, table_path)[:-keep]:
-        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{old}"), True)
+        if time.time_ns() - int(old[2:]) > keep_seconds * 1_000_000_000:
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{old}"), True)
     return out
 
 
