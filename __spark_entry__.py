@@ -506,13 +506,13 @@ def _place(spark, folder, path):
            O.with_(trips=O.TRIPS) + " SELECT month, COUNT(*) AS trips, 0::BIGINT AS larger_files,"
            " COUNT(*) AS source_rows FROM trips GROUP BY month")
 def q_month_files(spark, sf_dir):
-    """Trips written by month in files of at most 100 rows and read back with
+    """Trips written by month in files of at most 500 rows and read back with
     their lineage: files over the bound, distinct source rows (L2 K4 S8)."""
     out = fresh_dir(spark, "month_files")
-    sinks.write_by_month(S.trips(spark, sf_dir), out, rows_per_file=100)
+    sinks.write_by_month(S.trips(spark, sf_dir), out, rows_per_file=500)
     per_file = trip_src.read_cleaned(spark, out).groupBy("month", "source_file").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("source_row").alias("places"))
-    return per_file.groupBy("month").agg(F.sum("n").alias("trips"), F.count_if(F.col("n") > 100).alias("larger_files"),
+    return per_file.groupBy("month").agg(F.sum("n").alias("trips"), F.count_if(F.col("n") > 500).alias("larger_files"),
                                          F.sum("places").alias("source_rows"))
 
 
