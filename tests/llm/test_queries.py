@@ -63,6 +63,12 @@ def test_token_queries_against_the_library(spark, duck):
     assert sum(r["n_docs"] for r in rows) == len(sizes) and max(r["total_tokens"] for r in rows) == sum(sizes)
 
 
+def test_longer_contexts_reach_the_documents_scores(spark):
+    two, three = ({r["doc_id"]: r["log_score_micro"] for r in E.queries()[q](spark, SF).collect()}
+                  for q in ("op7_lm_scores", "lm7_trigram_scores"))
+    assert set(two) == set(three) and sum(two[d] != three[d] for d in two) > len(two) / 2
+
+
 def test_license_query_against_plain_search(spark, duck):
     notice = "Licensed under CC BY-NC 4.0.", "Released under the MIT License."
     rows = {r["doc_id"]: r for r in E.queries()["op10_license_scan"](spark, "/root/testdata/sf0.01").collect()}

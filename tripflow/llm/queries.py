@@ -61,6 +61,12 @@ def op7_lm_scores(spark, sf_dir):
     return lm_scores(read(spark, sf_dir, "documents"))
 
 
+def lm7_trigram_scores(spark, sf_dir):
+    """Stupid-backoff trigram score of every document: op7's operator with
+    contexts of two words."""
+    return lm_scores(read(spark, sf_dir, "documents"), order=3)
+
+
 def counted(docs):
     """Documents with their words counted once, for the mixture."""
     return docs.select("doc_id", "text", "source", "lang", word_tokens(F.col("text")).alias("words"))
@@ -93,7 +99,7 @@ def op10_license_scan(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_token_files,
-    op6_decontamination, op7_lm_scores, op8_source_mix, op9_warc, op10_license_scan)}
+    op6_decontamination, op7_lm_scores, lm7_trigram_scores, op8_source_mix, op9_warc, op10_license_scan)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _SHINGLES = "list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))"
@@ -186,6 +192,23 @@ SQL = {
       SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(m.x, 0)::BIGINT AS log_score_micro,
         CASE WHEN len(w.ws) > 0 THEN m.x::DOUBLE / (len(w.ws) * 1000000)::DOUBLE END AS mean_log_score
       FROM w LEFT JOIN (SELECT doc_id, sum(x) AS x FROM s GROUP BY 1) m USING (doc_id)""",
+    "lm7_trigram_scores": f"""
+      WITH w AS MATERIALIZED (SELECT doc_id, {_WORDS} AS ws FROM documents),
+      p AS MATERIALIZED (SELECT doc_id, ws[i] AS z, CASE WHEN i > 1 THEN ws[i - 1] END AS y,
+        CASE WHEN i > 2 THEN ws[i - 2] END AS x FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+      c1 AS MATERIALIZED (SELECT z, count(*) AS n FROM p GROUP BY 1),
+      c2 AS MATERIALIZED (SELECT y, z, count(*) AS n FROM p WHERE y IS NOT NULL GROUP BY 1, 2),
+      c3 AS MATERIALIZED (SELECT x, y, z, count(*) AS n FROM p WHERE x IS NOT NULL GROUP BY 1, 2, 3),
+      t AS (SELECT sum(n) AS total FROM c1),
+      s AS (SELECT p.doc_id, round(1e6 * CASE WHEN c3.n >= 2 THEN ln(c3.n / xy.n) ELSE
+          CASE WHEN p.x IS NOT NULL THEN ln(0.4::DOUBLE) ELSE 0 END + CASE WHEN c2.n >= 2 THEN ln(c2.n / q.n) ELSE
+            CASE WHEN p.y IS NOT NULL THEN ln(0.4::DOUBLE) ELSE 0 END + ln(c1.n / t.total) END END)::BIGINT AS m
+        FROM p JOIN c1 ON p.z = c1.z LEFT JOIN c1 q ON p.y = q.z LEFT JOIN c2 ON p.y = c2.y AND p.z = c2.z
+        LEFT JOIN c2 xy ON p.x = xy.y AND p.y = xy.z
+        LEFT JOIN c3 ON p.x = c3.x AND p.y = c3.y AND p.z = c3.z, t)
+      SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(m.m, 0)::BIGINT AS log_score_micro,
+        CASE WHEN len(w.ws) > 0 THEN m.m::DOUBLE / (len(w.ws) * 1000000)::DOUBLE END AS mean_log_score
+      FROM w LEFT JOIN (SELECT doc_id, sum(m) AS m FROM s GROUP BY 1) m USING (doc_id)""",
     "op8_source_mix": _mix_sql(),
     "op9_warc": r"""
       WITH a AS (SELECT page_id, coalesce(html, '') AS html, page_id % 1000000000 AS time,
