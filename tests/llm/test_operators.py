@@ -346,3 +346,22 @@ def test_license_inheritance(spark, docs, none):
     scan = license_scan(docs, F.concat_ws("/", "source", "lang", F.lit("x")))
     assert scan.count() == len(ROWS) and by_id(scan)[10][0]["own_license"] == "Apache-2.0"
     assert license_scan(none, F.lit("a/b")).count() == 0
+
+
+def test_wrapped_embedded_and_whole_licences(spark):
+    from tripflow.llm.licenses import BLOCKS, default_templates
+    import textwrap
+    gpl = dict(BLOCKS)["GPL-3.0"]
+    whole = dict(default_templates())
+    texts = ["\n".join(" * " + x for x in textwrap.wrap(gpl, 70)) + "\n" + PROSE,
+             PROSE + " Released under the MIT License. " + PROSE, "# SPDX-License-Identifier: MIT\n" + PROSE,
+             "# SPDX-License-Identifier: (Apache-2.0 OR Zlib) AND GPL-2.0-only WITH Classpath-exception-2.0\n" + PROSE,
+             whole["ISC"], PROSE + "\n" + whole["MIT"] + "\n" + PROSE, whole["Apache-2.0"], PROSE,
+             "Released under the MIT License.\n" + PROSE + "\nLicensed under CC BY-NC 4.0."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {k: v[0] for k, v in by_id(license_scan(df, F.lit(None).cast("string"))).items()}
+    own = {k: v["own_license"] for k, v in got.items()}
+    assert own == {0: "GPL-3.0", 1: "MIT", 2: "MIT", 3: "Apache-2.0", 4: "ISC", 5: "MIT", 6: "Apache-2.0", 7: None,
+                   8: own[8]}
+    assert got[3]["own_licenses"] == ["Apache-2.0", "GPL-2.0-only", "Zlib"] and got[4]["is_license_file"]
+    assert {"MIT", "CC-BY-NC-4.0"} <= set(got[8]["own_licenses"]) and got[7]["own_licenses"] == []
