@@ -365,3 +365,15 @@ def test_wrapped_embedded_and_whole_licences(spark):
                    8: own[8]}
     assert got[3]["own_licenses"] == ["Apache-2.0", "GPL-2.0-only", "Zlib"] and got[4]["is_license_file"]
     assert {"MIT", "CC-BY-NC-4.0"} <= set(got[8]["own_licenses"]) and got[7]["own_licenses"] == []
+
+
+def test_items_of_a_few_words_are_found_in_every_document(spark):
+    rows = [(i, " ".join([*(f"a{i}x{k}" for k in range(i % 31)), "q1 q2 q3 q4 q5 q6", *(f"b{i}x{k}" for k in range(40))]))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, "q1 q2 q3 q4 q5"), (2, "q1 q2 q3 q4 q5 q6"), (3, "q3 q4"), (4, "q4 q3"), (5, "b7x3")],
+                                  "item_id long, text string")
+    count = {r["item_id"]: r["count"] for r in contaminated(df, items).groupBy("item_id").count().collect()}
+    assert count == {1: 3000, 2: 3000}
+    count = {r["item_id"]: r["count"] for r in contaminated(df, items, short_items=True).groupBy("item_id").count().collect()}
+    assert count == {1: 3000, 2: 3000, 3: 3000, 5: 1}

@@ -41,15 +41,16 @@ def values_for(threshold: float, recall: float) -> int:
 
 
 def size_class(n: int) -> int:
-    """Least power of two that is no less than ``n`` (at least 8)."""
-    return 1 << max(3, (n - 1).bit_length())
+    """Least power of two that is no less than ``n``, so that every item is
+    over half its class."""
+    return 1 << (n - 1).bit_length()
 
 
-def _index(items: list[tuple[int, np.ndarray]], family: np.ndarray) -> dict:
+def _index(items: list[tuple[int, np.ndarray, int]], family: np.ndarray) -> dict:
     """Per size class and MinHash function: sorted (value, item number)."""
     by_class: dict[int, list[int]] = {}
-    for no, (_, s) in enumerate(items):
-        if len(s):
+    for no, (_, s, short) in enumerate(items):
+        if len(s) and not short:
             by_class.setdefault(size_class(len(s)), []).append(no)
     out = {}
     for c, nos in sorted(by_class.items()):
@@ -94,22 +95,49 @@ def _candidates(grams: np.ndarray, goff: np.ndarray, index: dict, family: np.nda
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
 
-def _scan(docs: DataFrame, items: list[tuple[int, np.ndarray]], n: int, threshold: float, recall: float) -> DataFrame:
+def _short_index(items: list[tuple[int, np.ndarray, int]]) -> dict:
+    """Per number of words of the items shorter than a shingle: sorted (hash
+    of all the words, item number)."""
+    by_words: dict[int, list[int]] = {}
+    for no, (_, _, short) in enumerate(items):
+        if short:
+            by_words.setdefault(short, []).append(no)
+    out = {}
+    for m, nos in by_words.items():
+        keys = np.array([items[no][1][0] for no in nos])
+        order = np.argsort(keys, kind="stable")
+        out[m] = keys[order], np.array(nos)[order]
+    return out
+
+
+def _short_hits(h: np.ndarray, off: np.ndarray, index: dict) -> list[tuple[int, int]]:
+    """(document, item) pairs where all words of a short item stand in a row."""
+    found = set()
+    for m, (keys, nos) in index.items():
+        grams, goff = ngram_hashes(h, off, m)
+        hit = np.flatnonzero(np.isin(grams, keys))
+        for d, g in zip(np.searchsorted(goff, hit, side="right") - 1, grams[hit], strict=True):
+            lo, hi = np.searchsorted(keys, g), np.searchsorted(keys, g, side="right")
+            found.update((int(d), int(no)) for no in nos[lo:hi])
+    return sorted(found)
+
+
+def _scan(docs: DataFrame, items: list[tuple[int, np.ndarray, int]], n: int, threshold: float, recall: float) -> DataFrame:
     family = seeds(values_for(threshold, recall), 4242)
-    known = docs.sparkSession.sparkContext.broadcast((items, _index(items, family)))
+    known = docs.sparkSession.sparkContext.broadcast((items, _index(items, family), _short_index(items)))
 
     def rows(batches):
-        items, index = known.value
+        items, index, short = known.value
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 h, off = word_hashes(part.column("text"))
                 grams, goff = ngram_hashes(h, off, n)
                 pairs = _candidates(grams, goff, index, family)
-                out = []
+                out = [(d, items[no][0], 1, 1) for d, no in _short_hits(h, off, short)]
                 for d in np.unique(pairs[:, 0]):
                     s = np.unique(grams[goff[d]: goff[d + 1]])
                     for no in pairs[pairs[:, 0] == d, 1]:
-                        item_id, own = items[no]
+                        item_id, own, _ = items[no]
                         got = int(np.isin(own, s, assume_unique=True).sum())
                         if got >= threshold * len(own) - 1e-9:
                             out.append((int(d), item_id, got, len(own)))
@@ -122,8 +150,11 @@ def _scan(docs: DataFrame, items: list[tuple[int, np.ndarray]], n: int, threshol
     return docs.mapInArrow(tidy(rows), "doc_id long, item_id long, shared long, item_shingles long")
 
 
-def _item_blocks(items: DataFrame, n: int):
-    """Items with their shingle sets, in bounded blocks, by item_id."""
+def _item_blocks(items: DataFrame, n: int, short_items: bool):
+    """Items with their shingle sets (and, of those shorter than a shingle, the
+    number of words), in bounded blocks, by item_id."""
+
+    least = 1 if short_items else n
 
     def rows(batches):
         for batch in batches:
@@ -132,14 +163,15 @@ def _item_blocks(items: DataFrame, n: int):
             words = np.diff(word_hashes(batch.column("text"))[1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("item_id"),
-                 pa.array([s.tobytes() if w >= n else b"" for s, w in zip(sets, words, strict=True)], pa.binary()),
-                 pa.array([int(f) if w >= n else 0 for f, w in zip(few, words, strict=True)], pa.int64())],
-                names=["item_id", "tokens", "size"])
+                 pa.array([s.tobytes() if w >= least else b"" for s, w in zip(sets, words, strict=True)], pa.binary()),
+                 pa.array([int(f) if w >= least else 0 for f, w in zip(few, words, strict=True)], pa.int64()),
+                 pa.array([int(w) if w < n else 0 for w in words], pa.int64())],
+                names=["item_id", "tokens", "size", "short"])
 
-    sets = items.mapInArrow(tidy(rows), "item_id long, tokens binary, size long").filter("size > 0")
+    sets = items.mapInArrow(tidy(rows), "item_id long, tokens binary, size long, short long").filter("size > 0")
     block, held = [], 0
     for r in sets.orderBy("item_id", "tokens").toLocalIterator():
-        block.append((r["item_id"], np.frombuffer(bytes(r["tokens"]), np.uint64)))
+        block.append((r["item_id"], np.frombuffer(bytes(r["tokens"]), np.uint64), r["short"]))
         held += r["size"]
         if len(block) >= BLOCK_ITEMS or held >= BLOCK_SHINGLES:
             yield block
@@ -149,7 +181,7 @@ def _item_blocks(items: DataFrame, n: int):
 
 
 def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float = 0.8,
-                 recall: float = 0.9999) -> DataFrame:
+                 recall: float = 0.9999, short_items: bool = False) -> DataFrame:
     """Test items of ``items(item_id, text)`` found in ``docs(doc_id, text)``.
 
     Returns one row per (``doc_id``, ``item_id``) whose containment, the share
@@ -158,7 +190,9 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float
     ``containment``. The whole text of every document is searched.
 
     Rows without an id are left out; null and empty texts, and items of fewer
-    than ``n`` words, have no shingle and match nothing. Repeated rows of a
+    than ``n`` words, have no shingle and match nothing; with ``short_items``
+    an item of 1 to ``n - 1`` words is one shingle of all its words, found
+    wherever they stand in a row. Repeated rows of a
     document or an item give one row. Other columns are ignored. An empty
     table on either side gives an empty result.
     """
@@ -169,7 +203,7 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float
     tests = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")) \
         .filter("item_id is not null and text is not null")
     out = None
-    for block in _item_blocks(tests, n):
+    for block in _item_blocks(tests, n, short_items):
         part = saved(_scan(slim, block, n, threshold, recall), "leaks")
         out = part if out is None else out.unionByName(part)
     if out is None:
