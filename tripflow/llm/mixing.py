@@ -67,11 +67,13 @@ def _placed(docs: DataFrame, topic: Column, *kept: Column) -> DataFrame:
 
 
 def _probabilities(placed: DataFrame, alpha: dict[str, float], targets, tolerance: float) -> DataFrame:
-    """Inclusion probability of every cell: its factor over the largest one."""
+    """Inclusion probability of every cell: its factor over the largest one of
+    the cells with tokens (one without tokens may have a larger one: 1)."""
     cells = saved(placed.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix_cells")
     raked = rake(cells, targets or tempered_targets(cells, alpha), tolerance)
-    top = raked.agg(F.max("factor")).first()[0] or 1.0
-    return saved(raked.select(*DIMENSIONS, F.round(F.col("factor") / F.lit(top), 6).alias("probability")), "mix_cells")
+    top = raked.filter("tokens > 0").agg(F.max("factor")).first()[0] or 1.0
+    share = F.least(F.col("factor") / F.lit(top), F.lit(1.0))
+    return saved(raked.select(*DIMENSIONS, F.round(share, 6).alias("probability")), "mix_cells")
 
 
 def _drawn(key: str, seed: int) -> Column:
@@ -88,8 +90,8 @@ def mix_sources(docs: DataFrame, topic: Column, alpha: dict[str, float], tokens:
     ``topic`` and ``tokens`` (default: words of ``text``) are column
     expressions over ``docs``; ``targets`` overrides the tempered targets of
     ``alpha``. Returns ``doc_id``, ``source``, ``lang``, ``topic``, ``tokens``,
-    ``probability`` (the cell's factor over the largest one, so the most
-    wanted cell is taken whole and nothing is repeated) and ``sampled``. The
+    ``probability`` (the cell's factor over the largest one of the cells with
+    tokens, at most 1, so the most wanted cell is taken whole and nothing is repeated) and ``sampled``. The
     draw is a hash of doc_id and ``seed``: rows that repeat a doc_id in one
     cell are drawn together, and a rerun draws the same documents.
 
