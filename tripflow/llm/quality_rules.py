@@ -68,8 +68,9 @@ def with_base(counts: DataFrame) -> DataFrame:
 def host_rates(base: DataFrame, host: str, max_rate: float) -> DataFrame:
     """One row per non-null host: documents, failures, the rate shrunk by the
     empirical beta prior, and ``host_kept``: the rate is at most ``max_rate``,
-    or at most twice that of the corpus, so that a host is never rejected for
-    being like the others.
+    or at most twice the failure rate of all other hosts, so that a host is
+    never rejected for being like the others, nor spared by its own failures.
+    A host without others is held to ``max_rate``.
 
     Five sums over the hosts fit the prior (:func:`beta_prior`); only they
     reach the driver.
@@ -82,7 +83,9 @@ def host_rates(base: DataFrame, host: str, max_rate: float) -> DataFrame:
         F.sum(F.col("host_docs") * F.col("host_docs")).alias("n2"),
         F.sum(F.col("host_failed") * F.col("host_failed") / F.col("host_docs")).alias("q")).first()
     prior = beta_prior(sums)
-    most = max(max_rate, 2 * (sums["failed"] or 0) / (sums["n"] or 1))
+    others = (F.lit(sums["failed"] or 0) - F.col("host_failed")) / F.nullif(
+        F.lit(sums["n"] or 0) - F.col("host_docs"), F.lit(0))
+    most = F.greatest(F.lit(float(max_rate)), F.coalesce(2 * others, F.lit(0.0)))
     rate = (F.col("host_failed") + F.lit(prior[0])) / (F.col("host_docs") + F.lit(sum(prior)))
     return hosts.select("host", "host_docs", "host_failed", rate.alias("host_rate"), (rate <= most).alias("host_kept"))
 
