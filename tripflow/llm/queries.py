@@ -1,4 +1,4 @@
-"""The ten operators applied to the test tables, and their SQL where there is any."""
+"""The operators applied to the test tables, and their SQL where there is any."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from .decontaminate import contaminated
 from .encode import default_tokenizer
 from .licenses import license_scan
 from .lm_score import lm_scores
+from .merkle import merkle_manifest
 from .mixing import mix_sources, topic_by_form, word_tokens
 from .ngram_join import ngram_join
 from .quality_model import quality_scores
@@ -97,9 +98,22 @@ def op10_license_scan(spark, sf_dir):
     return license_scan(read(spark, sf_dir, "documents"), document_path())
 
 
+LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    """Leaf, proof and check of every document; where 7 divides the checksum
+    of its id, a document is checked with one character more than it has."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.col("n_chars") + 1) \
+        .otherwise(F.col("n_chars"))
+    found = merkle_manifest(read(spark, sf_dir, "documents"), LEAF_COLUMNS, "lang", "doc_id", {"n_chars": tampered})
+    return found.drop("proof")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_token_files,
-    op6_decontamination, op7_lm_scores, lm7_trigram_scores, op8_source_mix, op9_warc, op10_license_scan)}
+    op6_decontamination, op7_lm_scores, lm7_trigram_scores, op8_source_mix, op9_warc, op10_license_scan,
+    op12_merkle_manifest)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _SHINGLES = "list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))"
@@ -132,6 +146,53 @@ def _mix_sql(sweeps: int = 50) -> str:
       FROM p JOIN c{n} c USING (source, lang, topic), (SELECT max(f) AS top FROM c{n}) m"""
 
 
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text: each byte goes in, then eight steps."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda ch: [ord(ch)::BIGINT" + ", -1::BIGINT" * 8 + "]))"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)"
+            " ELSE xor(c >> 1, 3988292384::BIGINT * (c & 1)) END), 4294967295::BIGINT)")
+
+
+def _merkle_sql(levels: int = 24, top_levels: int = 6) -> str:
+    """The tree level by level; each row carries its way up along."""
+
+    def leaf(n_chars: str) -> str:
+        cols = [n_chars if c == "n_chars" else c for c in LEAF_COLUMNS]
+        return "sha256(" + " || ".join(
+            f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in cols) + ")"
+
+    crc = _crc32_sql("doc_id::VARCHAR")
+    out = [f"""WITH d AS MATERIALIZED (SELECT doc_id, lang, {leaf('n_chars')} AS leaf,
+        {leaf(f"(CASE WHEN ({crc}) % 7 = 0 THEN n_chars + 1 ELSE n_chars END)")} AS claim FROM documents),
+      r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+        count(*) OVER (PARTITION BY lang) AS n FROM d),
+      n0 AS MATERIALIZED (SELECT lang, i, leaf AS h, n FROM r),
+      p0 AS MATERIALIZED (SELECT doc_id, lang, leaf, i AS pos, n, claim AS f, '' AS s FROM r)"""]
+
+    def up(k: int, group: str, same: str) -> None:
+        out.append(f"""n{k + 1} AS MATERIALIZED (SELECT {group}i // 2 AS i, CASE WHEN any_value(n) > 1
+          THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h, (any_value(n) + 1) // 2 AS n
+          FROM n{k} GROUP BY {group}i // 2)""")
+        out.append(f"""p{k + 1} AS MATERIALIZED (SELECT p.* REPLACE (p.pos // 2 AS pos, (p.n + 1) // 2 AS n,
+          CASE WHEN p.n = 1 THEN p.f WHEN p.pos % 2 = 0 THEN sha256(p.f || coalesce(x.h, ''))
+            ELSE sha256(x.h || p.f) END AS f, p.s || coalesce(x.h, '') AS s)
+          FROM p{k} p LEFT JOIN n{k} x ON {same} x.i = xor(p.pos, 1) AND p.n > 1)""")
+
+    for k in range(levels):
+        up(k, "lang, ", "x.lang IS NOT DISTINCT FROM p.lang AND")
+    k = levels + 1
+    out.append(f"""t AS MATERIALIZED (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i,
+        count(*) OVER () AS n FROM n{levels}),
+      n{k} AS MATERIALIZED (SELECT i, h, n FROM t),
+      p{k} AS MATERIALIZED (SELECT p.doc_id, p.lang, p.leaf, t.i AS pos, t.n, p.f, p.s, t.h AS subroot
+        FROM p{levels} p JOIN t ON t.lang IS NOT DISTINCT FROM p.lang)""")
+    for j in range(top_levels):
+        up(k + j, "", "")
+    return ", ".join(out) + f"""
+      SELECT p.doc_id, p.leaf, p.subroot, n.h AS root, sha256(p.s) AS proof_sha256, p.f AS folded_root,
+        p.f = n.h AS verified FROM p{k + top_levels} p, n{k + top_levels} n"""
+
+
 SQL = {
     "op1_ngram_jaccard_join": f"""
       WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
@@ -223,4 +284,5 @@ SQL = {
         CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
         CASE WHEN holder <> page_id THEN holder END AS refers_to, url_key,
         row_number() OVER (PARTITION BY url_key ORDER BY time, page_id) AS capture_no FROM m""",
+    "op12_merkle_manifest": _merkle_sql(),
 }
