@@ -12,6 +12,7 @@ from .lm_score import lm_scores
 from .merkle import merkle_manifest
 from .mixing import mix_sources, topic_by_form, word_tokens
 from .ngram_join import ngram_join
+from .periodic import periodic_runs
 from .quality_model import quality_scores
 from .quality_rules import quality_rules
 from .token_counts import length_histogram
@@ -98,6 +99,32 @@ def op10_license_scan(spark, sf_dir):
     return license_scan(read(spark, sf_dir, "documents"), document_path())
 
 
+def with_planted_runs(docs):
+    """``docs`` where a tenth of the texts, by a checksum of their id, repeat
+    their words from some place on with some period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+
+    def planted(ws):
+        n, g = F.size(ws), F.expr("crc32(cast(doc_id as string)) div 10")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))  # below 2**53: exact
+        place = F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+        return F.array_join(F.transform(place, lambda i: F.get(ws, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # the words are a variable of the outer transform, so that they are cut once
+    one = F.transform(F.array(words), lambda ws: F.when(F.size(ws) > 0, planted(ws)))[0]
+    return docs.withColumn("text", F.when(h % 10 == 0, one).otherwise(F.col("text")))
+
+
+def op11_periodic_runs(spark, sf_dir):
+    """Periodic runs of words of every document, a tenth of them with planted
+    ones."""
+    found = periodic_runs(with_planted_runs(read(spark, sf_dir, "documents")))
+    return found.withColumn("exponent_milli", F.expr("length * 1000 div period")).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -113,7 +140,7 @@ def op12_merkle_manifest(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_token_files,
     op6_decontamination, op7_lm_scores, lm7_trigram_scores, op8_source_mix, op9_warc, op10_license_scan,
-    op12_merkle_manifest)}
+    op11_periodic_runs, op12_merkle_manifest)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _SHINGLES = "list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))"
