@@ -15,6 +15,7 @@ from .ngram_join import ngram_join
 from .periodic import periodic_runs
 from .quality_model import quality_scores
 from .quality_rules import quality_rules
+from .suffix_dedup import suffix_dedup
 from .token_counts import length_histogram
 from .token_files import token_files
 from .warc import warc_round_trip
@@ -137,10 +138,16 @@ def op12_merkle_manifest(spark, sf_dir):
     return found.drop("proof")
 
 
+def op13_suffix_dedup(spark, sf_dir):
+    """What is left of every document without bytes of strings of 100 bytes that
+    also start earlier."""
+    return suffix_dedup(read(spark, sf_dir, "documents")).drop("removed")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_token_files,
     op6_decontamination, op7_lm_scores, lm7_trigram_scores, op8_source_mix, op9_warc, op10_license_scan,
-    op11_periodic_runs, op12_merkle_manifest)}
+    op11_periodic_runs, op12_merkle_manifest, op13_suffix_dedup)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _SHINGLES = "list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))"
