@@ -5,48 +5,94 @@ as Parquet and read again as the next stage's docs. All but the last return
 the columns of documents; the last writes the corpus as token files and
 returns one row per document read back from them.
 
-Rows without doc_id are dropped by the second stage, which also leaves one row
-per doc_id; see the operators for null and empty texts. An empty table passes
-through all stages.
+Every row is judged by its own text, whatever its doc_id: rows without one, and
+rows that share one but not the text, go through all stages but the last, whose
+files are in doc_id order and take rows that have one. Rows are told apart by
+their place in the file that they are read from. An empty table passes through
+all stages.
+
+A stage's result must be written before the next stage is called: that call
+removes the folders that the stage before has used.
 """
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripflow.llm._tables import read, saved
+from tripflow.llm._tables import collected, discard, read, saved
 from tripflow.llm.decontaminate import contaminated
 from tripflow.llm.encode import default_tokenizer
 from tripflow.llm.mixing import sampled_rows, topic_by_form
-from tripflow.llm.ngram_join import ngram_join
+from tripflow.llm.ngram_join import joined_rows
 from tripflow.llm.quality_rules import kept_rows
 from tripflow.llm.queries import MIX_ALPHA, MIX_SEED
 from tripflow.llm.token_files import token_files
 
+#: Folders that the stage called last has made on its way.
+_USED: list[str] = []
+#: A row's place in its file.
+PLACE = ["_file", "_place"]
+
+
+def stage(fn):
+    """A stage that removes what the one before it has left."""
+
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _USED)
+        with collected() as made:
+            out = fn(spark, docs, sf_dir)
+        _USED.extend(made)
+        return out
+
+    return run_stage
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the file of each row and its place there (written first, if
+    they are not read from files)."""
+    try:
+        return docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    except AnalysisException:
+        return placed(saved(docs, "placed_rows"))
+
 
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and their host's verdict keep."""
     return kept_rows(docs)
 
 
+@stage
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of every near-duplicate class."""
-    classes = ngram_join(docs)
-    first = saved(classes.filter("doc_id = class_id").select("doc_id"), "class_heads")
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Of every near-duplicate class the document with the least id (rows with
+    an id before rows without, then the first row)."""
+    rows = placed(docs)
+    classes = joined_rows(rows.select(*PLACE, "doc_id", "text"), PLACE)
+    first = classes.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *PLACE)).alias("h"))
+    heads = saved(first.select(*(F.col(f"h.{c}").alias(c) for c in PLACE)), "class_heads")
+    return rows.join(heads, PLACE, "left_semi").select(*docs.columns)
 
 
+@stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    leaks = contaminated(docs, read(spark, sf_dir, "benchmark"))
-    return docs.join(saved(leaks.select("doc_id").distinct(), "leaking_docs"), "doc_id", "left_anti")
+    rows = placed(docs)
+    leaks = contaminated(rows, read(spark, sf_dir, "benchmark"), short_items=True, key=PLACE)
+    return rows.join(saved(leaks.select(*PLACE).distinct(), "leaking_docs"), PLACE, "left_anti").select(*docs.columns)
 
 
+@stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the target shares of source, language and topic."""
     return sampled_rows(docs, topic_by_form(), MIX_ALPHA, seed=MIX_SEED)
 
 
+@stage
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The corpus as token files, one row per document read back."""
     return token_files(docs, default_tokenizer())
@@ -67,6 +113,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"stage_{name}")
+    for name, step in STAGES:
+        docs = saved(step(spark, docs, sf_dir), f"stage_{name}")
     return docs

@@ -6,6 +6,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -119,12 +120,49 @@ def test_pipeline_against_brute_force(spark, duck):
         start += len(ids)
 
 
+def prose(word, n=80):
+    return " ".join(f"{word}{i}" for i in range(n))
+
+
 def test_pipeline_on_an_empty_table_and_odd_rows(spark):
     empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     odd = spark.createDataFrame([(None, "a " * 60, None, None, None), (1, None, None, None, None),
-                                 (2, " ".join(f"v{i}" for i in range(80)), None, None, 5),
-                                 (2, " ".join(f"v{i}" for i in range(80)), None, None, 5)], empty.schema)
+                                 (2, prose("v"), None, None, 5), (2, prose("v"), None, None, 5)], empty.schema)
     for docs, n in ((empty, 0), (odd, 1)):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.saved(stage(spark, docs, SF), "test_stage")
         assert docs.count() == n
+
+
+def test_rows_without_an_id_or_with_a_shared_one_are_judged_by_their_text(spark, duck):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").schema
+    item = next(t for (t,) in duck.sql("SELECT text FROM benchmark ORDER BY item_id").fetchall() if len(t.split()) > 20)
+    rows = [(None, prose("n"), "en", "a", 1), (None, prose("m"), "en", "a", 1), (5, prose("x"), "en", "a", 1),
+            (5, prose("y"), "en", "a", 1), (5, prose("y") + " one more", "en", "a", 1), (3, prose("x"), "en", "a", 1),
+            (None, prose("x"), "en", "a", 1), (5, prose("z") + " " + item, "en", "a", 1),
+            (None, prose("w") + " " + item, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, schema).withColumn("row", F.lit(1)).withColumn("class_id", F.lit(2))
+    docs = corpus_pipeline.saved(docs, "test_stage")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = corpus_pipeline.saved(stage(spark, docs, SF), "test_stage")
+        if name == "ngram_jaccard_join":
+            got = sorted((r["doc_id"] or 0, r["text"].split()[0], len(r["text"].split()) - 80) for r in docs.collect())
+            assert [g[:2] for g in got if g[2] < 5 and g[1] != "y0"] == [(0, "m0"), (0, "n0"), (3, "x0")]
+            assert sum(g[1] == "y0" for g in got) == 1 and len(got) == 6
+    assert sorted((r["doc_id"] or 0, r["text"].split()[0]) for r in docs.collect()) == [
+        (0, "m0"), (0, "n0"), (3, "x0"), (5, "y0")]
+    assert docs.columns == [*schema.fieldNames(), "row", "class_id"]
+
+
+def test_short_items_are_found_by_query_and_sql(spark, duck, tmp_path):
+    docs = [(1, "alpha beta gamma delta"), (2, "beta gamma"), (3, "gamma beta " + prose("q")), (4, None), (5, "alpha")]
+    items = [(1, "beta gamma"), (2, "alpha"), (3, ""), (4, "alpha beta gamma delta"), (5, prose("q"))]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = E.queries()["op6_decontamination"](spark, str(tmp_path))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    rel = con.sql(Q.SQL["op6_decontamination"])
+    assert bag(got.columns, got.collect()) == bag(rel.columns, rel.fetchall())
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == {(1, 1), (1, 2), (1, 4), (2, 1), (5, 2), (3, 5)}

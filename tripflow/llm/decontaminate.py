@@ -123,6 +123,7 @@ def _short_hits(h: np.ndarray, off: np.ndarray, index: dict) -> list[tuple[int,
 
 
 def _scan(docs: DataFrame, items: list[tuple[int, np.ndarray, int]], n: int, threshold: float, recall: float) -> DataFrame:
+    key = [c for c in docs.columns if c != "text"]
     family = seeds(values_for(threshold, recall), 4242)
     known = docs.sparkSession.sparkContext.broadcast((items, _index(items, family), _short_index(items)))
 
@@ -142,12 +143,13 @@ def _scan(docs: DataFrame, items: list[tuple[int, np.ndarray, int]], n: int, thr
                         if got >= threshold * len(own) - 1e-9:
                             out.append((int(d), item_id, got, len(own)))
                 cols = list(zip(*out, strict=True)) if out else [[], [], [], []]
-                ids = part.column("doc_id").take(pa.array(cols[0], pa.int64()))
+                at = pa.array(cols[0], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [ids, *(pa.array(c, pa.int64()) for c in cols[1:])],
-                    names=["doc_id", "item_id", "shared", "item_shingles"])
+                    [*(part.column(c).take(at) for c in key), *(pa.array(c, pa.int64()) for c in cols[1:])],
+                    names=[*key, "item_id", "shared", "item_shingles"])
 
-    return docs.mapInArrow(tidy(rows), "doc_id long, item_id long, shared long, item_shingles long")
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in key)
+    return docs.mapInArrow(tidy(rows), f"{kinds}, item_id long, shared long, item_shingles long")
 
 
 def _item_blocks(items: DataFrame, n: int, short_items: bool):
@@ -181,25 +183,28 @@ def _item_blocks(items: DataFrame, n: int, short_items: bool):
 
 
 def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float = 0.8,
-                 recall: float = 0.9999, short_items: bool = False) -> DataFrame:
+                 recall: float = 0.9999, short_items: bool = False, key: list[str] | None = None) -> DataFrame:
     """Test items of ``items(item_id, text)`` found in ``docs(doc_id, text)``.
 
     Returns one row per (``doc_id``, ``item_id``) whose containment, the share
     of the item's distinct ``n``-word shingles that occur in the document, is
     at least ``threshold``, with ``shared``, ``item_shingles`` and
-    ``containment``. The whole text of every document is searched.
+    ``containment``. The whole text of every document is searched. ``key``
+    names other columns that identify a row, each judged by its own text; they
+    take the place of doc_id in the result.
 
     Rows without an id are left out; null and empty texts, and items of fewer
     than ``n`` words, have no shingle and match nothing; with ``short_items``
     an item of 1 to ``n - 1`` words is one shingle of all its words, found
-    wherever they stand in a row. Repeated rows of a
-    document or an item give one row. Other columns are ignored. An empty
-    table on either side gives an empty result.
+    wherever they stand in a row. Repeated rows of a document or an item give
+    one row. Other columns are ignored. An empty table on either side gives an
+    empty result.
     """
     spark = docs.sparkSession
     arrow_conf(spark)
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")) \
-        .filter("doc_id is not null and text is not null")
+    ids = [F.col(k) for k in key] if key else [F.col("doc_id").cast("long").alias("doc_id")]
+    key = key or ["doc_id"]
+    slim = docs.select(*ids, F.col("text").alias("text")).dropna(subset=[*key, "text"])
     tests = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")) \
         .filter("item_id is not null and text is not null")
     out = None
@@ -207,8 +212,9 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float
         part = saved(_scan(slim, block, n, threshold, recall), "leaks")
         out = part if out is None else out.unionByName(part)
     if out is None:
-        out = spark.createDataFrame([], "doc_id long, item_id long, shared long, item_shingles long")
-    out = out.groupBy("doc_id", "item_id").agg(F.max(F.struct(
+        out = slim.drop("text").limit(0).select("*", *(F.lit(0).cast("long").alias(c) for c in (
+            "item_id", "shared", "item_shingles")))
+    out = out.groupBy(*key, "item_id").agg(F.max(F.struct(
         (F.col("shared") / F.col("item_shingles")).alias("containment"), "shared", "item_shingles")).alias("m"))
-    return out.select("doc_id", "item_id", "m.shared", "m.item_shingles",
+    return out.select(*key, "item_id", "m.shared", "m.item_shingles",
                       F.round("m.containment", 6).alias("containment"))

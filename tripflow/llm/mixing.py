@@ -60,6 +60,17 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
     return out
 
 
+def marginal_error(cells: DataFrame, targets: dict[str, DataFrame]) -> float:
+    """Largest difference between a value's share of the raked tokens and its
+    target: what raking could not reach, where targets contradict each other."""
+    whole = cells.agg(F.sum(F.col("tokens") * F.col("factor"))).first()[0]
+    if not whole:
+        return 0.0
+    gaps = [cells.groupBy(d).agg((F.sum(F.col("tokens") * F.col("factor")) / F.lit(whole)).alias("s"))
+            .join(targets[d], d).agg(F.max(F.abs(F.col("s") - F.col("target")))).first()[0] for d in DIMENSIONS]
+    return max((g for g in gaps if g is not None), default=0.0)
+
+
 def _placed(docs: DataFrame, topic: Column, *kept: Column) -> DataFrame:
     """``kept`` and the three dimensions of every row."""
     return docs.select(*kept, *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(d) for d, c in (
@@ -70,10 +81,13 @@ def _probabilities(placed: DataFrame, alpha: dict[str, float], targets, toleranc
     """Inclusion probability of every cell: its factor over the largest one of
     the cells with tokens (one without tokens may have a larger one: 1)."""
     cells = saved(placed.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix_cells")
-    raked = rake(cells, targets or tempered_targets(cells, alpha), tolerance)
+    targets = targets or tempered_targets(cells, alpha)
+    raked = rake(cells, targets, tolerance)
+    error = marginal_error(raked, targets)
     top = raked.filter("tokens > 0").agg(F.max("factor")).first()[0] or 1.0
     share = F.least(F.col("factor") / F.lit(top), F.lit(1.0))
-    return saved(raked.select(*DIMENSIONS, F.round(share, 6).alias("probability")), "mix_cells")
+    return saved(raked.select(*DIMENSIONS, F.round(share, 6).alias("probability"),
+                              F.round(F.lit(float(error)), 6).alias("marginal_error")), "mix_cells")
 
 
 def _drawn(key: str, seed: int) -> Column:
@@ -91,7 +105,8 @@ def mix_sources(docs: DataFrame, topic: Column, alpha: dict[str, float], tokens:
     expressions over ``docs``; ``targets`` overrides the tempered targets of
     ``alpha``. Returns ``doc_id``, ``source``, ``lang``, ``topic``, ``tokens``,
     ``probability`` (the cell's factor over the largest one of the cells with
-    tokens, at most 1, so the most wanted cell is taken whole and nothing is repeated) and ``sampled``. The
+    tokens, at most 1, so the most wanted cell is taken whole and nothing is repeated), ``sampled`` and
+    ``marginal_error`` (:func:`marginal_error`; 0 where all targets are met). The
     draw is a hash of doc_id and ``seed``: rows that repeat a doc_id in one
     cell are drawn together, and a rerun draws the same documents.
 
@@ -103,7 +118,7 @@ def mix_sources(docs: DataFrame, topic: Column, alpha: dict[str, float], tokens:
     counted = F.coalesce(tokens if tokens is not None else word_tokens(F.col("text")), F.lit(0)).cast("long")
     placed = saved(_placed(docs, topic, F.col("doc_id"), counted.alias("tokens")), "mix_docs")
     return placed.join(_probabilities(placed, alpha, targets, tolerance), list(DIMENSIONS)).select(
-        "doc_id", *DIMENSIONS, "tokens", "probability", _drawn("doc_id", seed).alias("sampled"))
+        "doc_id", *DIMENSIONS, "tokens", "probability", _drawn("doc_id", seed).alias("sampled"), "marginal_error")
 
 
 def sampled_rows(docs: DataFrame, topic: Column, alpha: dict[str, float], tokens: Column | None = None,

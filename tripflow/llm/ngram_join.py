@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._pairs import blobs, group_pairs, merge_labels, runs, whole_groups
-from ._tables import arrow_conf, saved
+from ._tables import arrow_conf, collected, discard, saved
 from ._words import mix, seeds, shingle_sets, slices, tidy
 from .components import components
 
@@ -89,17 +89,19 @@ def signature(s: np.ndarray) -> tuple[int, int, int]:
 
 
 def _sets_table(docs: DataFrame, n: int, threshold: float, recall: float, depth: int) -> DataFrame:
-    """Size, signature, sketch and nodes of each document's shingle set."""
+    """Size, signature, sketch and nodes of each row's shingle set, beside the
+    row's columns other than its text."""
     run_seeds = seeds(runs_for(recall, depth), 77)
     level_cols = [f"k{i}" for i in range(1, depth + 1)] + [f"p{i}" for i in range(1, depth + 1)]
-    names = ["doc_id", "size", "sig1", "sig2", "sketch", *level_cols]
-    schema = "doc_id long, size long, sig1 long, sig2 long, sketch binary, " + ", ".join(
-        f"{c} array<long>" for c in level_cols)
+    kept = [c for c in docs.columns if c != "text"]
+    names = [*kept, "size", "sig1", "sig2", "sketch", *level_cols]
+    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in kept) \
+        + ", size long, sig1 long, sig2 long, sketch binary, " + ", ".join(f"{c} array<long>" for c in level_cols)
 
     def rows(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                cols = {c: [] for c in names[1:]}
+                cols = {c: [] for c in names[len(kept):]}
                 for s in shingle_sets(part.column("text"), n):
                     size, sig1, sig2 = signature(s)
                     cols["size"].append(size)
@@ -110,7 +112,7 @@ def _sets_table(docs: DataFrame, n: int, threshold: float, recall: float, depth:
                         cols[f"k{i}"].append(ids.view(np.int64))
                         cols[f"p{i}"].append(parents.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(cols[c], pa.int64()) for c in ("size", "sig1", "sig2")),
+                    [*map(part.column, kept), *(pa.array(cols[c], pa.int64()) for c in ("size", "sig1", "sig2")),
                      pa.array(cols["sketch"], pa.binary()),
                      *(pa.array(cols[c], pa.list_(pa.int64())) for c in level_cols)], names=names)
 
@@ -230,6 +232,67 @@ def _verified(cells: DataFrame, threshold: float) -> DataFrame:
     return cells.mapInArrow(tidy(rows), "rep long, links long, root long")
 
 
+def _linked(slim: DataFrame, key: list[str], merged: bool, n: int, threshold: float, recall: float,
+            depth: int) -> DataFrame:
+    """Per document its node id, set size, representative, component, links and
+    copies. ``key`` identifies a row of ``slim``; where ``merged``, rows that
+    repeat the key are one document and the key is its node id, else every row
+    is one and is numbered."""
+    spark = slim.sparkSession
+    sig = ["size", "sig1", "sig2"]
+    other = [c for c in slim.columns if c not in (*key, "text")]
+    with collected() as made:
+        sets = saved(_sets_table(slim, n, threshold, recall, depth), "ngram_sets")
+        if merged:
+            one = sets.groupBy(*key).agg(F.min(F.struct(*sig, "row")).alias("s")).select(*key, F.col(key[0]).alias("node"), "s.*")
+        else:
+            one = sets.select(*key, *other, F.col("row").alias("node"), *sig, "row")
+        one = saved(one, "ngram_docs")
+        reps = one.filter("size > 0").groupBy(*sig).agg(
+            F.min(F.struct("node", "row", *key)).alias("r"), F.count(F.lit(1)).alias("copies"))
+        reps = saved(reps.select(F.col("r.node").alias("rep"), F.col("r.row").alias("row"),
+                                 *(F.col(f"r.{k}").alias(k) for k in key), "copies", *sig), "ngram_reps")
+        first = saved(sets.drop(*key, *other, *sig).join(reps.select("row", "rep").hint("merge"), "row"), "ngram_first")
+        discard(spark, made, one, reps, first)
+
+        # level by level: a node of 2 to SMALL_BUCKET sets is a bucket, a larger one is split
+        leaves, big = None, None
+        for level in range(1, depth + 1):
+            rows = first.select("rep", F.explode(F.arrays_zip(f"k{level}", f"p{level}")).alias("e")) \
+                .select("rep", F.col(f"e.k{level}").alias("path"), F.col(f"e.p{level}").alias("parent"))
+            if big is not None:
+                rows = rows.join(big.select(F.col("path").alias("parent")), "parent", "left_semi")
+            rows = rows.select("rep", "path")
+            sizes = saved(rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"),
+                          "ngram_nodes")
+            big = sizes.filter(F.col("members") > SMALL_BUCKET)
+            done = sizes if level == depth else sizes.filter(F.col("members") <= SMALL_BUCKET)
+            part = rows.join(done.hint("merge"), "path")
+            leaves = part if leaves is None else leaves.unionByName(part)
+        leaves = leaves.withColumn("blocks", F.ceil(F.col("members") / BLOCK)) \
+            .join(first.select("rep", "sketch").hint("merge"), "rep")
+        coarse = components(_sketch_edges(_dealt(leaves, "path", "rep", "sketch"), threshold - MARGIN))
+
+        # inside each coarse cluster every pair of sets is compared exactly
+        members = saved(coarse.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+                        .join(reps, "rep"), "ngram_members")
+        discard(spark, made, one, reps, members)
+        blocks = members.groupBy("cluster").agg(
+            F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks"))
+        wanted = members.join(blocks, "cluster").select(*key, "rep", "cluster", "copies", "blocks", *sig)
+        tokens = _token_sets(slim.join(wanted.hint("merge"), key), n)
+        linked = saved(_verified(_dealt(tokens, "cluster", "rep", "copies", "tokens"), threshold), "ngram_links")
+        parts = components(linked.filter("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
+        found = reps.join(linked.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left") \
+            .join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        found = saved(found.select(*sig, "rep", "component", "links", "copies"), "ngram_found")
+        discard(spark, made, one, found)
+    return one.join(found, sig, "left").select(
+        *key, *other, F.coalesce("component", "rep", "node").alias("class_id"), F.coalesce("rep", "node").alias("rep_id"),
+        F.col("size").alias("n_shingles"),
+        (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).cast("long").alias("n_links"))
+
+
 def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999,
                depth: int = 3) -> DataFrame:
     """Near-duplicate links of ``docs(doc_id long, text string, ...)``.
@@ -246,51 +309,17 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
     text of fewer than ``n`` words is one shingle of all its words. Other
     columns are ignored. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    arrow_conf(spark)
+    arrow_conf(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")) \
         .filter("doc_id is not null")
-    sets = saved(_sets_table(slim, n, threshold, recall, depth), "ngram_sets")
-    sig = ["size", "sig1", "sig2"]
-    one = sets.groupBy("doc_id").agg(F.min(F.struct(*sig, "row")).alias("s")).select("doc_id", "s.*")
-    reps = one.filter("size > 0").groupBy(*sig).agg(
-        F.min(F.struct("doc_id", "row")).alias("r"), F.count(F.lit(1)).alias("copies"))
-    reps = saved(reps.select(F.col("r.doc_id").alias("rep"), F.col("r.row").alias("row"), "copies", *sig),
-                 "ngram_reps")
-    first = saved(sets.drop("doc_id", *sig).join(reps.select("row", "rep").hint("merge"), "row"), "ngram_first")
-
-    # level by level: a node of 2 to SMALL_BUCKET sets is a bucket, a larger one is split
-    leaves, big = None, None
-    for level in range(1, depth + 1):
-        rows = first.select("rep", F.explode(F.arrays_zip(f"k{level}", f"p{level}")).alias("e")) \
-            .select("rep", F.col(f"e.k{level}").alias("path"), F.col(f"e.p{level}").alias("parent"))
-        if big is not None:
-            rows = rows.join(big.select(F.col("path").alias("parent")), "parent", "left_semi")
-        rows = rows.select("rep", "path")
-        sizes = saved(rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"),
-                      "ngram_nodes")
-        big = sizes.filter(F.col("members") > SMALL_BUCKET)
-        done = sizes if level == depth else sizes.filter(F.col("members") <= SMALL_BUCKET)
-        part = rows.join(done.hint("merge"), "path")
-        leaves = part if leaves is None else leaves.unionByName(part)
-    leaves = leaves.withColumn("blocks", F.ceil(F.col("members") / BLOCK)) \
-        .join(first.select("rep", "sketch").hint("merge"), "rep")
-    coarse = components(_sketch_edges(_dealt(leaves, "path", "rep", "sketch"), threshold - MARGIN))
-
-    # inside each coarse cluster every pair of sets is compared exactly
-    members = saved(coarse.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-                    .join(reps, "rep"), "ngram_members")
-    blocks = members.groupBy("cluster").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks"))
-    wanted = members.join(blocks, "cluster").select(F.col("rep").alias("doc_id"), "rep", "cluster", "copies",
-                                                    "blocks", *sig)
-    tokens = _token_sets(slim.join(wanted.hint("merge"), "doc_id"), n)
-    linked = saved(_verified(_dealt(tokens, "cluster", "rep", "copies", "tokens"), threshold), "ngram_links")
-    parts = components(linked.filter("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    found = reps.join(linked.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left") \
-        .join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    found = saved(found.select(*sig, "rep", "component", "links", "copies"), "ngram_found")
-    return one.join(found, sig, "left").select(
-        "doc_id", F.coalesce("component", "rep", "doc_id").alias("class_id"),
-        F.coalesce("rep", "doc_id").alias("rep_id"), F.col("size").alias("n_shingles"),
-        (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).cast("long").alias("n_links"))
+    return _linked(slim, ["doc_id"], True, n, threshold, recall, depth)
+
+
+def joined_rows(docs: DataFrame, key: list[str], n: int = 5, threshold: float = 0.8, recall: float = 0.999,
+                depth: int = 3) -> DataFrame:
+    """:func:`ngram_join` of rows that ``key`` (columns without nulls) tells
+    apart, each judged by its own text whatever its doc_id. Returns the columns
+    other than ``text``, and class and links as above; classes and
+    representatives are numbers of rows, made up for the run."""
+    arrow_conf(docs.sparkSession)
+    return _linked(docs, key, False, n, threshold, recall, depth)

@@ -56,7 +56,7 @@ def op5_token_files(spark, sf_dir):
 
 def op6_decontamination(spark, sf_dir):
     """Every benchmark item in every document."""
-    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def op7_lm_scores(spark, sf_dir):
@@ -173,11 +173,15 @@ def _mix_sql(sweeps: int = 50) -> str:
                 SELECT {d}, sum(tokens * f) AS s FROM c{n} GROUP BY 1) x JOIN t_{d} t ON x.{d} = t.{d} WHERE x.s > 0) s
               ON c.{d} = s.{d})""")
             n += 1
+    gaps = " UNION ALL ".join(f"""SELECT max(abs(x.s / y.s - t.target)) AS gap FROM (
+        SELECT {d}, sum(tokens * f) AS s FROM c{n} GROUP BY 1) x JOIN t_{d} t ON x.{d} = t.{d},
+        (SELECT sum(tokens * f) AS s FROM c{n}) y""" for d in dims)
     return ", ".join(out) + f"""
-      SELECT p.doc_id, p.source, p.lang, p.topic, p.tokens, round(c.f / m.top, 6) AS probability,
+      SELECT p.doc_id, p.source, p.lang, p.topic, p.tokens, round(least(c.f / m.top, 1.0), 6) AS probability,
         ('0x' || substr(md5(p.doc_id::VARCHAR || ':{MIX_SEED}'), 1, 8))::BIGINT / 4294967296.0::DOUBLE
-          < round(c.f / m.top, 6) AS sampled
-      FROM p JOIN c{n} c USING (source, lang, topic), (SELECT max(f) AS top FROM c{n}) m"""
+          < round(least(c.f / m.top, 1.0), 6) AS sampled, round(e.gap, 6) AS marginal_error
+      FROM p JOIN c{n} c USING (source, lang, topic), (SELECT max(f) AS top FROM c{n} WHERE tokens > 0) m,
+        (SELECT max(gap) AS gap FROM ({gaps})) e"""
 
 
 def _crc32_sql(text: str) -> str:
@@ -260,15 +264,19 @@ SQL = {
       s AS (SELECT sum(n) AS n, count(*) AS k, sum(x) / sum(n) AS m, sum(n * n) AS n2, sum(x * x / n) AS q FROM h),
       v AS (SELECT *, (q - n * m * m - (k - 1) * m * (1 - m)) / (n - n2 / n - (k - 1)) AS v FROM s),
       z AS (SELECT m, CASE WHEN v > 0 THEN greatest(m * (1 - m) / v - 1, 0) ELSE n END AS strength FROM v),
-      t AS (SELECT host, (x + m * strength) / (n + strength) AS rate, greatest(0.5, 2 * m) AS most FROM h,
-        (SELECT m, strength FROM z))
+      t AS (SELECT host, (h.x + m * strength) / (h.n + strength) AS rate,
+        greatest(0.5, coalesce(2 * (s.n * s.m - h.x) / nullif(s.n - h.n, 0), 0)) AS most FROM h, s, (SELECT strength FROM z))
       SELECT doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         round(rate, 6) AS host_rate, NOT base_failed AND rate <= most AS kept FROM b JOIN t USING (host)""",
     "op6_decontamination": f"""
-      WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
-      d AS (SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS s FROM w WHERE len(ws) >= 5),
-      v AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
-      i AS (SELECT DISTINCT item_id, unnest({_SHINGLES}) AS s FROM v WHERE len(ws) >= 5),
+      WITH w AS MATERIALIZED (SELECT doc_id, {_WORDS} AS ws FROM documents),
+      v AS MATERIALIZED (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+      d AS (SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS s FROM w WHERE len(ws) >= 5 UNION ALL
+        SELECT DISTINCT doc_id, array_to_string(ws[i : i + m - 1], ' ') FROM (
+          SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w,
+            (SELECT DISTINCT len(ws) AS m FROM v WHERE len(ws) BETWEEN 1 AND 4))),
+      i AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(ws) >= 5 THEN {_SHINGLES}
+        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM v),
       n AS (SELECT item_id, count(*) AS item_shingles FROM i GROUP BY 1)
       SELECT doc_id, item_id, count(*) AS shared, item_shingles, round(count(*) / item_shingles, 6) AS containment
       FROM d JOIN i USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, item_shingles
