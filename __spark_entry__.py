@@ -387,6 +387,29 @@ def _landed_csv(spark, records):
     return trip_src.csv_records(spark, landing, glob="*.txt")
 
 
+_MULTILINE = ', "Old"\n\r\n,Pier'  # a name with a comma, quotes, a blank line and line breaks
+
+
+@_register("trip_csv_multiline",
+           O.with_(raw=_RAW) + " SELECT * REPLACE (replace(start_station_name, ', Pier', ', \"Old\"' || chr(10) || chr(13)"
+                               f" || chr(10) || ',Pier') AS start_station_name) FROM raw WHERE {_REASON} = ''")
+def q_trip_csv_multiline(spark, sf_dir):
+    """CSV files of a year whose start station names hold commas, quotes and
+    line breaks, read in about 50 splits that fall inside quotes too (S5
+    P9-P11): the same trips as in ``trip_clean``, none quarantined for its line
+    breaks."""
+    landing = fresh_dir(spark, "trip_csv")
+    records = S.raw_trip_records(S.table(spark, sf_dir, "lineitem", spread=True), pier=_MULTILINE)
+    S.land_csv_files(records.withColumn("source", F.substring("source", 1, 4)), landing)
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(sinks.folder_bytes(spark, landing) // 50 + 1))
+        kept, _ = clean.clean_trips(trip_src.csv_records(spark, landing, glob="*.txt"))
+        return _written(spark, kept)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+
+
 @_register("trip_clean_wide", O.with_(raw=_RAW) + f" SELECT * FROM raw WHERE {_REASON} = ''")
 def q_trip_clean_wide(spark, sf_dir):
     """CSV files of 25 columns and more, whose 12 extra columns hold commas and

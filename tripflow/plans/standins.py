@@ -144,10 +144,12 @@ _LAYOUT_B = ["member_casual"] + [c for c in schemas.TRIP_CSV_COLUMNS if c != "me
 _LAYOUT_C = [c for c in schemas.TRIP_CSV_COLUMNS if c != "rideable_type"]
 
 
-def raw_trip_records(lineitem: DataFrame, extra: int = 0, without: tuple[str, ...] = ()) -> DataFrame:
+def raw_trip_records(lineitem: DataFrame, extra: int = 0, without: tuple[str, ...] = (),
+                     pier: str = ", Pier") -> DataFrame:
     """``source, header, line`` text records, one per lineitem row. ``extra``
     columns of no meaning, with commas and quotes in them, are put among the
-    others; columns ``without`` are left out of every file."""
+    others; columns ``without`` are left out of every file; ``pier`` ends the
+    name of every start station."""
     t = trips_from_lineitem(lineitem, extra=("l_discount", "l_returnflag", "l_extendedprice"))
     year = F.year("started_at")
     bad_start = F.col("l_discount") == 0.1
@@ -159,7 +161,7 @@ def raw_trip_records(lineitem: DataFrame, extra: int = 0, without: tuple[str, ..
         .when(fraction, F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSS"))
         .otherwise(F.date_format("started_at", "yyyy-MM-dd HH:mm:ss")),
         "ended_at": F.date_format("ended_at", "yyyy-MM-dd HH:mm:ss"),
-        "start_station_name": F.concat(F.col("start_station_name"), F.lit(", Pier")),
+        "start_station_name": F.concat(F.col("start_station_name"), F.lit(pier)),
         "start_station_id": F.col("start_station_id"),
         "end_station_name": F.col("end_station_name"),
         "end_station_id": F.col("end_station_id"),

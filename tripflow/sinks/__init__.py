@@ -68,6 +68,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def versions(spark: SparkSession, table_path: str) -> list[str]:
     """Committed version folders (``v=<n>`` with ``_SUCCESS``), oldest first."""
     fs, root = _fs(spark, table_path)
