@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import functions as tf
+from tripflow.operators import bloom
 from tripflow.operators.joins import DEFAULT_BROADCAST_BYTES, small_side
 
 
@@ -42,29 +43,52 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ())
     )
 
 
+def _candidates(loaded: DataFrame, target: DataFrame, key: Sequence[str], max_broadcast_bytes: int) -> DataFrame:
+    """Keys of ``target``, without most of those that ``loaded`` lacks. The
+    target is scanned and not shuffled: against the broadcast keys where they
+    have at most ``max_broadcast_bytes`` bytes, else against a Bloom filter of
+    them, where that has; a load beyond both leaves the target whole."""
+    present = target.select(*key)
+    if small_side(loaded, max_broadcast_bytes):
+        return present.join(F.broadcast(loaded.distinct()), key, "left_semi")
+    keys = loaded.count()
+    if bloom.filter_bytes(keys) > max_broadcast_bytes:
+        return present
+    blocks = bloom.blocks_for(keys)
+    return bloom.may_hold(present, key, bloom.bloom_filter(loaded, key, blocks), blocks)
+
+
 def insert_if_absent(incoming: DataFrame, target: DataFrame, key: Sequence[str],
                      order: Sequence[str] = (), max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Rows of ``incoming`` to append so that ``key`` stays unique in
     ``target``: one row per new key, none for keys already present (K9,
     ``ON CONFLICT DO NOTHING``).
 
-    The target (the whole table) is usually far larger than a load. When the
-    load's keys have at most ``max_broadcast_bytes`` bytes, they are broadcast
-    and the target's key column is semi-joined against them while it is
-    scanned, so the target is never shuffled; only the few matching keys meet
-    the load in the final anti join. Larger loads use a shuffle anti join,
-    which reuses the deduplication's partitioning.
+    The target (the whole table) is usually far larger than a load. Its key
+    column is scanned, not shuffled, and only keys that the load may have
+    (:func:`_candidates`) meet the load in the final anti join.
 
     The key is a primary key, so rows with a null in it are never inserted;
     callers that keep rejects find them among the rows that are not returned.
     """
     key = list(key)
     incoming = incoming.filter(~tf.any_null(key))
-    winners, present = first_per_key(incoming, key, order), target.select(*key)
-    loaded = incoming.select(*key)
-    if small_side(loaded, max_broadcast_bytes):
-        present = present.join(F.broadcast(loaded.distinct()), key, "left_semi")
-    return winners.join(present, key, "left_anti")
+    winners = first_per_key(incoming, key, order)
+    return winners.join(_candidates(incoming.select(*key), target, key, max_broadcast_bytes), key, "left_anti")
+
+
+def flag_new(incoming: DataFrame, target: DataFrame, key: Sequence[str], order: Sequence[str], eligible: Column,
+             max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``incoming`` with ``is_new``: whether :func:`insert_if_absent` of its
+    ``eligible`` rows would append the row. ``order`` must tell rows of a key
+    apart. Only keys and their order are aggregated; whole rows meet the result
+    once, so inserted and rejected rows come from one pass."""
+    key = list(key)
+    loaded = incoming.filter(eligible & ~tf.any_null(key))
+    firsts = loaded.groupBy(*key).agg(F.min(_pack(order)).alias("_first"))
+    firsts = firsts.join(_candidates(loaded.select(*key), target, key, max_broadcast_bytes), key, "left_anti")
+    same = F.col("_first").isNotNull() & F.col("_first").eqNullSafe(_pack(order))
+    return incoming.join(firsts, key, "left").withColumn("is_new", eligible & same).drop("_first")
 
 
 def upsert(existing: DataFrame, updates: DataFrame, key: str, values: Sequence[str],

@@ -22,11 +22,16 @@ from tripflow.session import ship_package
 from tripflow.sources import trips as trip_src
 
 
-def batch_partition_writer(path: str, partition_by: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
+def batch_partition_writer(path: str, partition_by: tuple[str, ...] = (),
+                           rebalanced: bool = False) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: append the micro-batch as Parquet under
-    ``batch_id=<id>/``, replacing only that partition."""
+    ``batch_id=<id>/``, replacing only that partition. ``rebalanced`` brings the
+    rows of a partition together first (large ones stay cut), so that a batch
+    leaves few files."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if rebalanced:
+            batch = batch.hint("rebalance", *map(F.col, partition_by))
         (
             batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
@@ -114,8 +119,8 @@ def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_pat
     the file names that the driver handles (cleaned files hold at most 200,000
     rows); the table's keys are read once for each.
     """
-    writer = batch_partition_writer(table_path, ("month",))
-    rejected = batch_partition_writer(table_path.rstrip("/") + "_rejected")
+    writer = batch_partition_writer(table_path, ("month",), rebalanced=True)
+    rejected = batch_partition_writer(table_path.rstrip("/") + "_rejected", rebalanced=True)
     failed = batch_partition_writer(table_path.rstrip("/") + "_failed")
     lineage = ["source_file", "source_row"]
     defects = quality.reason_column(
@@ -141,14 +146,13 @@ def start_incremental_trip_load(spark: SparkSession, cleaned_dir: str, table_pat
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
             target = spark.createDataFrame([], "ride_id string")
-        checked = batch.withColumn("reason", defects)
-        new_rows = tables.insert_if_absent(checked.filter(F.col("reason").isNull()).drop("reason"), target, ["ride_id"],
-                                           ["started_at", *lineage])
-        new_rows = new_rows.persist()
-        writer(new_rows.select(*schemas.TRIP_COLUMNS), batch_id)
-        lost = checked.join(new_rows.select(*lineage), lineage, "left_anti")
+        # one pass flags every row; both tables are written from it
+        flagged = tables.flag_new(batch.withColumn("reason", defects), target, ["ride_id"], ["started_at", *lineage],
+                                  F.col("reason").isNull()).persist()
+        writer(flagged.filter("is_new").select(*schemas.TRIP_COLUMNS), batch_id)
+        lost = flagged.filter(~F.col("is_new")).drop("is_new")
         rejected(lost.withColumn("reason", F.coalesce("reason", F.lit("duplicate_ride_id"))), batch_id)
-        new_rows.unpersist()
+        flagged.unpersist()
 
     ship_package(spark)
     files = trip_src.stream_cleaned_files(spark, cleaned_dir, files_per_batch)
