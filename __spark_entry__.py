@@ -28,6 +28,7 @@ from tripflow.operators import clean, enrich, feeds, manifest, metrics, quality,
 from tripflow.plans import jobs
 from tripflow.plans import oracle as O
 from tripflow.plans import standins as S
+from tripflow.sinks import compaction
 from tripflow.session import ensure_job_conf, fresh_dir, ship_package
 from tripflow.sources import feeds as feed_src
 from tripflow.sources import relational
@@ -611,6 +612,33 @@ def q_status_history(spark, sf_dir):
     return spark.read.schema(schemas.STATION_STATUS).parquet(out).drop("batch_id")
 
 
+@_register("history_compacted",
+           " SELECT CAST(user_id AS VARCHAR) AS station_id,"
+           " CAST(floor(value) AS INTEGER) AS num_bikes_available,"
+           " CAST(json_extract_string(props, '$.k') AS INTEGER) AS num_docks_available,"
+           " TRUE AS is_installed, event_type <> 'error' AS is_renting,"
+           " event_type NOT IN ('view', 'purchase') AS is_returning,"
+           " date_trunc('second', ts) AS last_reported,"
+           " date_trunc('second', max(ts) OVER (PARTITION BY event_id // 2000)) AS inserted_at"
+           " FROM events")
+def q_history_compacted(spark, sf_dir):
+    """The status history as in ``status_history``, streamed in two goes of
+    several batches with a compaction after each and the covered batches
+    removed: read from compacted days and the newest batch (K7)."""
+    run = fresh_dir(spark, "history_compacted")
+    landing, out, ckpt = f"{run}/landing", f"{run}/history", f"{run}/checkpoint"
+    docs = S.status_feed_docs(S.table(spark, sf_dir, "events"), block=S.SNAPSHOT_BLOCK)
+    early = F.col("snapshot_id") % 2 == 0
+    for part in (docs.filter(early), docs.filter(~early)):
+        sinks.write_snapshots(part, landing)
+        files = max(1, len(spark.read.option("recursiveFileLookup", "true").text(landing).inputFiles()) // 8)
+        stream = feed_src.stream_snapshots(spark, landing, max_files_per_trigger=files)
+        streaming.start_feed_history(stream, out, ckpt, available_now=True).awaitTermination()
+        compaction.compact(spark, out, schemas.STATION_STATUS, F.to_date("inserted_at"))
+    compaction.remove_covered(spark, out, keep_seconds=0)
+    return compaction.read_history(spark, out, schemas.STATION_STATUS)
+
+
 @_register("status_feed_messages",
            " SELECT CAST(user_id AS VARCHAR) AS station_id, CAST(floor(value) AS INTEGER) AS bikes,"
            " CASE event_type WHEN 'view' THEN 'absent' WHEN 'purchase' THEN '0' ELSE '1' END AS is_returning,"
