@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tripflow import functions as tf
 from tripflow import schemas, sinks, streaming
 from tripflow.operators import clean, enrich, feeds, manifest, metrics, quality, stations, tables
-from tripflow.plans import jobs
+from tripflow.plans import increments, jobs
 from tripflow.plans import oracle as O
 from tripflow.plans import standins as S
 from tripflow.sinks import compaction
@@ -72,6 +72,19 @@ def q_station_aggregate(spark, sf_dir):
     return _station_agg(spark, sf_dir)
 
 
+@_register("station_aggregate_incremental", O.with_(status=O.STATUS, info=O.INFO) + O.STATION_AGG)
+def q_station_aggregate_incremental(spark, sf_dir):
+    """The station aggregate of a history that grows by four batches, each with
+    reports of all days, from daily states that are kept from run to run: as
+    ``station_aggregate`` (A1 J1 F7 K11)."""
+    run = fresh_dir(spark, "station_increments")
+    status, append = S.status(spark, sf_dir), streaming.batch_partition_writer(f"{run}/history")
+    for batch in range(4):
+        append(status.filter(F.pmod(F.xxhash64("station_id", "last_reported"), F.lit(4)) == batch), batch)
+        increments.update_states(spark, f"{run}/history", f"{run}/states")
+    return increments.station_aggregate_incremental(spark, f"{run}/history", f"{run}/states", S.info(spark, sf_dir))
+
+
 @_register("station_latest", O.with_(status=O.STATUS, info=O.INFO, agg=O.STATION_AGG) + O.STATION_LATEST)
 def q_station_latest(spark, sf_dir):
     """Latest aggregate row per station."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import functions as tf
@@ -20,13 +20,17 @@ def status_partials(status: DataFrame) -> DataFrame:
     and a station holding a large share of the rows is combined before the
     shuffle.
     """
-    return status.groupBy("station_id", *schemas.STATUS_FLAGS).agg(
+    return status.groupBy("station_id", *schemas.STATUS_FLAGS).agg(*_partials())
+
+
+def _partials() -> list[Column]:
+    return [
         F.sum("num_bikes_available").alias("bikes_sum"),
         F.count("num_bikes_available").alias("bikes_n"),
         F.sum("num_docks_available").alias("docks_sum"),
         F.count("num_docks_available").alias("docks_n"),
         F.max("last_reported").alias("status_last_reported"),
-    )
+    ]
 
 
 def station_aggregate(status: DataFrame, info: DataFrame) -> DataFrame:
@@ -44,7 +48,25 @@ def station_aggregate(status: DataFrame, info: DataFrame) -> DataFrame:
     repeats a station_id; its keys contain the first aggregate's shuffle keys,
     so it needs no second shuffle.
     """
-    parts = status_partials(status)
+    return aggregate_partials(status_partials(status), info)
+
+
+def daily_partials(status: DataFrame) -> DataFrame:
+    """:func:`status_partials` by day of the report. Partials of any parts of a
+    history, in any order, are merged by aggregating them again."""
+    return status.groupBy(tf.to_day("last_reported").alias("day"), "station_id", *schemas.STATUS_FLAGS).agg(*_partials())
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Daily partials of several parts as those of the whole."""
+    return partials.groupBy("day", "station_id", *schemas.STATUS_FLAGS).agg(
+        *(F.sum(c).alias(c) for c in ("bikes_sum", "bikes_n", "docks_sum", "docks_n")),
+        F.max("status_last_reported").alias("status_last_reported"))
+
+
+def aggregate_partials(parts: DataFrame, info: DataFrame) -> DataFrame:
+    """:func:`station_aggregate` from partials of the history, which may come in
+    several rows for a station and flags."""
     meta = info.select("station_id", *_INFO_KEYS, F.col("last_reported").alias("info_reported"))
     joined = parts.join(meta, "station_id", "inner")
     agg = joined.groupBy(*schemas.STATION_KEYS).agg(
