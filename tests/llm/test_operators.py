@@ -257,32 +257,69 @@ def test_packed_values_come_back():
 
 def test_scores_of_trigrams_against_brute_force(docs, none):
     from math import log
-    count, total = Counter(), 0
+    grams = []
     for _, t, _, _ in ROWS:
         w = words(t)
-        total += len(w)
-        for n in (1, 2, 3):
-            count.update(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+        grams.append(Counter(tuple(w[i:i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)))
+    count = sum(grams, Counter())
+    total = sum(len(words(t)) for _, t, _, _ in ROWS)
 
-    def score(w, i, n):
+    def score(own, w, i, n):
         g = tuple(w[i - n + 1:i + 1])
+        other = count[g] - own[g]
         if n == 1:
-            return log(count[g] / total)
+            return log(max(other, 1) / max(total - len(w), 1))
         if i < n - 1:
-            return score(w, i, n - 1)
-        return log(count[g] / count[g[:-1]]) if count[g] >= 2 else log(0.4) + score(w, i, n - 1)
+            return score(own, w, i, n - 1)
+        return log(other / (count[g[:-1]] - own[g[:-1]])) if other else log(0.4) + score(own, w, i, n - 1)
 
-    got = by_id(lm_scores(docs, order=3))
+    got = by_id(lm_scores(docs))
     assert sum(map(len, got.values())) == len(ROWS)
-    for d, t, _, _ in ROWS:
+    for (d, t, _, _), own in zip(ROWS, grams, strict=True):
         w = words(t)
-        r = got[d][0]
-        assert r["n_words"] == len(w)
-        assert abs(r["log_score_micro"] - sum(round(score(w, i, 3) * 1e6) for i in range(len(w)))) <= 1
-        assert (r["mean_log_score"] is None) == (not w)
+        want = sum(round(score(own, w, i, 3) * 1e6) for i in range(len(w)))
+        assert any(r["n_words"] == len(w) and abs(r["log_score_micro"] - want) <= 1
+                   and (r["mean_log_score"] is None) == (not w) for r in got[d])
     assert lm_scores(none).count() == 0
 
 
+def test_scores_where_all_texts_are_empty_or_there_is_one(spark):
+    blank = spark.createDataFrame([(1, None), (2, ""), (None, " ")], "doc_id long, text string")
+    assert sorted(tuple(r)[1:] for r in lm_scores(blank).collect()) == [(0, 0, None)] * 3
+    alone = spark.createDataFrame([(1, "a b a b a")], "doc_id long, text string")
+    # no other text: four words back off once or twice to one of one
+    assert lm_scores(alone).first()["log_score_micro"] == 1 * -916291 + 3 * -1832581
+
+
+def test_score_chunks_of_repeated_tasks(spark, tmp_path, monkeypatch):
+    """Chunks are named by a written table: what a repeated task writes beside
+    them is not read, and requests do not differ when they are made again."""
+    import os
+
+    from tripflow.llm import lm_score
+    from tripflow.llm._tables import saved
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 2000)
+
+    def requests(n, buckets):
+        df = spark.range(n).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(0, 40), "
+                                       "i -> cast(hash(id, i) % 500 as string))) AS text").repartition(4, "doc_id")
+        folder = str(tmp_path / f"chunks{n}_{buckets}")
+        made = lm_score._chunks(df, "file://" + folder)
+        names = saved(made, "names")
+        made.collect()  # the same tasks once more
+        assert len(os.listdir(folder)) == 2 * names.count()
+        out = lm_score._requests(names, 3, buckets, 60, "file://" + folder)
+        rows = sorted(map(tuple, out.collect()))
+        assert rows == sorted(map(tuple, out.collect()))
+        return rows
+
+    few, many = requests(200, 1 << 20), requests(800, 1 << 22)
+    keys = sum(len(lm_score.unpack_keys(r[3])) for r in many)
+    # rows are bounded by n-grams, not by chunks times buckets
+    assert len(many) <= keys and len(many) < 5 * len(few)
+    assert sum(r[2] for r in many) == 800 * 41
+
+
 def test_mix_meets_the_targets(spark, docs, none):
     rows = [(i, " ".join(["w"] * (5 + i % 7)), "en" if i % 3 else "de", "big" if i % 5 else "small") for i in range(3000)]
     df = spark.createDataFrame(rows, SCHEMA)

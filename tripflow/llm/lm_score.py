@@ -1,18 +1,26 @@
 """Language-model scores with stupid backoff over the corpus' own n-gram counts.
 
 The count table of all n-grams is partitioned by hash. Documents are taken in
-chunks of bounded size; a chunk sends each bucket the distinct n-grams of its
-documents that fall there, with their counts (packed, one row per chunk and
-bucket), so a frequent n-gram costs one entry per chunk, not one per
-occurrence. A bucket adds the counts up and answers every chunk with the totals
-of the n-grams it asked for; the chunk joins them to the n-grams of its
-documents in order and sums the scores per document. Buckets are ranges of the
-hash and grow in number with the corpus, so each stays small.
+chunks of bounded size, which are written first; a chunk sends each bucket (a
+range of the hash) the distinct n-grams of its documents that fall there, with
+their counts, packed as one row for each bucket that it has n-grams in. A
+frequent n-gram costs one entry per chunk, not one per occurrence, and there
+are never more rows than distinct n-grams of chunks. A bucket adds the counts
+up and answers every chunk with the totals of the n-grams it asked for; the
+chunk joins them to the n-grams of its documents in order and sums the scores
+per document.
+
+Keys are as many leading bits of the 64-bit hash as keep the chance that an
+n-gram meets another one's key below 2**-24 at the corpus' size. Sorted, they
+are sent as gaps, which take half of what a row of its own would: the rows of
+the plain join (n-gram hash, chunk, count) hold 8 bytes each that nothing
+compresses, over four times the input for trigrams.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 import uuid
 
 import numpy as np
@@ -30,26 +38,37 @@ from .encode import gathered
 
 CHUNK_BYTES = 4 << 20    # text of one chunk
 BUCKET_BYTES = 12 << 20  # text whose n-grams make up one bucket, on average
+TASK_BYTES = 48 << 20    # text whose n-grams, or whose chunks, one task takes
 BACKOFF = 0.4            # fixed value of the scheme
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Unsigned values by byte planes, least byte first; planes that are all
-    zero are left out, the others compress well where values are small."""
+    """Unsigned values by byte planes, least byte first, as many as the largest
+    value needs; a plane is compressed where that makes it smaller."""
     if not len(values):
         return b""
     width = max(1, (int(values.max()).bit_length() + 7) // 8)
     planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + planes.T.tobytes()
+    codec, out = pa.Codec("zstd", 1), [struct.pack("<BI", width, len(values))]
+    for plane in planes.T:
+        raw = plane.tobytes()
+        small = codec.compress(raw, asbytes=True)
+        out += [struct.pack("<I", len(small)), small] if len(small) < len(raw) else [struct.pack("<I", 0), raw]
+    return b"".join(out)
 
 
 def unpack(data: bytes) -> np.ndarray:
     if not data:
         return np.zeros(0, np.uint64)
-    width = data[0]
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :width] = planes.T
+    width, n = struct.unpack_from("<BI", data)
+    codec, at = pa.Codec("zstd"), 5
+    out = np.zeros((n, 8), np.uint8)
+    for i in range(width):
+        size, = struct.unpack_from("<I", data, at)
+        at += 4
+        plane = codec.decompress(data[at: at + size], n, asbytes=True) if size else data[at: at + n]
+        out[:, i] = np.frombuffer(plane, np.uint8)
+        at += size or n
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
@@ -63,46 +82,72 @@ def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate((first, unpack(data[8:]))), dtype=np.uint64)
 
 
-def _grams(text: pa.Array, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Hashes and text offsets of the n-grams of each order."""
+def key_bits(size: int, order: int) -> int:
+    """Bits of a key in a corpus of ``size`` bytes, at most that many n-grams of
+    each order: the chance to meet another n-gram's key stays below 2**-24."""
+    return min(64, 24 + max(16, (size * order).bit_length()))
+
+
+def _grams(text: pa.Array, order: int, bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Keys and text offsets of the n-grams of each order."""
     h, off = word_hashes(text)
     got = [ngram_hashes(h, off, n) for n in range(1, order + 1)]
-    return [g for g, _ in got], [o for _, o in got]
+    return [g >> np.uint64(64 - bits) for g, _ in got], [o for _, o in got]
 
 
-def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+def _bucket_of(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
     """Range of the hash in which a key falls (ascending with the key)."""
-    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    return ((keys >> np.uint64(bits - 32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _requests(docs: DataFrame, order: int, buckets: int, folder: str) -> DataFrame:
-    """Write each chunk's texts to a file of its own and ask for its n-grams."""
+def _chunks(docs: DataFrame, folder: str) -> DataFrame:
+    """Write the documents to files of a chunk each and give the files' names.
+    The names must be written before they are used: a repeated task makes files
+    of its own, and only those of the attempt that Spark commits are named."""
 
     def rows(batches):
+        fs, path = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(path, recursive=True)
         for t in gathered(batches, "text", CHUNK_BYTES):
-            name = uuid.uuid4().hex  # a repeated task makes chunks of its own; only delivered ones are read
-            fs, path = pafs.FileSystem.from_uri(folder)
-            fs.create_dir(path, recursive=True)
+            name = uuid.uuid4().hex
             with fs.open_output_stream(f"{path}/{name}") as f, pa.ipc.new_stream(
                     f, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 w.write_table(t)
-            grams, _ = _grams(t.column("text"), order)
-            keys, counts = np.unique(np.concatenate(grams), return_counts=True)
-            cut = np.searchsorted(_bucket_of(keys, buckets), np.arange(buckets + 1))
-            words = len(grams[0])
-            for b in range(0, buckets, 64):
-                span = range(b, min(b + 64, buckets))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(span), pa.int64()), pa.array([name] * len(span)),
-                     pa.array([words if x == 0 else 0 for x in span], pa.int64()),
-                     pa.array([pack_keys(keys[cut[x]: cut[x + 1]]) for x in span], pa.binary()),
-                     pa.array([pack(counts[cut[x]: cut[x + 1]]) for x in span], pa.binary())],
-                    names=["bucket", "chunk", "words", "keys", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([name])], names=["chunk"])
+
+    return docs.mapInArrow(tidy(rows), "chunk string")
+
 
-    return docs.mapInArrow(tidy(rows), "bucket long, chunk string, words long, keys binary, counts binary")
+def _read_chunk(folder: str, name: str) -> pa.Table:
+    fs, path = pafs.FileSystem.from_uri(folder)
+    with fs.open_input_stream(f"{path}/{name}") as f:
+        return pa.ipc.open_stream(f).read_all().combine_chunks()
 
 
-def _totals(requests: DataFrame) -> DataFrame:
+def _requests(chunks: DataFrame, order: int, buckets: int, bits: int, folder: str) -> DataFrame:
+    """Each chunk's distinct n-grams with their counts, by bucket. The same
+    chunk gives the same rows whenever a task is repeated."""
+
+    def rows(batches):
+        for batch in batches:
+            for name in batch.column("chunk").to_pylist():
+                grams, _ = _grams(_read_chunk(folder, name).column("text"), order, bits)
+                keys, counts = np.unique(np.concatenate(grams), return_counts=True)
+                begin = runs([_bucket_of(keys, buckets, bits)])
+                lead = np.where(begin[:-1] == 0, len(grams[0]), 0)  # the words go with the first row
+                for lo in range(0, len(lead), 64):
+                    cut = begin[lo: lo + 65]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_bucket_of(keys[cut[:-1]], buckets, bits)), pa.array([name] * (len(cut) - 1)),
+                         pa.array(lead[lo: lo + 64]),
+                         pa.array([pack_keys(keys[x:y]) for x, y in zip(cut[:-1], cut[1:])], pa.binary()),
+                         pa.array([pack(counts[x:y]) for x, y in zip(cut[:-1], cut[1:])], pa.binary())],
+                        names=["bucket", "chunk", "words", "keys", "counts"])
+
+    return chunks.mapInArrow(tidy(rows), "bucket long, chunk string, words long, keys binary, counts binary")
+
+
+def _totals(requests: DataFrame, tasks: int) -> DataFrame:
     """The count table, bucket by bucket, as answers to the chunks."""
 
     def rows(batches):
@@ -125,80 +170,98 @@ def _totals(requests: DataFrame) -> DataFrame:
                 [x.combine_chunks() for x in (t.column("bucket"), t.column("chunk"), t.column("words"))]
                 + [pa.array(out, pa.binary())], names=["bucket", "chunk", "words", "totals"])
 
-    dealt = requests.repartition("bucket").sortWithinPartitions("bucket")
+    dealt = requests.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(tidy(rows), "bucket long, chunk string, words long, totals binary")
 
 
-def micro_scores(counts: list[np.ndarray], offsets: list[np.ndarray], total: int, min_count: int) -> np.ndarray:
+def own_counts(keys: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """How often the key of each place stands in the text of that place; keys
+    are numbers from 0."""
+    code = text * (int(keys.max(initial=0)) + 1) + keys
+    _, at, n = np.unique(code, return_inverse=True, return_counts=True)
+    return n[at]
+
+
+def micro_scores(counts: list[np.ndarray], offsets: list[np.ndarray], total: int) -> np.ndarray:
     """Sum per text of each word's log score, in whole millionths.
 
-    ``counts[n-1][i]`` is the corpus count of the i-th n-gram; the n-gram that
-    ends at a word is tried from the longest down, a count below ``min_count``
-    (above order 1) backs off.
+    ``counts[n-1][i]`` is the count of the i-th n-gram in the *other* texts, and
+    ``total`` the words of all texts. The n-gram that ends at a word is tried
+    from the longest down; one that no other text holds backs off. A word that
+    no other text holds counts as met once.
     """
     n_words = len(counts[0])
     if not n_words:
         return np.zeros(len(offsets[0]) - 1, np.int64)
-    score = np.log(counts[0] / total)
-    text = np.repeat(np.arange(len(offsets[0]) - 1), np.diff(offsets[0]))
+    size = np.diff(offsets[0])
+    text = np.repeat(np.arange(len(size)), size)
+    score = np.log(np.maximum(counts[0], 1) / np.maximum(total - size, 1)[text])
     place = np.arange(n_words) - offsets[0][text]
     for n in range(2, len(counts) + 1):
         has = place >= n - 1
         at = (offsets[n - 1][text] + place - (n - 1))[has]
         # the context of an n-gram is the (n-1)-gram with the same start
         context = (offsets[n - 2][text] + place - (n - 1))[has]
-        own = counts[n - 1][at].astype(np.float64)
-        score[has] = np.where(own >= min_count, np.log(own / counts[n - 2][context]),
+        seen = counts[n - 1][at]
+        score[has] = np.where(seen > 0, np.log(np.maximum(seen, 1) / np.maximum(counts[n - 2][context], 1)),
                               math.log(BACKOFF) + score[has])
     micro = np.concatenate(([0], np.cumsum(np.rint(score * 1e6).astype(np.int64))))
     return micro[offsets[0][1:]] - micro[offsets[0][:-1]]
 
 
-def _scored(answers: DataFrame, order: int, total: int, min_count: int, folder: str) -> DataFrame:
+def _scored(chunks: DataFrame, answers: DataFrame, order: int, total: int, bits: int, folder: str,
+            tasks: int) -> DataFrame:
     def rows(batches):
         for t in whole_groups(batches, ["chunk"], min_rows=1):
             names = t.column("chunk").combine_chunks()
             start = runs([names.to_numpy(zero_copy_only=False)])
             for lo, hi in zip(start[:-1], start[1:], strict=True):
-                fs, path = pafs.FileSystem.from_uri(folder)
-                with fs.open_input_stream(f"{path}/{names[int(lo)].as_py()}") as f:
-                    docs = pa.ipc.open_stream(f).read_all().combine_chunks()
-                grams, offsets = _grams(docs.column("text"), order)
+                docs = _read_chunk(folder, names[int(lo)].as_py())
+                grams, offsets = _grams(docs.column("text"), order, bits)
                 # the chunk's distinct n-grams ascend, and so do the buckets' answers
                 at = np.unique(np.concatenate(grams), return_inverse=True)[1]
-                asked = [unpack(x) for x in t.slice(lo, hi - lo).column("totals").to_pylist()]
-                totals = np.concatenate(asked)[at]
-                counts = np.split(totals, np.cumsum([len(g) for g in grams])[:-1])
+                asked = [unpack(x) for x in t.slice(lo, hi - lo).column("totals").to_pylist() if x is not None]
+                text = np.concatenate([np.repeat(np.arange(len(o) - 1), np.diff(o)) for o in offsets])
+                totals = np.concatenate([np.zeros(0, np.uint64), *asked]).astype(np.int64)[at]
+                counts = np.split(totals - own_counts(at, text), np.cumsum([len(g) for g in grams])[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [docs.column("doc_id").combine_chunks(), pa.array(np.diff(offsets[0])),
-                     pa.array(micro_scores(counts, offsets, total, min_count))],
+                     pa.array(micro_scores(counts, offsets, total))],
                     names=["doc_id", "n_words", "log_score_micro"])
 
-    dealt = answers.select("chunk", "bucket", "totals").repartition("chunk").sortWithinPartitions("chunk", "bucket")
+    # a chunk without any word has no answer and is named by itself
+    named = chunks.select("chunk", F.lit(-1).cast("long").alias("bucket"), F.lit(None).cast("binary").alias("totals"))
+    dealt = answers.select("chunk", "bucket", "totals").unionByName(named) \
+        .repartition(tasks, "chunk").sortWithinPartitions("chunk", "bucket")
     return dealt.mapInArrow(tidy(rows), "doc_id long, n_words long, log_score_micro long")
 
 
-def lm_scores(docs: DataFrame, order: int = 2, min_count: int = 2) -> DataFrame:
+def lm_scores(docs: DataFrame, order: int = 3) -> DataFrame:
     """Stupid-backoff score of every row of ``docs(doc_id, text)`` under the
-    n-gram counts of all its rows.
+    n-gram counts of all other rows.
 
     Returns ``doc_id``, ``n_words``, ``log_score_micro`` (sum of the words'
     natural-log scores in millionths, each rounded) and ``mean_log_score``
-    (per word; null without words). Longer n-grams that occur fewer than
-    ``min_count`` times in the corpus count as unseen, so a text does not vouch
-    for itself.
+    (per word; null without words). A text's own n-grams are taken out of the
+    counts, so it does not vouch for itself; an n-gram that no other row holds
+    backs off, and a word that no other row holds counts as met once.
 
     Null and empty texts have no words and score 0; copies and repeated rows
-    count and are scored each; a null doc_id is kept. Other columns are
-    ignored. An empty table gives an empty result.
+    are other rows, count and are scored each; a null doc_id is kept. Other
+    columns are ignored. An empty table gives an empty result.
     """
-    arrow_conf(docs.sparkSession)
+    spark = docs.sparkSession
+    arrow_conf(spark)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(8, math.ceil(size / BUCKET_BYTES))
-    folder = fresh_dir(docs.sparkSession, "lm_chunks")
-    answers = saved(_totals(_requests(slim, order, buckets, folder)), "lm_totals")
+    buckets, bits = max(8, math.ceil(size / BUCKET_BYTES)), key_bits(size, order)
+    # tasks grow with the corpus, so that none reads more than a few buckets or chunks
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / TASK_BYTES))
+    folder = fresh_dir(spark, "lm_chunks")
+    chunks = saved(_chunks(slim, folder), "lm_names")
+    requests = _requests(chunks.repartition(tasks), order, buckets, bits, folder)
+    answers = saved(_totals(requests, tasks), "lm_totals")
     total = answers.agg(F.sum("words")).first()[0] or 0
-    return _scored(answers, order, total, min_count, folder).select(
+    return _scored(chunks, answers, order, total, bits, folder, tasks).select(
         "doc_id", "n_words", "log_score_micro",
         F.when(F.col("n_words") > 0, F.col("log_score_micro") / (F.col("n_words") * 1000000)).alias("mean_log_score"))

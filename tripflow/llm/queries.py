@@ -60,16 +60,10 @@ def op6_decontamination(spark, sf_dir):
 
 
 def op7_lm_scores(spark, sf_dir):
-    """Stupid-backoff bigram score of every document."""
+    """Stupid-backoff trigram score of every document under all others."""
     return lm_scores(read(spark, sf_dir, "documents"))
 
 
-def lm7_trigram_scores(spark, sf_dir):
-    """Stupid-backoff trigram score of every document: op7's operator with
-    contexts of two words."""
-    return lm_scores(read(spark, sf_dir, "documents"), order=3)
-
-
 def counted(docs):
     """Documents with their words counted once, for the mixture."""
     return docs.select("doc_id", "text", "source", "lang", word_tokens(F.col("text")).alias("words"))
@@ -146,7 +140,7 @@ def op13_suffix_dedup(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_token_files,
-    op6_decontamination, op7_lm_scores, lm7_trigram_scores, op8_source_mix, op9_warc, op10_license_scan,
+    op6_decontamination, op7_lm_scores, op8_source_mix, op9_warc, op10_license_scan,
     op11_periodic_runs, op12_merkle_manifest, op13_suffix_dedup)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -283,32 +277,24 @@ SQL = {
       HAVING count(*) >= 0.8 * item_shingles""",
     "op7_lm_scores": f"""
       WITH w AS MATERIALIZED (SELECT doc_id, {_WORDS} AS ws FROM documents),
-      p AS (SELECT doc_id, i, ws[i] AS word, CASE WHEN i > 1 THEN ws[i - 1] END AS prev FROM (
-        SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
-      c1 AS MATERIALIZED (SELECT word, count(*) AS n FROM p GROUP BY 1),
-      c2 AS MATERIALIZED (SELECT prev, word, count(*) AS n FROM p WHERE prev IS NOT NULL GROUP BY 1, 2),
-      t AS (SELECT sum(n) AS total FROM c1),
-      s AS (SELECT p.doc_id, round(1e6 * CASE WHEN c2.n >= 2 THEN ln(c2.n / q.n)
-          WHEN p.prev IS NOT NULL THEN ln(0.4::DOUBLE) + ln(c1.n / t.total) ELSE ln(c1.n / t.total) END)::BIGINT AS x
-        FROM p JOIN c1 ON p.word = c1.word LEFT JOIN c1 q ON p.prev = q.word
-        LEFT JOIN c2 ON p.prev = c2.prev AND p.word = c2.word, t)
-      SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(m.x, 0)::BIGINT AS log_score_micro,
-        CASE WHEN len(w.ws) > 0 THEN m.x::DOUBLE / (len(w.ws) * 1000000)::DOUBLE END AS mean_log_score
-      FROM w LEFT JOIN (SELECT doc_id, sum(x) AS x FROM s GROUP BY 1) m USING (doc_id)""",
-    "lm7_trigram_scores": f"""
-      WITH w AS MATERIALIZED (SELECT doc_id, {_WORDS} AS ws FROM documents),
-      p AS MATERIALIZED (SELECT doc_id, ws[i] AS z, CASE WHEN i > 1 THEN ws[i - 1] END AS y,
+      p AS MATERIALIZED (SELECT doc_id, len(ws) AS n, ws[i] AS z, CASE WHEN i > 1 THEN ws[i - 1] END AS y,
         CASE WHEN i > 2 THEN ws[i - 2] END AS x FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
-      c1 AS MATERIALIZED (SELECT z, count(*) AS n FROM p GROUP BY 1),
-      c2 AS MATERIALIZED (SELECT y, z, count(*) AS n FROM p WHERE y IS NOT NULL GROUP BY 1, 2),
-      c3 AS MATERIALIZED (SELECT x, y, z, count(*) AS n FROM p WHERE x IS NOT NULL GROUP BY 1, 2, 3),
-      t AS (SELECT sum(n) AS total FROM c1),
-      s AS (SELECT p.doc_id, round(1e6 * CASE WHEN c3.n >= 2 THEN ln(c3.n / xy.n) ELSE
-          CASE WHEN p.x IS NOT NULL THEN ln(0.4::DOUBLE) ELSE 0 END + CASE WHEN c2.n >= 2 THEN ln(c2.n / q.n) ELSE
-            CASE WHEN p.y IS NOT NULL THEN ln(0.4::DOUBLE) ELSE 0 END + ln(c1.n / t.total) END END)::BIGINT AS m
-        FROM p JOIN c1 ON p.z = c1.z LEFT JOIN c1 q ON p.y = q.z LEFT JOIN c2 ON p.y = c2.y AND p.z = c2.z
-        LEFT JOIN c2 xy ON p.x = xy.y AND p.y = xy.z
-        LEFT JOIN c3 ON p.x = c3.x AND p.y = c3.y AND p.z = c3.z, t)
+      d1 AS (SELECT doc_id, z, count(*) AS n FROM p GROUP BY ALL),
+      d2 AS (SELECT doc_id, y, z, count(*) AS n FROM p WHERE y IS NOT NULL GROUP BY ALL),
+      d3 AS (SELECT doc_id, x, y, z, count(*) AS n FROM p WHERE x IS NOT NULL GROUP BY ALL),
+      e1 AS MATERIALIZED (SELECT doc_id, z, (sum(n) OVER (PARTITION BY z) - n)::BIGINT AS n FROM d1),
+      e2 AS MATERIALIZED (SELECT doc_id, y, z, (sum(n) OVER (PARTITION BY y, z) - n)::BIGINT AS n FROM d2),
+      e3 AS MATERIALIZED (SELECT doc_id, x, y, z, (sum(n) OVER (PARTITION BY x, y, z) - n)::BIGINT AS n FROM d3),
+      t AS (SELECT count(*) AS total FROM p),
+      s AS (SELECT p.doc_id, round(1e6 * CASE WHEN e3.n > 0 THEN ln(e3.n / xy.n) ELSE
+          CASE WHEN p.x IS NOT NULL THEN ln(0.4::DOUBLE) ELSE 0 END + CASE WHEN e2.n > 0 THEN ln(e2.n / q.n) ELSE
+            CASE WHEN p.y IS NOT NULL THEN ln(0.4::DOUBLE) ELSE 0 END
+            + ln(greatest(e1.n, 1) / greatest(t.total - p.n, 1)) END END)::BIGINT AS m
+        FROM p JOIN e1 ON p.doc_id = e1.doc_id AND p.z = e1.z
+        LEFT JOIN e1 q ON p.doc_id = q.doc_id AND p.y = q.z
+        LEFT JOIN e2 ON p.doc_id = e2.doc_id AND p.y = e2.y AND p.z = e2.z
+        LEFT JOIN e2 xy ON p.doc_id = xy.doc_id AND p.x = xy.y AND p.y = xy.z
+        LEFT JOIN e3 ON p.doc_id = e3.doc_id AND p.x = e3.x AND p.y = e3.y AND p.z = e3.z, t)
       SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(m.m, 0)::BIGINT AS log_score_micro,
         CASE WHEN len(w.ws) > 0 THEN m.m::DOUBLE / (len(w.ws) * 1000000)::DOUBLE END AS mean_log_score
       FROM w LEFT JOIN (SELECT doc_id, sum(m) AS m FROM s GROUP BY 1) m USING (doc_id)""",
