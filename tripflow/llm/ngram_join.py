@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.operators.bloom import blocks_for, bloom_filter, filter_bytes, may_hold
+
 from ._pairs import blobs, group_pairs, merge_labels, runs, whole_groups
 from ._tables import arrow_conf, collected, discard, saved
 from ._words import mix, seeds, shingle_sets, slices, tidy
@@ -37,6 +39,7 @@ MARGIN = 0.15       # a sketch estimate this far below the threshold still passe
 SMALL_BUCKET = 2048  # sets that one node may hold before it is split
 BLOCK = 1024        # sets of one block of a bucket or cluster that stays large
 BLOCK_SHINGLES = 2_000_000  # shingles of one block
+FILTER_BYTES = 64 << 20  # largest filter of clustered documents (67 million); beyond it all texts are shuffled
 
 
 def runs_for(recall: float, depth: int) -> int:
@@ -280,7 +283,11 @@ def _linked(slim: DataFrame, key: list[str], merged: bool, n: int, threshold: fl
         blocks = members.groupBy("cluster").agg(
             F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks"))
         wanted = members.join(blocks, "cluster").select(*key, "rep", "cluster", "copies", "blocks", *sig)
-        tokens = _token_sets(slim.join(wanted.hint("merge"), key), n)
+        # texts of documents outside the clusters stay where they are
+        count, near = members.count(), slim
+        if filter_bytes(count) <= FILTER_BYTES:
+            near = may_hold(slim, key, bloom_filter(members, key, blocks_for(count)), blocks_for(count))
+        tokens = _token_sets(near.join(wanted.hint("merge"), key), n)
         linked = saved(_verified(_dealt(tokens, "cluster", "rep", "copies", "tokens"), threshold), "ngram_links")
         parts = components(linked.filter("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
         found = reps.join(linked.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left") \
