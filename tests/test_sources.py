@@ -5,6 +5,7 @@ import tempfile
 import zipfile
 
 from conftest import rows
+from pyspark.sql import functions as F
 from tripflow import functions as tf
 from tripflow import schemas
 from tripflow.operators import clean
@@ -116,3 +117,65 @@ def test_one_bad_csv_does_not_drop_its_archive(spark):
     recs = trip_src.zip_records(spark, root)
     assert recs.filter("error is null").count() == 9
     assert [r.entry for r in recs.filter("error is not null").collect()] == ["bad.csv"]
+
+
+def _broken_archive(root):
+    """Six entries of several compressions behind leading bytes; the last bytes
+    of one large entry's content are not those of its checksum."""
+    path = os.path.join(root, "x.zip")
+    methods = (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA)
+    with zipfile.ZipFile(path, "w") as z:
+        for i in range(5):
+            z.writestr(f"m{i}.csv", csv_text(20, start=1000 * i), compress_type=methods[i % 4])
+        z.writestr("broken.csv", csv_text(12_000, start=100_000))
+    with open(path, "rb") as f:
+        data = bytearray(f.read())
+    at = data.rindex(b",member\n")
+    data[at + 1:at + 7] = b"MEMBER"
+    with open(path, "wb") as f:
+        f.write(b"leading bytes" + data)
+
+
+def test_entries_of_one_archive_are_dealt_and_whole(spark):
+    root = tempfile.mkdtemp(prefix="tripflow-entries-")
+    _broken_archive(root)
+    entries = trip_src.archive_entries(trip_src.list_archives(spark, root))
+    assert sorted(r.member for r in entries.collect()) == ["broken.csv", *(f"m{i}.csv" for i in range(5))]
+    assert trip_src.entry_tasks(entries) == 4  # cores of the session
+    assert trip_src.entry_tasks(entries.withColumn("compressed", F.lit(1 << 30))) == 6
+    assert trip_src.entry_tasks(entries.limit(0)) == 1
+    records = trip_src.entry_records(entries.coalesce(1), 6)
+    tasks = records.select("entry", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(tasks) == 6 and len({r.task for r in tasks}) == 6
+    # records before the fault are given, then the error; whole_entries takes them away
+    assert records.filter("entry = 'broken.csv' and error is null").count() == 10_000
+    whole = trip_src.whole_entries(records, records.filter("error is not null"))
+    assert rows(whole.groupBy("entry").count()) == [(f"m{i}.csv", 20) for i in range(5)]
+    given = trip_src.zip_records(spark, root)
+    assert [(r.entry, "CRC" in r.error) for r in given.filter("error is not null").collect()] == [("broken.csv", True)]
+    assert given.count() == 101
+
+
+def test_unreadable_archives_and_nested_entries(spark):
+    root = tempfile.mkdtemp(prefix="tripflow-nested-")
+    with open(os.path.join(root, "cut.zip"), "wb") as f:
+        f.write(b"PK\x03\x04" + b"\x00" * 500)
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("good.csv", csv_text(3))
+        z.writestr("bad.csv", b"ride_id\n\xff\xfe\n")
+        deeper = io.BytesIO()
+        with zipfile.ZipFile(deeper, "w") as y:
+            y.writestr("deep.csv", csv_text(2, start=50))
+        z.writestr("deeper.csv.zip", deeper.getvalue())
+    make_zip(os.path.join(root, "n.zip"), {"a.csv.zip": inner.getvalue(), "b.csv.zip": b"not a zip", "empty.csv": ""})
+    got = trip_src.zip_records(spark, root)
+    ok = got.filter("error is null").groupBy("entry").count()
+    assert rows(ok) == [("a.csv.zip!deeper.csv.zip!deep.csv", 2), ("a.csv.zip!good.csv", 3)]
+    failed = got.filter("error is not null").select(tf.base_name("source").alias("f"), "entry")
+    assert set(rows(failed)) == {("cut.zip", None), ("n.zip", "a.csv.zip!bad.csv"), ("n.zip", "b.csv.zip")}
+
+
+def test_no_archives_at_all(spark):
+    root = tempfile.mkdtemp(prefix="tripflow-none-")
+    assert trip_src.zip_records(spark, root).count() == 0

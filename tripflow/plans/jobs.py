@@ -36,10 +36,12 @@ def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: st
     per archive with rows read / kept / quarantined (A6, V5-V7). Counts and
     defects per month of the run (A3, A4) go to ``<manifest_path>_months``.
 
-    Archives are expanded and typed once, into a staged table below the shared
-    folder; every output is read from it, column by column, and it is removed
-    at the end. A CSV that cannot be read is recorded as failed, the archive's
-    other CSVs are kept. Returns the per-archive counts.
+    The archives' directories are read first; then the entries are dealt to the
+    tasks, which inflate and type each once, into a staged table below the shared
+    folder. Every output is read from there, column by column, and it is removed
+    at the end. A CSV that cannot be read to its end is recorded as failed and
+    none of its rows is kept, the archive's other CSVs are. Returns the
+    per-archive counts.
     """
     ship_package(spark)
     stage = fresh_dir(spark, "clean")
@@ -51,11 +53,15 @@ def clean_trip_archives(spark: SparkSession, archive_root: str, cleaned_path: st
         sinks.remove(spark, stage)
         return spark.createDataFrame([], COUNTS_SCHEMA)
     keep = ("source", "entry", "error")
-    records = trip_src.archive_records(new, spread)
+    trip_src.archive_entries(new).write.parquet(f"{stage}/entries")
+    entries = spark.read.schema(trip_src.ENTRY_SCHEMA).parquet(f"{stage}/entries")
+    records = trip_src.entry_records(entries, trip_src.entry_tasks(entries), spread)
     typed = clean.with_reason(clean.type_trips(clean.bind_by_header(records, keep=keep), keep=keep))
     typed.withColumn("archive", tf.base_name("source")).write.parquet(f"{stage}/typed")
     typed = spark.read.parquet(f"{stage}/typed")
-    rows, failed = typed.filter(F.col("error").isNull()), typed.filter(F.col("error").isNotNull())
+    typed.filter(F.col("error").isNotNull()).select("archive", *keep).write.parquet(f"{stage}/failed")
+    failed = spark.read.parquet(f"{stage}/failed")
+    rows = trip_src.whole_entries(typed, failed)
     # outputs are partitioned by archive and replace that archive's earlier
     # output, so re-running after a failure before the manifest write is safe
     good = rows.filter(F.col("reason").isNull()).select(*schemas.TRIP_COLUMNS, "archive")
