@@ -122,11 +122,15 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
 
 def training_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> tuple[pa.Array, np.ndarray]:
     """Whole texts and labels of at most ``limit`` labelled documents, those
-    first in the order of a hash of doc_id."""
-    some = labels.filter("doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"]) \
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    rows = docs.join(F.broadcast(some), "doc_id").select("doc_id", "text", "label").toArrow()  # at most limit rows
-    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    first in the order of a hash of doc_id. A doc_id whose label rows differ has
+    no label; one with several texts gives its least, so ``limit`` rows at most
+    reach the driver and none depends on the partitions."""
+    marked = labels.filter("doc_id is not null and label in (0, 1)").groupBy("doc_id") \
+        .agg(F.min("label").alias("label"), F.max("label").alias("_other")).filter("label = _other")
+    some = marked.select("doc_id", "label").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    rows = docs.join(F.broadcast(some), "doc_id").groupBy("doc_id") \
+        .agg(F.min("text").alias("text"), F.min("label").alias("label")).toArrow()
+    rows = rows.sort_by("doc_id")
     return rows.column("text").combine_chunks(), rows.column("label").to_numpy()
 
 
@@ -160,8 +164,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -
     Only the text is looked at. A null, empty or white-space text has no
     features and gets the softmax of the bias; without labelled rows every
     score is 0.5. Rows with a null doc_id are scored too; repeated rows are
-    scored each; labels other than 0 and 1 are left out, of repeated label rows
-    one counts. Other columns are ignored.
+    scored each; labels other than 0 and 1 are left out, and so are documents
+    whose label rows differ. Other columns are ignored.
     """
     arrow_conf(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
