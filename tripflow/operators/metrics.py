@@ -24,6 +24,18 @@ def trips_per_day(trips: DataFrame, started_at: str = "started_at", ride_id: str
     )
 
 
+def rows_per_file(rows: DataFrame, month: str = "month") -> DataFrame:
+    """``month, source_file, n, places``: rows of each file that has been read
+    with its lineage, and different places among them. Places are counted by
+    bitmap, one of fixed size for 32,768 places in a row, so no row is shuffled.
+    """
+    place = F.col("source_row")
+    pieces = rows.groupBy(month, "source_file", F.bitmap_bucket_number(place).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(place))).alias("places"))
+    return pieces.groupBy(month, "source_file").agg(F.sum("n").alias("n"), F.sum("places").alias("places"))
+
+
 def total_records(spark: SparkSession, df: DataFrame, view: str) -> DataFrame:
     """Register ``df`` as a temp view and count it with SQL (A2, Q1, Q2)."""
     df.createOrReplaceTempView(view)

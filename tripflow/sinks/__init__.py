@@ -74,6 +74,12 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def folder_files(spark: SparkSession, path: str) -> int:
+    """Number of all files below a folder."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getFileCount()
+
+
 def versions(spark: SparkSession, table_path: str) -> list[str]:
     """Committed version folders (``v=<n>`` with ``_SUCCESS``), oldest first."""
     fs, root = _fs(spark, table_path)
