@@ -6,6 +6,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from tripflow.llm import merkle
 from tripflow.llm.merkle import merkle_manifest
 from tripflow.llm.queries import LEAF_COLUMNS
 
@@ -91,3 +92,12 @@ def test_proof_leads_to_the_root(spark):
         for step in r["proof"]:
             root = h((step["hash"] + root) if step["side"] < 0 else root + (step["hash"] or ""))
         assert root == r["root"] == r["folded_root"] and r["verified"]
+
+
+def test_a_block_holds_few_nodes(spark):
+    nodes = spark.range(40).select(F.lit("g").alias("group"), F.lit(40).cast("long").alias("n"), F.col("id").alias("rank"),
+                                   F.struct(F.sha2(F.col("id").cast("string"), 256).alias("hash")).alias("node"))
+    blocks = merkle.rolled_up(nodes)
+    assert blocks.count() == 3
+    plan = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.lstrip(" +-:").startswith("Aggregate") for line in plan.splitlines()) <= 4

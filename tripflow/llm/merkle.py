@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from ._tables import saved
 
-#: Rank digits (binary) that are grouped away inside one block.
-BITS = 8
+#: Rank digits (binary) that are grouped away inside one block: each is one more
+#: aggregation, with buffers of its own, in the same task.
+BITS = 4
 #: Rows of a partition while ranks are given.
 RANK_ROWS = 200_000
 _STEP = "array<struct<side:int,hash:string>>"
