@@ -43,21 +43,23 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
     sums of tokens * factor over each dimension's values are in proportion to
     the targets, to within ``tolerance``. A value without tokens or without a
     target keeps its factor; a value with tokens and target 0 gets 0."""
-    out = cells.withColumn("factor", F.lit(1.0) / F.lit(float(cells.agg(F.sum("tokens")).first()[0] or 1)))
+    whole = float(cells.agg(F.sum("tokens")).first()[0] or 1)
+    out = cells.withColumn("factor", F.lit(1.0) / F.lit(whole))
+    for d in DIMENSIONS:  # each cell carries its targets, so that a sweep only joins sums
+        out = out.join(targets[d].select(d, F.col("target").alias(f"{d}_target")), d, "left")
+    out = saved(out, "mix_cells")
     for _ in range(max_sweeps):
-        before = F.col("factor")
-        out = out.withColumn("before", before)
+        out = out.withColumn("before", F.col("factor"))
         for d in DIMENSIONS:
             sums = out.groupBy(d).agg(F.sum(F.col("tokens") * F.col("factor")).alias("s"))
-            change = sums.filter("s > 0").join(targets[d], d).select(d, (F.col("target") / F.col("s")).alias("c"))
-            out = out.join(change, d, "left").withColumn("factor", F.col("factor") * F.coalesce("c", F.lit(1.0))) \
-                .drop("c")
-        out = saved(out, "mix_cells")
+            out = out.join(sums, d, "left").withColumn("factor", F.col("factor") * F.coalesce(
+                F.when(F.col("s") > 0, F.col(f"{d}_target") / F.col("s")), F.lit(1.0))).drop("s")
+            # written for each dimension, as the table is used twice: for its sums and for the join
+            out = saved(out, "mix_cells")
         moved = out.filter("before > 0").agg(F.max(F.abs(F.col("factor") / F.col("before") - 1))).first()[0]
-        out = out.drop("before")
         if moved is None or moved <= tolerance:
-            return out
-    return out
+            break
+    return out.select(*cells.columns, "factor")
 
 
 def marginal_error(cells: DataFrame, targets: dict[str, DataFrame]) -> float:
