@@ -19,10 +19,10 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.llm._places import PLACE, at_places, placed
 from tripflow.llm._tables import collected, discard, read, saved
 from tripflow.llm.decontaminate import contaminated
 from tripflow.llm.encode import default_tokenizer
@@ -34,8 +34,6 @@ from tripflow.llm.token_files import token_files
 
 #: Folders that the stage called last has made on its way.
 _USED: list[str] = []
-#: A row's place in its file.
-PLACE = ["_file", "_place"]
 
 
 def stage(fn):
@@ -52,15 +50,6 @@ def stage(fn):
     return run_stage
 
 
-def placed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the file of each row and its place there (written first, if
-    they are not read from files)."""
-    try:
-        return docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
-    except AnalysisException:
-        return placed(saved(docs, "placed_rows"))
-
-
 @stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and their host's verdict keep."""
@@ -75,7 +64,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = joined_rows(rows.select(*PLACE, "doc_id", "text"), PLACE)
     first = classes.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *PLACE)).alias("h"))
     heads = saved(first.select(*(F.col(f"h.{c}").alias(c) for c in PLACE)), "class_heads")
-    return rows.join(heads, PLACE, "left_semi").select(*docs.columns)
+    return at_places(rows, heads).select(*docs.columns)
 
 
 @stage
@@ -83,7 +72,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that hold no benchmark item."""
     rows = placed(docs)
     leaks = contaminated(rows, read(spark, sf_dir, "benchmark"), short_items=True, key=PLACE)
-    return rows.join(saved(leaks.select(*PLACE).distinct(), "leaking_docs"), PLACE, "left_anti").select(*docs.columns)
+    leaks = saved(leaks.select(*PLACE).distinct(), "leaking_docs")
+    return at_places(rows, leaks, wanted=False).select(*docs.columns)
 
 
 @stage

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.operators.bloom import blocks_for, bloom_filter, filter_bytes, may_hold
+from tripflow.operators.joins import join_side
 
 from ._pairs import blobs, group_pairs, merge_labels, runs, whole_groups
 from ._tables import arrow_conf, collected, discard, saved
@@ -39,6 +40,7 @@ MARGIN = 0.15       # a sketch estimate this far below the threshold still passe
 SMALL_BUCKET = 2048  # sets that one node may hold before it is split
 BLOCK = 1024        # sets of one block of a bucket or cluster that stays large
 BLOCK_SHINGLES = 2_000_000  # shingles of one block
+BROADCAST_BYTES = 16 << 20  # largest table of large nodes, as written, that is sent whole
 FILTER_BYTES = 64 << 20  # largest filter of clustered documents (67 million); beyond it all texts are shuffled
 
 
@@ -264,14 +266,17 @@ def _linked(slim: DataFrame, key: list[str], merged: bool, n: int, threshold: fl
             rows = first.select("rep", F.explode(F.arrays_zip(f"k{level}", f"p{level}")).alias("e")) \
                 .select("rep", F.col(f"e.k{level}").alias("path"), F.col(f"e.p{level}").alias("parent"))
             if big is not None:
-                rows = rows.join(big.select(F.col("path").alias("parent")), "parent", "left_semi")
+                rows = rows.join(join_side(big.select(F.col("path").alias("parent")), BROADCAST_BYTES), "parent", "left_semi")
             rows = rows.select("rep", "path")
             sizes = saved(rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"),
                           "ngram_nodes")
-            big = sizes.filter(F.col("members") > SMALL_BUCKET)
+            # written, so that its size is known and a few large nodes make no shuffle of all paths
+            big = saved(sizes.filter(F.col("members") > SMALL_BUCKET), "ngram_large_nodes")
             done = sizes if level == depth else sizes.filter(F.col("members") <= SMALL_BUCKET)
             part = rows.join(done.hint("merge"), "path")
             leaves = part if leaves is None else leaves.unionByName(part)
+            if big.isEmpty():
+                break
         leaves = leaves.withColumn("blocks", F.ceil(F.col("members") / BLOCK)) \
             .join(first.select("rep", "sketch").hint("merge"), "rep")
         coarse = components(_sketch_edges(_dealt(leaves, "path", "rep", "sketch"), threshold - MARGIN))

@@ -41,12 +41,25 @@ def _bits(key: Sequence[str]) -> list[Column]:
 
 
 def bloom_filter(keys: DataFrame, key: Sequence[str], blocks: int) -> DataFrame:
-    """``_block`` and its bits as ``_words``: 512 numbers of 64 bits."""
+    """``_block`` and its bits as ``_words``: up to 512 numbers of 64 bits."""
     one = keys.select(_block(key, blocks), F.explode(F.array(*_bits(key))).alias("bit"))
-    built = one.groupBy("_block").agg(F.hex(F.bitmap_construct_agg("bit")).alias("hex"))
-    words = F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1)),
-                        lambda i: F.conv(F.substring("hex", 16 * i + 1, 16), 16, -10).cast("long"))
-    return built.select("_block", words.alias("_words"))
+    return bit_blocks(one, ["_block"], "bit")
+
+
+def bit_blocks(rows: DataFrame, block: Sequence[str], bit: str) -> DataFrame:
+    """Per block its bits (0 to ``BLOCK_BITS - 1``) as ``_words``, numbers of 64
+    bits up to the last one that has a bit."""
+    built = rows.groupBy(*block).agg(F.rtrim(F.hex(F.bitmap_construct_agg(bit)), F.lit("0")).alias("hex"))
+    words = F.transform(F.sequence(F.lit(0), F.floor((F.length("hex") - 1) / 16).cast("int")),
+                        lambda i: F.conv(F.rpad(F.substring("hex", 16 * i + 1, 16), 16, "0"), 16, -10).cast("long"))
+    return built.select(*block, words.alias("_words"))
+
+
+def bit_is_set(bit: Column) -> Column:
+    """Whether ``_words`` has the bit; null where it has no such word."""
+    word = F.get("_words", F.shiftright(bit, 6).cast("int"))
+    place = 8 * (7 - F.shiftright(bit, 3).bitwiseAND(F.lit(7))) + bit.bitwiseAND(F.lit(7))
+    return F.expr("0L") != F.call_function("shiftright", word, place.cast("int")).bitwiseAND(F.lit(1))
 
 
 def may_hold(table: DataFrame, key: Sequence[str], bloom: DataFrame, blocks: int) -> DataFrame:
@@ -55,7 +68,5 @@ def may_hold(table: DataFrame, key: Sequence[str], bloom: DataFrame, blocks: int
     met = table.withColumn("_block", _block(key, blocks)).join(F.broadcast(bloom), "_block")
     hit = F.lit(True)
     for bit in _bits(key):
-        word = F.get("_words", F.shiftright(bit, 6).cast("int"))
-        place = 8 * (7 - F.shiftright(bit, 3).bitwiseAND(F.lit(7))) + bit.bitwiseAND(F.lit(7))
-        hit = hit & (F.expr("0L") != F.call_function("shiftright", word, place.cast("int")).bitwiseAND(F.lit(1)))
+        hit = hit & bit_is_set(bit)
     return met.filter(hit).select(*table.columns)
