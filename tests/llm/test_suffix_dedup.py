@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm import queries as Q
 from tripflow.llm import suffix_dedup as m
+from tripflow.llm._tables import saved
 
 
 def brute(rows, length=100):
@@ -97,3 +98,48 @@ def test_multikey_sort_groups_equal_strings():
         groups.setdefault(r, set()).add(bytes(data[a:a + 12]))
     assert all(len(g) == 1 for g in groups.values()) and len(at) == len(data) - 12 - sum(
         1 for i in range(len(data) - 12) if bytes(data[i:i + 12]) not in [bytes(data[j:j + 12]) for j in range(len(data) - 12) if j != i])
+
+
+def hot_rows(n):
+    """Texts that share a line of 110 bytes among others of their own, some of them twice."""
+    line = hashlib.sha256(b"line").hexdigest() + hashlib.sha256(b"more").hexdigest()[:46]
+    own = [hashlib.sha512(b"%d" % (i % (n - 20))).hexdigest() for i in range(n)]
+    return [(i, t[:90 + i % 30] + line + t[::-1]) for i, t in enumerate(own)] + [(n, line[:95]), (n + 1, line[3:104] * 2)]
+
+
+def test_hot_stretches_are_cut_into_pieces(spark, mixed, monkeypatch):
+    monkeypatch.setattr(m, "SAMPLE", 1)
+    monkeypatch.setattr(m, "BUCKET_ROWS", 50)
+    found = []
+    monkeypatch.setattr(m, "saved", lambda df, kind: found.append((kind, saved(df, kind))) or found[-1][1])
+    rows = hot_rows(400)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert told(m.suffix_dedup(docs)) == brute(rows)
+    made = {kind: df for kind, df in found}
+    # far fewer rows than one for each of a stretch's windows
+    assert made["suffix_found"].filter("edge").count() < len(rows)
+    # every stretch and every piece cut: single windows
+    everything = np.zeros(0, np.uint64)
+    texts = spark.createDataFrame(mixed, "doc long, text string").select("doc", F.lit(0).cast("long").alias("mark"), "text").fillna("")
+    for _ in m.widths(100):
+        lead = [r[0] for r in m._screen_rows(texts.fillna(0), 100, everything).select("lead").distinct().collect()]
+        everything = np.union1d(everything, np.array(lead, np.int64).view(np.uint64))
+    monkeypatch.setattr(m, "_hot", lambda t, n: everything)
+    assert m._screen_rows(texts.fillna(0), 100, everything).filter("windows > 1").count() == 0
+    assert told(m.suffix_dedup(spark.createDataFrame(mixed, "doc_id long, text string"))) == brute(mixed)
+
+
+@pytest.mark.parametrize("width", [9, 4, 1])
+def test_pieces_hold_every_window_once(width):
+    start, n, at = np.array([5, 100, 200]), np.array([77, 3, 40]), np.array([81, 110, 270])
+    own, begin, count, core = m.pieces_of(start, n, at, width)
+    got = sorted((o, w) for o, b, c in zip(own, begin, count, strict=True) for w in range(b, b + c))
+    assert got == [(i, w) for i in range(3) for w in range(start[i], start[i] + n[i])]
+    assert (core >= begin).all() and (core + 100 - width + 1 <= begin + count + 99).all()
+
+
+def test_leading_bytes_of_more_than_a_bucket_are_compared_across(spark, monkeypatch):
+    monkeypatch.setattr(m, "BUCKET_ROWS", 10)  # not hot by the sample, and cut by document
+    rows = hot_rows(120)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert told(m.suffix_dedup(docs)) == brute(rows)

@@ -8,16 +8,20 @@ neighbouring windows share theirs, so a text has one suffix to look at (it start
 at an anchor) for about forty windows.
 
 1. *Screen.* A task reduces its texts to one row per different stretch (the bytes
-   that all windows of an anchor cover), with the places where it has it. Rows
-   meet by the hash of their leading bytes. A stretch that is equal to an earlier
-   one is a repeat as a whole; one whose leading bytes come with no other stretch
-   is done; the rest goes on, one row per different stretch.
+   that all windows of an anchor cover), with the places where it has it. Where
+   the leading bytes are hot (they come with very many stretches), a stretch is
+   cut into a few pieces by how far its windows start before the anchor: the
+   windows of a piece share more bytes, which take the place of the leading ones,
+   and a piece whose bytes are hot is cut again, at last into single windows.
+   Rows meet by the hash of their leading bytes. A stretch that is equal to an
+   earlier one is a repeat as a whole; one whose leading bytes come with no other
+   stretch is done; the rest goes on, one row per different stretch.
 2. *Suffix array.* Those suffixes are range-partitioned by their leading tokens
-   (8 bytes each) between sampled splitters, hot ones cut further by document. A
-   bucket sorts the windows of its suffixes by multikey quicksort, token by
-   token, and finds equal neighbours. Equal leading tokens may go on in the next
-   bucket, so windows of a bucket's first and last ones are compared across the
-   boundaries by hash.
+   (8 bytes each) and the hash of all leading bytes, between sampled splitters,
+   so that equal ones stay together. A bucket sorts the windows of its suffixes
+   by multikey quicksort, token by token, and finds equal neighbours. Leading
+   bytes of more suffixes than a bucket holds are cut further by document; only
+   their windows are compared across the boundaries by hash.
 3. *Removal.* Repeats are joined to intervals per document and cut out.
 """
 
@@ -44,6 +48,7 @@ BUCKET_ROWS = 40_000  # suffixes of one bucket, on average
 BROADCAST_BYTES = 16 << 20  # largest table of intervals, as written, that is sent whole
 SAMPLE = 64           # one document in so many is looked at for hot leading bytes
 HOT_SHARE = 2e-4      # share of the sample's suffixes that makes leading bytes hot
+PIECES = 9            # pieces of a stretch with hot leading bytes
 _BASE = 0x2545F4914F6CDD1D | 1  # odd, so that it has an inverse modulo 2**64
 _NULL_ID = 2**63 - 1  # documents without an id come last
 _POWER: list[np.ndarray] = []
@@ -74,10 +79,33 @@ class Prefix:
         return (self.sums[size:] - self.sums[:-size]) * self.inverse[: len(self.sums) - size]
 
 
-def stretches(data: np.ndarray, begin: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def widths(length: int) -> list[int]:
+    """Places of the anchor that a piece stands for, by how often it was cut."""
+    out = [length - LEAD + 1]
+    while out[-1] > 1:
+        out.append(-(-out[-1] // PIECES))
+    return out[1:]
+
+
+def pieces_of(start: np.ndarray, n: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Stretches cut where their windows' anchor has moved by ``width`` places:
+    the stretch, start, number of windows, and the first byte that all windows
+    with such an anchor share (``length - width + 1`` bytes are shared)."""
+    most = at - start
+    first = (most - n + 1) // width
+    count = most // width - first + 1
+    own = np.repeat(np.arange(len(start)), count)
+    node = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+    core = at[own] - node * width
+    begin = np.maximum(start[own], core - width + 1)
+    return own, begin, np.minimum(start[own] + n[own] - 1, core) - begin + 1, core
+
+
+def stretches(data: np.ndarray, begin: np.ndarray, length: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
     """The stretches of the texts that start at ``begin`` in ``data`` (ends
-    included): start, number of windows, anchor, and hashes of the anchor's
-    leading bytes and of all bytes."""
+    included), those with ``hot`` leading bytes in pieces: start, number of
+    windows, first leading byte, and hashes of the leading bytes and of all
+    bytes."""
     span = length - LEAD + 1  # places where a window's anchor may be
     n = len(data) - length + 1
     if n <= 0:
@@ -108,10 +136,23 @@ def stretches(data: np.ndarray, begin: np.ndarray, length: int) -> tuple[np.ndar
     start = np.union1d(new, cut)
     stop = np.append(start[1:], n)
     good = inside[start] == 1
-    start, stop = start[good], stop[good]
-    at = anchor[start]
-    return start, stop - start, at, lead[at], mix(prefix.of(start, stop + length - 1) + at.astype(np.uint64)
-                                                  - start.astype(np.uint64))
+    start, n = start[good], stop[good] - start[good]
+    at = core = anchor[start]
+    lead = lead[at]
+    done, hot = [], np.sort(hot)
+    for width in widths(length):
+        cut = np.isin(lead, hot) if len(hot) else np.zeros(len(lead), bool)
+        done.append([x[~cut] for x in (start, n, core, lead)])
+        if not cut.any():
+            break
+        own, start, n, core = pieces_of(start[cut], n[cut], at[cut], width)
+        at = at[cut][own]
+        lead = mix(prefix.of(core, core + length - width + 1) + _U(width))
+    else:
+        done.append([start, n, core, lead])  # single windows
+    start, n, core, lead = (np.concatenate(x) for x in zip(*done, strict=True))
+    return start, n, core, lead, mix(prefix.of(start, start + n + length - 1) + core.astype(np.uint64)
+                                     - start.astype(np.uint64))
 
 
 def pieces(off: np.ndarray, length: int):
@@ -135,15 +176,15 @@ def pieces(off: np.ndarray, length: int):
         yield block
 
 
-def _occurrences(text: pa.Array, length: int):
-    """All stretches of some texts: text, start, windows, anchor's place in the
-    stretch, hash of the leading bytes, hash of the stretch."""
+def _occurrences(text: pa.Array, length: int, hot: np.ndarray):
+    """All stretches of some texts: text, start, windows, the leading bytes'
+    place in the stretch, hash of the leading bytes, hash of the stretch."""
     data, off = blobs(text)
     out = []
     for block in pieces(off, length):
         begin = np.concatenate(([0], np.cumsum([hi - lo for _, lo, hi in block])))
         part = np.concatenate([data[lo:hi] for _, lo, hi in block])
-        start, n, at, lead, whole = stretches(part, begin, length)
+        start, n, at, lead, whole = stretches(part, begin, length, hot)
         k = np.searchsorted(begin, start, side="right") - 1
         own = np.array([i for i, _, _ in block])[k]
         first = np.array([lo for _, lo, _ in block])[k] - off[own]
@@ -153,7 +194,7 @@ def _occurrences(text: pa.Array, length: int):
     return [np.concatenate(c) for c in zip(*out, strict=True)]
 
 
-_OCC = "lead long, whole long, doc long, mark long, start int, windows short, anchor short, deal long, more binary"
+_OCC = "lead long, whole long, doc long, mark long, start int, windows short, anchor short, more binary"
 
 
 def _screen_rows(texts: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
@@ -163,7 +204,7 @@ def _screen_rows(texts: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
     def rows(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                own, start, n, anchor, lead, whole = _occurrences(part.column("text"), length)
+                own, start, n, anchor, lead, whole = _occurrences(part.column("text"), length, hot)
                 if not len(own):
                     continue
                 doc = part.column("doc").to_numpy()[own]
@@ -175,9 +216,8 @@ def _screen_rows(texts: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
                     o = order[first[i] + 1: first[i + 1]]
                     more[i] = np.stack((doc[o], mark[o], start[o])).astype("<i8").tobytes()
                 o = order[first[:-1]]
-                deal = np.where(np.isin(lead[o], hot), mix(whole[o]), lead[o])  # hot ones are dealt by stretch
                 cols = (lead[o].view(np.int64), whole[o].view(np.int64), doc[o], mark[o], start[o].astype(np.int32),
-                        n[o].astype(np.int16), anchor[o].astype(np.int16), deal.view(np.int64))
+                        n[o].astype(np.int16), anchor[o].astype(np.int16))
                 yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(more, pa.binary())],
                                                  names=[c.split()[0] for c in _OCC.split(", ")])
 
@@ -185,35 +225,39 @@ def _screen_rows(texts: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
 
 
 def _hot(texts: DataFrame, length: int) -> np.ndarray:
-    """Leading bytes (hashed) that come with many different stretches in a
-    sample of the documents; at most ``1 / HOT_SHARE`` of them. Only how rows are
-    dealt depends on it."""
-
-    def rows(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                *_, lead, whole = _occurrences(part.column("text"), length)
-                pairs = np.unique(np.stack((lead, whole)), axis=1)
-                lead, n = np.unique(pairs[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64)), pa.array(n)], names=["lead", "n"])
-
+    """Leading bytes (hashed) that come with many different stretches, or pieces
+    of such, in a sample of the documents; at most ``1 / HOT_SHARE`` of them for
+    each length of pieces. Only how rows are cut and dealt depends on it."""
     some = texts.filter(F.pmod(F.xxhash64("doc", "mark"), F.lit(SAMPLE)) == 0)
-    counts = some.mapInArrow(tidy(rows), "lead long, n long").groupBy("lead").agg(F.sum("n").alias("n"))
-    counts = saved(counts.filter("n > 8"), "suffix_sample")
-    all_rows = counts.agg(F.sum("n")).first()[0] or 0
-    found = counts.filter(F.col("n") > F.lit(max(64, all_rows * HOT_SHARE))).select("lead")
-    return np.array([r[0] for r in found.collect()], np.int64).view(np.uint64)
+    hot = np.zeros(0, np.uint64)
+    for _ in widths(length):
+
+        def rows(batches, hot=hot):
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    *_, lead, whole = _occurrences(part.column("text"), length, hot)
+                    pairs = np.unique(np.stack((lead, whole)), axis=1).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], names=["lead", "whole"])
+
+        pairs = some.mapInArrow(tidy(rows), "lead long, whole long").distinct()
+        counts = saved(pairs.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).filter("n > 8"), "suffix_sample")
+        all_rows = counts.agg(F.sum("n")).first()[0] or 0
+        found = counts.filter(F.col("n") > F.lit(max(64, all_rows * HOT_SHARE))).select("lead").collect()
+        if not found:
+            break
+        hot = np.concatenate((hot, np.array([r[0] for r in found], np.int64).view(np.uint64)))
+    return hot
 
 
-_SCREENED = "open boolean, doc long, mark long, start long, size long, anchor long"
+_SCREENED = "open boolean, doc long, mark long, start long, size long, anchor long, lead long"
 
 
-def _screened(rows_: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
+def _screened(rows_: DataFrame, length: int) -> DataFrame:
     """Repeats (as intervals) and stretches to look into (``open``)."""
-    keys = ["deal", "lead", "whole"]
+    keys = ["lead", "whole"]
 
     def rows(batches):
-        for t in whole_groups(batches, ["deal"], min_rows=1 << 16):
+        for t in whole_groups(batches, ["lead"], min_rows=1 << 16):
             cols = {c: t.column(c).combine_chunks() for c in t.column_names if c != "more"}
             cols = {c: v.to_numpy() for c, v in cols.items()}
             same = runs([cols[c] for c in keys])
@@ -222,32 +266,32 @@ def _screened(rows_: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
             again = np.zeros(t.num_rows, bool)
             for c in ("doc", "mark", "start"):
                 again |= cols[c] != cols[c][head]
-            group = runs([cols["deal"], cols["lead"]])
+            group = runs([cols["lead"]])
             kinds = np.searchsorted(same, group)  # index of each group's first stretch
             several = np.repeat(np.diff(kinds) > 1, np.diff(group))
-            several |= np.isin(cols["lead"].view(np.uint64), hot)
             open_ = several & (head == np.arange(t.num_rows))
             size = cols["windows"].astype(np.int64)
             parts = [(np.zeros(int(again.sum()), bool), *(cols[c][again] for c in ("doc", "mark", "start")),
-                      size[again] + length - 1, cols["anchor"][again]),
+                      size[again] + length - 1, cols["anchor"][again], cols["lead"][again]),
                      (np.ones(int(open_.sum()), bool), *(cols[c][open_] for c in ("doc", "mark", "start")),
-                      size[open_], cols["anchor"][open_])]
+                      size[open_], cols["anchor"][open_], cols["lead"][open_])]
             more = t.column("more").combine_chunks()
             for i in np.flatnonzero(more.is_valid().to_numpy(zero_copy_only=False)):
                 got = np.frombuffer(more[int(i)].as_py(), "<i8").reshape(3, -1)
                 differs = (got != np.array([[cols[c][head[i]]] for c in ("doc", "mark", "start")])).any(0)
                 d, m, s = got[:, differs]
-                parts.append((np.zeros(len(d), bool), d, m, s, np.full(len(d), size[i] + length - 1), np.zeros(len(d))))
+                parts.append((np.zeros(len(d), bool), d, m, s, np.full(len(d), size[i] + length - 1), np.zeros(len(d), np.int64),
+                              np.zeros(len(d), np.int64)))
             cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0]), *(pa.array(c.astype(np.int64)) for c in cols[1:])],
                 names=[c.split()[0] for c in _SCREENED.split(", ")])
 
-    dealt = rows_.repartition("deal").sortWithinPartitions(*keys, "doc", "mark", "start")
+    dealt = rows_.repartition("lead").sortWithinPartitions(*keys, "doc", "mark", "start")
     return dealt.mapInArrow(tidy(rows), _SCREENED)
 
 
-_SUFFIX = "t0 long, t1 long, t2 long, doc long, mark long, start long, bytes binary"
+_SUFFIX = "t0 long, t1 long, t2 long, lead long, doc long, mark long, start long, bytes binary"
 
 
 def _suffixes(texts: DataFrame, length: int) -> DataFrame:
@@ -260,12 +304,12 @@ def _suffixes(texts: DataFrame, length: int) -> DataFrame:
                 lists = part.column("open")
                 own = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
                 flat = lists.flatten()
-                start, size, anchor = (pc.struct_field(flat, i).to_numpy() for i in range(3))
+                start, size, anchor, lead = (pc.struct_field(flat, i).to_numpy() for i in range(4))
                 lo = off[own] + start
                 words = tokens(data, lo + anchor, LEAD // 8)
                 out = [data[a: b].tobytes() for a, b in zip(lo, lo + size + length - 1, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(ordered(w)) for w in words), part.column("doc").take(pa.array(own)),
+                    [*(pa.array(ordered(w)) for w in words), pa.array(lead), part.column("doc").take(pa.array(own)),
                      part.column("mark").take(pa.array(own)), pa.array(start), pa.array(out, pa.binary())],
                     names=[c.split()[0] for c in _SUFFIX.split(", ")])
 
@@ -321,8 +365,8 @@ _FOUND = "edge boolean, h1 long, h2 long, doc long, mark long, start long, size
 
 
 def _sorted_buckets(suffixes: DataFrame, length: int) -> DataFrame:
-    """Repeats inside each bucket, as intervals; and, hashed, the windows of its
-    first and last leading tokens (``edge``), which may go on next door."""
+    """Repeats inside each bucket, as intervals; and, hashed, the windows of
+    leading bytes that are cut by document (``edge``), which may go on next door."""
     places = [*range(0, length - 8, 8), length - 8]
 
     def rows(batches):
@@ -332,7 +376,7 @@ def _sorted_buckets(suffixes: DataFrame, length: int) -> DataFrame:
         t = pa.Table.from_batches(held).combine_chunks()
         del held
         data, off = blobs(t.column("bytes"))
-        col = {c: t.column(c).combine_chunks().to_numpy() for c in ("t0", "t1", "t2", "doc", "mark", "start")}
+        col = {c: t.column(c).combine_chunks().to_numpy() for c in ("doc", "mark", "start")}
         n = np.diff(off) - length + 1
         row = np.repeat(np.arange(t.num_rows), n)
         at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + off[row]
@@ -359,10 +403,7 @@ def _sorted_buckets(suffixes: DataFrame, length: int) -> DataFrame:
             [pa.array(np.zeros(len(first), bool)), pa.array(zero), pa.array(zero), pa.array(col["doc"][own]),
              pa.array(col["mark"][own]), pa.array(col["start"][own] + at[first] - off[own]),
              pa.array(last - first + length)], names=[c.split()[0] for c in _FOUND.split(", ")])
-        lead = np.lexsort((col["t2"], col["t1"], col["t0"]))
-        edge = np.zeros(t.num_rows, bool)
-        for i in (lead[0], lead[-1]):
-            edge |= (col["t0"] == col["t0"][i]) & (col["t1"] == col["t1"][i]) & (col["t2"] == col["t2"][i])
+        edge = t.column("slice").combine_chunks().is_valid().to_numpy(zero_copy_only=False)
         w = np.flatnonzero(edge[row] & ~marked)
         for lo in range(0, len(w), 1 << 18):
             x, own = at[w[lo: lo + (1 << 18)]], row[w[lo: lo + (1 << 18)]]
@@ -428,12 +469,16 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     """Maximal intervals (doc, mark, start, end) to remove from
     ``texts(doc, mark, text)``."""
     hot = _hot(texts, length)
-    screened = saved(_screened(_screen_rows(texts, length, hot), length, hot), "suffix_screened")
+    screened = saved(_screened(_screen_rows(texts, length, hot), length), "suffix_screened")
     open_ = screened.filter("open").groupBy("doc", "mark").agg(
-        F.collect_list(F.struct("start", "size", "anchor")).alias("open"))
+        F.collect_list(F.struct("start", "size", "anchor", "lead")).alias("open"))
     suffixes = saved(_suffixes(texts.join(open_.hint("merge"), ["doc", "mark"]), length), "suffix_rows")
     buckets = suffixes.count() // BUCKET_ROWS + 1
-    dealt = suffixes.repartitionByRange(buckets, "t0", "t1", "t2", "doc", "mark", "start")
+    group = ["t0", "t1", "t2", "lead"]
+    large = saved(suffixes.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BUCKET_ROWS)
+                  .select("lead", F.lit(True).alias("large")), "suffix_large")  # one to a bucket at most
+    cut = suffixes.join(F.broadcast(large), "lead", "left").withColumn("slice", F.when(F.col("large"), F.xxhash64("doc", "mark")))
+    dealt = cut.drop("large").repartitionByRange(buckets, *group, "slice", F.when(F.col("slice").isNotNull(), F.col("start")))
     found = saved(_sorted_buckets(dealt, length), "suffix_found")
     across = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("doc", "mark", "start"))
     next_door = found.filter("edge").dropDuplicates(["h1", "h2", "doc", "mark", "start"]) \
