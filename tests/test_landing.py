@@ -1,5 +1,7 @@
+import csv
 import glob
 import gzip
+import io
 from datetime import datetime
 
 import pyarrow as pa
@@ -99,3 +101,25 @@ def test_files_of_a_folder_are_counted(spark, tmp_path):
     for n in "abc":
         (tmp_path / n).write_text(n)
     assert sinks.folder_files(spark, f"file://{tmp_path}") == 3
+
+
+def test_landed_lines_are_those_of_a_csv_writer(spark, tmp_path):
+    table = lineitem(spark, tmp_path).withColumn("l_orderkey", F.when(F.col("l_linenumber") != 6, F.col("l_orderkey")))
+    for layout in ({}, {"extra": 12}, {"extra": 3, "without": ("ride_id",), "pier": ', "Old"\n\r\n,Pier'}):
+        for source, header, line in standins.raw_trip_records(table, **layout).collect():
+            fields = next(csv.reader(io.StringIO(line, newline="")))
+            out = io.StringIO(newline="")
+            csv.writer(out, lineterminator="").writerow(fields)
+            cells = dict(zip(header.split(","), fields, strict=True))
+            assert out.getvalue() == line and cells["start_station_name"].endswith(layout.get("pier", ", Pier"))
+            ride = cells.get("ride_id")
+            for i in range(layout.get("extra", 0)):
+                if ride:
+                    assert cells[f"extra_{i}"] == ("NA" if ride == "NA" else f'extra_{i}, "{ride}"')
+
+
+def test_every_source_has_its_headers_in_each_file(spark, tmp_path):
+    standins.land_csv_files(lineitem(spark, tmp_path), f"file://{tmp_path}/y", yearly=True)
+    names = glob.glob(f"{tmp_path}/y/*/*/*.txt")
+    assert len(names) == standins.SOURCE_FILES * 4  # 1995 to 1997, and rows without a time
+    assert all(open(n).readline().startswith(("ride_id,", "member_casual,")) for n in names)
